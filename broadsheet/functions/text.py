@@ -70,5 +70,14 @@ def analyze(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+_ZONE = r"(Z|UTC|[+-]\d\d(?::?\d\d)?)$"
+
+
+def iso_text(stamp: Column) -> Column:
+    """A stamp text in the form Spark casts: seconds before a zone, no blank before it."""
+    with_seconds = F.regexp_replace(F.trim(stamp), r"([T ]\d\d:\d\d) ?" + _ZONE, "$1:00$2")
+    return F.regexp_replace(with_seconds, r"(:\d\d(?:\.\d+)?) +" + _ZONE, "$1$2")
+
+
 def as_utc_text(stamp: Column) -> Column:
     return F.date_format(stamp, "yyyy-MM-dd HH:mm:ss")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions.text import iso_text
 from ..schemas import RAW
 
 _LINKS = pa.list_(pa.struct([("text", pa.string()), ("link", pa.string())]))
@@ -127,13 +128,14 @@ def parse_iso_timestamps(df: DataFrame) -> DataFrame:
 
     Year and month are those of the stamp's own offset. Unreadable texts become NULL.
     """
-    wall_clock = F.col("date_modified").try_cast("timestamp_ntz")
+    published, modified = iso_text(F.col("date_published")), iso_text(F.col("date_modified"))
+    wall_clock = modified.try_cast("timestamp_ntz")
     return df.withColumns(
         {
             "year": F.year(wall_clock),
             "month": F.month(wall_clock),
-            "date_published": F.col("date_published").try_cast("timestamp"),
-            "date_modified": F.col("date_modified").try_cast("timestamp"),
+            "date_published": published.try_cast("timestamp"),
+            "date_modified": modified.try_cast("timestamp"),
         }
     )
 
@@ -203,7 +205,7 @@ def sitemap_table_rows(df: DataFrame, html_col: str = "html") -> DataFrame:
             F.try_element_at(stamps, F.lit(1)).alias("stamp"),
         )
         .filter(F.col("url").isNotNull() & F.col("stamp").isNotNull())
-        .select("url", F.col("stamp").try_cast("timestamp").alias("last_modified"))
+        .select("url", iso_text(F.col("stamp")).try_cast("timestamp").alias("last_modified"))
     )
 
 
