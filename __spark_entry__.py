@@ -38,7 +38,8 @@ VECTOR_SIZE = 64
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf}/{name}.parquet")
+    scan = prepare(spark).read.parquet(f"{sf}/{name}.parquet")
+    return S.spread_scan(scan) if name in ("documents", "pages") else scan
 
 
 def _posts(spark, sf) -> DataFrame:

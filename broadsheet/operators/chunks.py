@@ -64,9 +64,11 @@ def chunk_tokens(
         F.size("_tokens") > 0,
         F.transform(starts, lambda i: F.array_join(F.slice("_tokens", i + 1, F.lit(size)), "")),
     )
+    # The outer form: with the plain one Spark infers a test of the array, which would cut
+    # every text a second time.
     cut = tokens.select(
         *[F.col(f"`{c}`") for c in articles.columns],
-        F.posexplode(windows).alias("chunk_no", "chunk"),
+        F.posexplode_outer(windows).alias("chunk_no", "chunk"),
     )
     return cut.filter(F.col("chunk") != "")
 
@@ -109,7 +111,7 @@ def chunk_encoded(
     windows = F.arrow_udf(cut, "array<string>")(X.merge_paragraphs(F.col(content_col)))
     pieces = articles.withColumn("_windows", windows).select(
         *[F.col(f"`{c}`") for c in articles.columns],
-        F.posexplode("_windows").alias("chunk_no", "chunk"),
+        F.posexplode_outer("_windows").alias("chunk_no", "chunk"),
     )
     return pieces.filter(F.col("chunk") != "")
 

@@ -183,7 +183,10 @@ def sitemap_locs(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     unescaped = text
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         unescaped = F.replace(unescaped, F.lit(entity), F.lit(char))
-    return df.select(F.explode(found).alias("loc")).select(
+    # The outer form: with the plain one Spark infers a test of the array, which would search
+    # every document a second time.
+    locs = df.select(F.explode_outer(found).alias("loc")).filter(F.col("loc").isNotNull())
+    return locs.select(
         F.when(cdata != "", cdata).otherwise(unescaped).alias("url")
     )
 

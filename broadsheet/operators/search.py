@@ -6,10 +6,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.ranking import Best, matrix, signatures, unit
 from ..functions.text import analyze
 from ..session import broadcast_if_small, fits
 
@@ -26,6 +28,8 @@ SCORE_DIGITS = 6
 # A query block sent to every task has at most so many rows; beyond it both sides are tiled.
 MAX_BROADCAST_QUERIES = 4096
 MAX_QUERY_TERMS = 200_000
+# Cells of one dense matrix in a task, 8 bytes each.
+BLOCK_CELLS = 4_000_000
 TILE_ROWS = 16_384
 
 
@@ -43,54 +47,6 @@ def top_k(hits: DataFrame, k: int, by: Column | None = None) -> DataFrame:
 # --- dense ---------------------------------------------------------------------------------
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return vectors / np.where(norms == 0, 1.0, norms)
-
-
-def _matrix(column, dimension: int) -> np.ndarray:
-    """Rows of an Arrow list column as a float64 matrix."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, dimension)
-
-
-class _Best:
-    """Running best ``k`` per query over batches of scored documents."""
-
-    def __init__(self, n_queries: int, k: int):
-        self.k = k
-        self.floor = np.full(n_queries, -np.inf)
-        self.ids = [np.empty(0, dtype=object)] * n_queries
-        self.scores = [np.empty(0)] * n_queries
-
-    def offer(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
-        at = np.flatnonzero(scores >= self.floor[query])
-        if at.size > self.k:
-            values = scores[at]
-            cut = np.partition(values, at.size - self.k)[at.size - self.k]
-            at = at[values >= cut]
-        if not at.size:
-            return
-        ids = np.concatenate([self.ids[query], ids[at]])
-        scores = np.concatenate([self.scores[query], scores[at]])
-        keep = np.lexsort((ids, -scores))[: self.k]
-        self.ids[query], self.scores[query] = ids[keep], scores[keep]
-        if keep.size == self.k:
-            self.floor[query] = self.scores[query][-1]
-
-    def table(self, query_ids: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
-        counts = [len(s) for s in self.scores]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(query_ids, counts).tolist(), schema.field(0).type),
-                pa.array(np.concatenate(self.ids).tolist(), schema.field(1).type),
-                pa.array(np.concatenate(self.scores), pa.float64()),
-            ],
-            schema=schema,
-        )
-
-
 def _usable(df: DataFrame, id_col: str, vector_col: str, dimension: int, name: str) -> DataFrame:
     return df.filter(F.array_size(vector_col) == dimension).select(
         F.col(id_col).alias(name), F.col(vector_col).cast("array<float>").alias("vector")
@@ -125,13 +81,13 @@ def _dense_by_block(documents: DataFrame, queries: DataFrame, k: int, dimension:
     schema, ddl = _hit_types(documents, queries)
     block = queries.toArrow()  # its size was checked by the caller
     query_ids = np.array(block["query_id"].to_pylist(), dtype=object)
-    matrix = _unit(_matrix(block["vector"], dimension)).T
+    asked = unit(matrix(block["vector"], dimension)).T
 
     def scan(batches):
-        best = _Best(len(query_ids), k)
+        best = Best(len(query_ids), k)
         for batch in batches:
             ids = np.array(batch.column("id").to_pylist(), dtype=object)
-            scores = np.round(_unit(_matrix(batch.column("vector"), dimension)) @ matrix, SCORE_DIGITS)
+            scores = np.round(unit(matrix(batch.column("vector"), dimension)) @ asked, SCORE_DIGITS)
             for query in range(len(query_ids)):
                 best.offer(query, ids, scores[:, query])
         yield best.table(query_ids, schema)
@@ -165,9 +121,9 @@ def _dense_by_tile(documents: DataFrame, queries: DataFrame, k: int, dimension:
             return schema.empty_table()
         query_ids = np.array(asked["query_id"].to_pylist(), dtype=object)
         ids = np.array(docs["id"].to_pylist(), dtype=object)
-        left = _unit(_matrix(docs["vector"], dimension))
-        right = _unit(_matrix(asked["vector"], dimension))
-        best = _Best(len(query_ids), k)
+        left = unit(matrix(docs["vector"], dimension))
+        right = unit(matrix(asked["vector"], dimension))
+        best = Best(len(query_ids), k)
         for query in range(len(query_ids)):
             best.offer(query, ids, np.round(left @ right[query], SCORE_DIGITS))
         return pa.Table.from_batches([best.table(query_ids, schema)])
@@ -208,12 +164,6 @@ def _planes(dimension: int, tables: int, bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dimension, tables * bits))
 
 
-def _signatures(vectors: np.ndarray, planes: np.ndarray, tables: int, bits: int) -> np.ndarray:
-    """Per vector and table the number whose bits say on which side of each plane it lies."""
-    sides = (vectors @ planes >= 0).reshape(len(vectors), tables, bits)
-    return sides @ (1 << np.arange(bits))
-
-
 def lsh_index(
     documents: DataFrame,
     dimension: int,
@@ -227,7 +177,7 @@ def lsh_index(
     planes = _planes(dimension, tables, bits, seed)
 
     def sign(vectors: pa.Array) -> pa.Array:
-        found = _signatures(_matrix(vectors, dimension), planes, tables, bits)
+        found = signatures(matrix(vectors, dimension), planes, tables, bits)
         offsets = np.arange(0, (len(found) + 1) * tables, tables, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel().astype(np.int32)))
 
@@ -259,20 +209,20 @@ def dense_topk_lsh(
     schema, ddl = _hit_types(index, asked)
     block = asked.toArrow()
     query_ids = np.array(block["query_id"].to_pylist(), dtype=object)
-    vectors = _matrix(block["vector"], dimension)
-    wanted = _signatures(vectors, _planes(dimension, tables, bits, seed), tables, bits)
-    unit_queries = _unit(vectors)
+    vectors = matrix(block["vector"], dimension)
+    wanted = signatures(vectors, _planes(dimension, tables, bits, seed), tables, bits)
+    unit_queries = unit(vectors)
 
     def scan(batches):
-        best = _Best(len(query_ids), k)
+        best = Best(len(query_ids), k)
         for batch in batches:
             ids = np.array(batch.column("id").to_pylist(), dtype=object)
-            unit = _unit(_matrix(batch.column("vector"), dimension))
+            units = unit(matrix(batch.column("vector"), dimension))
             buckets = np.asarray(batch.column("signature").flatten()).reshape(-1, tables)
             for query in range(len(query_ids)):
                 near = np.flatnonzero((buckets == wanted[query]).any(axis=1))
                 if near.size:
-                    scores = np.round(unit[near] @ unit_queries[query], SCORE_DIGITS)
+                    scores = np.round(units[near] @ unit_queries[query], SCORE_DIGITS)
                     best.offer(query, ids[near], scores)
         yield best.table(query_ids, schema)
 
@@ -307,20 +257,19 @@ def bm25_index(
     Documents are spread by id before their terms are unfolded: the counts per (id, term)
     then need no shuffle of postings, which are several times larger than the text.
     """
-    tokens = documents.select(
-        F.col(id_col).alias("id"), analyzer(F.col(text_col)).alias("terms")
-    )
-    lengths = tokens.select("id", F.coalesce(F.size("terms"), F.lit(0)).alias("doc_length"))
     spread = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
-    spread = spread.repartition("id").select("id", analyzer(F.col("_text")).alias("terms"))
+    tokens = spread.repartition("id").select("id", analyzer(F.col("_text")).alias("terms"))
+    length = F.coalesce(F.size("terms"), F.lit(0)).cast("bigint").alias("doc_length")
+    # The outer form: with the plain one Spark infers a test of the array, which would split
+    # every text a second time.
     postings = (
-        spread.select(
-            "id", F.size("terms").cast("bigint").alias("doc_length"), F.explode("terms").alias("term")
-        )
+        tokens.select("id", length, F.explode_outer("terms").alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("id", "term", "doc_length")
         .agg(F.count(F.lit(1)).alias("tf"))
         .select("term", "id", "tf", "doc_length")
     )
+    lengths = tokens.select(length)
     term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     corpus = lengths.agg(
         F.count(F.lit(1)).alias("n_docs"), F.avg("doc_length").alias("avg_length")
@@ -348,6 +297,72 @@ def load_bm25_index(spark: SparkSession, name: str) -> LexicalIndex:
     return LexicalIndex(*(spark.table(f"{name}_{p}") for p in ("postings", "term_stats", "corpus")))
 
 
+def _score_by_block(postings: DataFrame, weighted: pa.Table, k: int) -> DataFrame:
+    """Score every document against all queries where its postings lie.
+
+    The weights of the query terms form a small matrix each task holds. A document brings a
+    list of its query terms, so scores are a matrix product and a task passes on only its
+    best ``k`` per query instead of one row per document and query.
+    """
+    query_type, id_type = weighted.schema.field("query_id").type, _arrow_type(postings, "id")
+    schema = pa.schema([("query_id", query_type), ("id", id_type), ("score", pa.float64())])
+
+    terms, term_at = np.unique(
+        np.array(weighted["term"].to_pylist(), dtype=object), return_inverse=True
+    )
+    asked, asked_at = np.unique(
+        np.array(weighted["query_id"].to_pylist(), dtype=object), return_inverse=True
+    )
+    weights = np.zeros((len(terms), len(asked)))
+    np.add.at(weights, (term_at, asked_at), np.asarray(weighted["weight"]))
+
+    numbers = pa.table(
+        {
+            "term": pa.array(terms.tolist(), pa.string()),
+            "term_no": pa.array(np.arange(len(terms)), pa.int32()),
+        }
+    )
+    numbered = F.broadcast(postings.sparkSession.createDataFrame(numbers))
+    documents = (
+        postings.join(numbered, "term")
+        .groupBy("id")
+        # At most one entry per query term, so the list is bounded.
+        .agg(F.collect_list(F.struct("term_no", "part")).alias("found"))
+    )
+    rows_at_once = max(1, BLOCK_CELLS // max(1, len(terms), len(asked)))
+
+    def scan(batches):
+        best = Best(len(asked), k)
+        for whole in batches:
+            for first in range(0, whole.num_rows, rows_at_once):
+                batch = whole.slice(first, rows_at_once)
+                ids = np.array(batch.column("id").to_pylist(), dtype=object)
+                found = batch.column("found")
+                rows = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(found.offsets)))
+                entries = found.flatten()
+                parts = np.zeros((batch.num_rows, len(terms)))
+                parts[rows, np.asarray(entries.field("term_no"))] = np.asarray(entries.field("part"))
+                scores = parts @ weights
+                for query in range(len(asked)):
+                    hit = np.flatnonzero(scores[:, query] > 0)
+                    best.offer(query, ids[hit], np.round(scores[hit, query], SCORE_DIGITS))
+        yield best.table(asked, schema)
+
+    id_ddl = postings.schema["id"].dataType.simpleString()
+    query_ddl = "string" if pa.types.is_string(query_type) else "bigint" if query_type == pa.int64() else "int"
+    return documents.mapInArrow(scan, f"query_id {query_ddl}, id {id_ddl}, score double")
+
+
+def _score_by_join(postings: DataFrame, weighted: DataFrame) -> DataFrame:
+    """Join by term and sum per document and query, for query sets beyond one block."""
+    return (
+        postings.join(weighted, "term")
+        .groupBy("id", "query_id")
+        .agg(F.round(F.sum(F.col("weight") * F.col("part")), SCORE_DIGITS).alias("score"))
+        .select("query_id", "id", "score")
+    )
+
+
 def bm25_topk(
     index: LexicalIndex,
     queries: DataFrame,
@@ -357,12 +372,12 @@ def bm25_topk(
     analyzer=analyze,
     k1: float = BM25_K1,
     b: float = BM25_B,
+    max_broadcast: int = MAX_QUERY_TERMS,
 ) -> DataFrame:
     """The ``k`` best documents per query by BM25: query_id, id, score, rank.
 
-    A term repeated in the query counts each time. Query terms are broadcast when their size
-    allows it and joined by term otherwise; scores are summed where the postings lie, and
-    only the best ``k`` per query and task are shuffled.
+    A term repeated in the query counts each time. Query terms that fit one block go to every
+    task; larger sets are joined by term. Both give the same hits.
     """
     query_terms = (
         queries.select(
@@ -372,31 +387,31 @@ def bm25_topk(
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("query_tf"))
     )
-    figures = index.corpus.select(F.struct("n_docs", "avg_length")).scalar()
+    figures = index.corpus.first()  # one row
+    length = k1 * (1.0 - b + b * F.col("doc_length") / F.lit(figures["avg_length"]))
+    tf_part = F.col("tf") * (k1 + 1.0) / (F.col("tf") + length)
     frequency = F.col("df")
     idf = F.log1p((figures["n_docs"] - frequency + 0.5) / (frequency + 0.5))
-    postings = index.postings
-    small = fits(query_terms, MAX_QUERY_TERMS)
+
+    small = fits(query_terms, max_broadcast)
+    postings, term_stats = index.postings, index.term_stats
     if small:
-        # The semi join goes below the counting of terms, so only query terms are counted.
+        # These semi joins go below the counting of terms: only query terms are counted.
+        wanted = F.broadcast(query_terms.select("term").distinct())
+        postings = postings.join(wanted, "term", "left_semi")
+        term_stats = term_stats.join(wanted, "term", "left_semi")
         query_terms = F.broadcast(query_terms)
-        postings = postings.join(query_terms.select("term"), "term", "left_semi")
-    weighted = index.term_stats.join(query_terms, "term").select(
+    postings = postings.withColumn("part", tf_part)
+    weighted = term_stats.join(query_terms, "term").select(
         "query_id", "term", (idf * F.col("query_tf")).alias("weight")
     )
-    if small:
-        # Term statistics have one row per term, so this holds no more rows than the terms.
-        weighted = F.broadcast(weighted)
-
-    tf = F.col("tf")
-    length = k1 * (1.0 - b + b * F.col("doc_length") / figures["avg_length"])
-    scored = (
-        postings.join(weighted, "term")
-        .withColumn("part", F.col("weight") * tf * (k1 + 1.0) / (tf + length))
-        .groupBy("id", "query_id")
-        .agg(F.round(F.sum("part"), SCORE_DIGITS).alias("score"))
-    )
-    return top_k(scored.select("query_id", "id", "score"), k)
+    if not small:
+        return top_k(_score_by_join(postings, weighted), k)
+    block = weighted.toArrow()  # no more rows than the query terms that fit
+    n_cells = len(pc.unique(block["term"])) * len(pc.unique(block["query_id"]))
+    if n_cells <= BLOCK_CELLS:
+        return top_k(_score_by_block(postings, block, k), k)
+    return top_k(_score_by_join(postings, F.broadcast(weighted)), k)
 
 
 # --- fusion ----------------------------------------------------------------------------------

@@ -16,10 +16,20 @@ from ..session import stage
 MONTH = ["year", "month"]
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """A plain file scan, redistributed only if it has fewer splits than there are cores.
+
+    A few files of one row group each would leave most cores idle. Large datasets have more
+    splits than cores and stay as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Fetched pages: ``page_id``, ``url``, ``html``."""
     schema = "page_id bigint, url string, html string"
-    return spark.read.schema(schema).parquet(path)
+    return spread_scan(spark.read.schema(schema).parquet(path))
 
 
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
