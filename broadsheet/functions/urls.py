@@ -73,14 +73,14 @@ def resolve_url(base: Column, link: Column) -> Column:
     inner = F.filter(merged, lambda s, i: (i == 0) | (i == last) | (s != ""))
     segments = F.when(path.startswith("/"), own).otherwise(inner)
 
-    no_path = path == ""
+    own_authority = authority != ""
+    no_path = (path == "") & ~own_authority
     new_path = F.when(no_path, b_path).otherwise(_path_text(_without_dots(segments)))
     new_query = F.when(no_path & (query == ""), b_query).otherwise(query)
     tail = F.concat(
         F.when(new_query != "", F.concat(F.lit("?"), new_query)).otherwise(""),
         F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""),
     )
-    own_authority = authority != ""
     relative = F.concat(
         b_scheme,
         F.lit("://"),
