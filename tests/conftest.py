@@ -1,10 +1,15 @@
+import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parents[1]))
 
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 from broadsheet.session import get_session, prepare  # noqa: E402
 
 TESTDATA = Path("/root/testdata/sf0.001")
