@@ -781,6 +781,16 @@ def q_ingest_collection(spark, sf):
     return merged.select("id", F.md5("content").alias("digest"))
 
 
+def q_stored_collection(spark, sf):
+    """The same collection kept as a stored table, loaded window by window."""
+    gold, embed = L.as_gold(_silver(spark, sf)), C.hashing_embedder(VECTOR_SIZE)
+    path = scratch_path(spark, "collection")
+    for window in (SOME_MONTHS, ALL_MONTHS):
+        retrieval.load_collection(spark, gold, path, embed, VECTOR_SIZE, *window)
+    stored = S.load_table(spark, path, C.CHUNK_DOCUMENTS)
+    return stored.select("id", F.md5("content").alias("digest"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Articles per month, latest versions only, with the gaps shown."""
     return q_monthly_trend_filled(spark, "/root/testdata/sf0.001")
@@ -1186,5 +1196,6 @@ def oracle_sql() -> dict[str, str]:
               AS t(p)) AS BIGINT) AS total_content_words, a.link_status
           FROM fresh f JOIN audited a ON a.url = f.url AND a.date_modified = f.date_modified""",
         "stored_sitemap": f"{posts} {urls}",
+        "stored_collection": f"{latest}, {_chunked('latest')} SELECT id, md5(content) AS digest FROM chunks",
         "ingest_collection": f"{latest}, {_chunked('latest')} SELECT id, md5(content) AS digest FROM chunks",
     }

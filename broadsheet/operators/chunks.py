@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..schemas import CHUNK_DOCUMENTS
+from ..session import broadcast_if_small
 
 # Tokens per chunk and tokens shared with the next chunk.
 CHUNK_SIZE, CHUNK_OVERLAP = 400, 50
@@ -185,7 +186,9 @@ def upsert_documents(main: DataFrame, new: DataFrame, key: str = "id") -> DataFr
         "_rn", F.row_number().over(W.partitionBy(key).orderBy(X.tie_break(new.columns)))
     )
     unique = ranked.filter(F.col("_rn") == 1).drop("_rn")
-    return main.join(unique.select(key), key, "left_anti").unionByName(unique)
+    # A small batch is sent to the stored documents, which then need no shuffle.
+    replaced = broadcast_if_small(new.select(key).distinct())
+    return main.join(replaced, key, "left_anti").unionByName(unique)
 
 
 def distinct_row_ids(documents: DataFrame) -> DataFrame:

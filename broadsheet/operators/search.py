@@ -251,6 +251,7 @@ def bm25_index(
     id_col: str = "id",
     text_col: str = "content",
     analyzer=analyze,
+    partitions: int | None = None,
 ) -> LexicalIndex:
     """Term postings with document lengths, document frequencies and corpus figures.
 
@@ -258,7 +259,8 @@ def bm25_index(
     then need no shuffle of postings, which are several times larger than the text.
     """
     spread = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
-    tokens = spread.repartition("id").select("id", analyzer(F.col("_text")).alias("terms"))
+    spread = spread.repartition("id") if partitions is None else spread.repartition(partitions, "id")
+    tokens = spread.select("id", analyzer(F.col("_text")).alias("terms"))
     length = F.coalesce(F.size("terms"), F.lit(0)).cast("bigint").alias("doc_length")
     # The outer form: with the plain one Spark infers a test of the array, which would split
     # every text a second time.
@@ -281,7 +283,8 @@ def save_bm25_index(index: LexicalIndex, name: str, path: str, buckets: int = 20
     """Stores the index as catalog tables.
 
     Postings are bucketed by document and sorted by term: scoring then needs no shuffle of
-    postings, and a term filter skips row groups.
+    postings, and a term filter skips row groups. An index made with as many partitions
+    gives one file per bucket.
     """
     index.postings.write.mode("overwrite").bucketBy(buckets, "id").sortBy("term").option(
         "path", f"{path}/postings"

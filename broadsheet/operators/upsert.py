@@ -15,6 +15,9 @@ from ..functions.text import fingerprint, tie_break
 from ..functions.windows import filter_window, in_window
 
 
+_COPY_BLOCK = 10_000
+
+
 def _one_per(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     ranked = df.withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("_rn") == 1).drop("_rn")
@@ -41,21 +44,21 @@ def new_versions(
     incoming rows with the same key and version the choice is by a hash of the row.
     """
     columns = incoming.columns
-    identity = F.coalesce(_keyed(F.col(key)), _unkeyed(columns))
-    rows = incoming.withColumn("_id", identity)
-    rows = _one_per(rows, ["_id", version], [tie_break(columns)])
-    # Stored rows with a key are read in two columns; whole rows only where the key is NULL.
-    stored_version = F.col(version).alias("_stored_version")
-    stored = main.filter(F.col(key).isNotNull()).select(
-        _keyed(F.col(key)).alias("_stored_id"), stored_version
+    as_text = F.coalesce(F.col(version).cast("string"), F.lit("\u0002"))
+    keys = ["_id", "_version"]
+    rows = incoming.withColumns(
+        {"_id": F.coalesce(_keyed(F.col(key)), _unkeyed(columns)), "_version": as_text}
     )
-    stored = stored.unionByName(
-        main.filter(F.col(key).isNull()).select(_unkeyed(columns).alias("_stored_id"), stored_version)
+    # The join has the keys of this choice, so the rows are shuffled once for both.
+    rows = _one_per(rows, keys, [tie_break(columns)])
+    # Stored rows with a key are read in two columns; whole rows only where the key is NULL.
+    keyed = main.filter(F.col(key).isNotNull()).select(
+        _keyed(F.col(key)).alias("_id"), as_text.alias("_version")
     )
-    seen = (F.col("_id") == F.col("_stored_id")) & F.col(version).eqNullSafe(
-        F.col("_stored_version")
+    unkeyed = main.filter(F.col(key).isNull()).select(
+        _unkeyed(columns).alias("_id"), as_text.alias("_version")
     )
-    return rows.join(stored, seen, "left_anti").select(*columns)
+    return rows.join(keyed.unionByName(unkeyed), keys, "left_anti").select(*columns)
 
 
 def version_copies(
@@ -107,9 +110,11 @@ def rows_to_append(
     if mode != "reference":
         raise ValueError(f"mode is 'idempotent' or 'reference', got {mode!r}")
     counted = version_copies(main, incoming, key, version)
-    repeated = counted.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
-    )
+    # Two steps, so that a large number of copies never becomes one large array.
+    first = F.explode(F.sequence(F.lit(0), F.col("copies") - 1, F.lit(_COPY_BLOCK)))
+    blocks = counted.withColumn("_first", first)
+    in_block = F.least(F.lit(_COPY_BLOCK), F.col("copies") - F.col("_first"))
+    repeated = blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), in_block)))
     return repeated.select(*incoming.columns)
 
 
@@ -140,20 +145,33 @@ def replace_window(
 
 
 def latest_version(
-    df: DataFrame, key: str = "url", version: str = "date_modified"
+    df: DataFrame,
+    key: str = "url",
+    version: str = "date_modified",
+    tie_columns: list[str] | None = None,
 ) -> DataFrame:
-    """The newest row per key; equal versions are settled by a hash of the row."""
-    return _one_per(df, [key], [F.col(version).desc_nulls_last(), tie_break(df.columns)])
+    """The newest row per key; equal versions are settled by a hash of ``tie_columns``.
+
+    The default hashes whole rows. Where (key, version) is unique, naming narrow columns
+    spares reading the wide ones.
+    """
+    tie = tie_break(df.columns if tie_columns is None else tie_columns)
+    return _one_per(df, [key], [F.col(version).desc_nulls_last(), tie])
 
 
 def latest_in_window(
-    df: DataFrame, start, end, key: str = "url", version: str = "date_modified"
+    df: DataFrame,
+    start,
+    end,
+    key: str = "url",
+    version: str = "date_modified",
+    tie_columns: list[str] | None = None,
 ) -> DataFrame:
     """The newest row per key among those inside the window.
 
     The filter comes first: it decides which rows compete, and it reaches the scan.
     """
-    return latest_version(filter_window(df, version, start, end), key, version)
+    return latest_version(filter_window(df, version, start, end), key, version, tie_columns)
 
 
 def version_counts(

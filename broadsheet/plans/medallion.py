@@ -15,7 +15,7 @@ from ..operators.extract import exclude_urls, extract_articles
 from ..operators.silver import explode_links, new_silver_articles
 from ..operators.upsert import new_versions
 from ..schemas import BRONZE, GOLD, GOLD_LINKS, SILVER, SILVER_LINKS, SITEMAP_URLS
-from ..session import stage
+from ..session import broadcast_if_small, stage
 from ..sources import tables as S
 from ..streaming.ingest import append_new_versions
 
@@ -49,7 +49,7 @@ def store_sitemap(incoming: DataFrame, layout: Layout) -> None:
 def select_pages(pages: DataFrame, urls: DataFrame, listing_url: str) -> DataFrame:
     """Fetched pages of the wanted urls, each once; the listing page and images drop out."""
     wanted = exclude_urls(urls.select("url"), listing_url).distinct()
-    return pages.join(wanted, "url", "left_semi")
+    return pages.join(broadcast_if_small(wanted), "url", "left_semi")
 
 
 def load_raw(pages: DataFrame, layout: Layout) -> None:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.windows import filter_window
 from ..operators import chunks as C
 from ..operators.search import bm25_index, save_bm25_index
+from ..schemas import CHUNK_DOCUMENTS
 from ..session import stage
+from ..sources.tables import save_table, stored_months_of
 
 
 def ingest(
@@ -34,8 +36,39 @@ def ingest(
     return merged, report
 
 
+def load_collection(
+    spark: SparkSession,
+    gold: DataFrame,
+    path: str,
+    embed: C.Embed,
+    dimension: int,
+    start: datetime,
+    end: datetime,
+) -> DataFrame:
+    """Upserts the articles of the window into the stored collection; returns the report.
+
+    Documents lie by month of their article, whose stamp is part of their id, so a document
+    and its replacement share a month: only the months of the window are rewritten.
+    """
+    articles = filter_window(gold, "date_modified", start, end)
+    usable, skipped = C.skip_blank(articles)
+    documents = C.build_chunk_documents(C.chunk_tokens(usable))
+    embedded = stage(
+        C.embed_chunks(documents, embed, dimension).select(*CHUNK_DOCUMENTS.fieldNames()), "embedded"
+    )
+    month_of = F.to_timestamp("metadata.date_modified")
+    dated = embedded.withColumns({"year": F.year(month_of), "month": F.month(month_of)})
+    stored = stored_months_of(spark, path, CHUNK_DOCUMENTS, dated)
+    merged = stage(C.upsert_documents(stored, embedded), "collection")
+    save_table(
+        merged.withColumns({"year": F.year(month_of), "month": F.month(month_of)}), path, mode="overwrite"
+    )
+    return C.ingest_report(articles, embedded, skipped)
+
+
 def publish_index(
     spark: SparkSession, documents: DataFrame, name: str, path: str, buckets: int = 200
 ) -> None:
     """Stores the lexical index of a collection under a catalog name."""
-    save_bm25_index(bm25_index(documents.filter(F.col("content").isNotNull())), name, path, buckets)
+    texts = documents.filter(F.col("content").isNotNull())
+    save_bm25_index(bm25_index(texts, partitions=buckets), name, path, buckets)

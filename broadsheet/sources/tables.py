@@ -123,19 +123,20 @@ def stored_months_of(
 ) -> DataFrame:
     """The stored rows of those months that ``incoming`` touches.
 
-    The equality on year and month lets Spark prune partitions while it runs. Rows without a
-    stamp have a partition of their own, read only when ``incoming`` has such rows.
+    The distinct months come to the driver, at most one row per month of the calendar, and
+    go back as a partition filter. Rows without a stamp have a partition of their own.
     """
     if not _path_exists(spark, path):
         return empty_like(spark, schema)
     fields = [f for f in schema.fields if f.name not in MONTH]
     months = [T.StructField(name, T.IntegerType()) for name in MONTH]
     stored = spark.read.schema(T.StructType(fields + months)).parquet(path)
-    touched = with_months(incoming, ts_col).select(*MONTH).distinct()
-    undated = touched.filter(F.col("year").isNull()).agg(F.count(F.lit(1))).scalar()
-    dated_rows = stored.join(touched, MONTH, "left_semi")
-    undated_rows = stored.filter(F.col("year").isNull()).filter(undated > 0)
-    return dated_rows.unionByName(undated_rows).select(*schema.fieldNames())
+    touched = with_months(incoming, ts_col).select(*MONTH).distinct().collect()
+    dated = [r.year * 12 + r.month for r in touched if r.year is not None and r.month is not None]
+    wanted = (F.col("year") * 12 + F.col("month")).isin(dated)
+    if len(dated) < len(touched):
+        wanted = wanted | F.col("year").isNull() | F.col("month").isNull()
+    return stored.filter(wanted).select(*schema.fieldNames())
 
 
 def _in_months(months: list[tuple[int, int]]) -> Column:
