@@ -343,7 +343,8 @@ def q_content_counts(spark, sf):
 
 def q_year_month(spark, sf):
     events = _table(spark, sf, "events")
-    return events.select("event_id", _long(F.year("ts"), "year"), _long(F.month("ts"), "month"))
+    found = events.withColumns(X.year_month(F.col("ts")))
+    return found.select("event_id", _long("year", "year"), _long("month", "month"))
 
 
 def q_row_id(spark, sf):
@@ -693,7 +694,7 @@ def _vector_questions(spark, sf) -> DataFrame:
 
 def _search(spark, sf, mode: str) -> DataFrame:
     index = R.bm25_index(_texts(spark, sf))
-    return R.search(mode, _collection(spark, sf), index, _vector_questions(spark, sf), dimension=VECTOR_SIZE)
+    return R.search_mode(mode, _collection(spark, sf), index, _vector_questions(spark, sf), dimension=VECTOR_SIZE)
 
 
 def q_search_keyword(spark, sf):
@@ -728,7 +729,7 @@ def q_hybrid_search(spark, sf):
 def q_dedup_hits_by_url(spark, sf):
     """Chunks of all article versions searched; each article is listed once per query."""
     articles = V.derive_articles(_bronze(spark, sf))
-    documents = C.chunk_articles(articles)
+    documents = stage(C.chunk_articles(articles), "collection")
     hits = R.bm25_topk(R.bm25_index(documents), _questions(spark, sf))
     found = R.dedup_hits_by_url(R.attach_documents(hits, documents))
     return found.select(

@@ -35,6 +35,11 @@ def word_count(content: Column) -> Column:
     return F.coalesce(pieces, F.lit(0).cast("bigint"))
 
 
+def year_month(stamp: Column) -> dict[str, Column]:
+    """The ``year`` and ``month`` columns of a stamp."""
+    return {"year": F.year(stamp), "month": F.month(stamp)}
+
+
 def row_id(*keys: Column) -> Column:
     """Surrogate key from the row's own key, so that a rebuild gives the same one."""
     texts = [F.coalesce(k.cast("string"), F.lit("\u0002")) for k in keys]

@@ -80,7 +80,7 @@ def check_limits(
 
 def author_snapshot(silver: DataFrame) -> DataFrame:
     """Sorted distinct authors, rebuilt on every run."""
-    return silver.select("author").distinct().orderBy(F.col("author").asc_nulls_first())
+    return silver.select("author").distinct().orderBy(F.col("author").asc_nulls_last())
 
 
 def classify_link(
@@ -103,6 +103,10 @@ def classify_link(
         .when(link.startswith("#"), INTERNAL_WORKING)
         .otherwise(internal)
     )
+    # A host with one square bracket alone cannot be joined.
+    host_text = F.regexp_extract(link, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
+    unreadable = host_text.contains("[") != host_text.contains("]")
+    kind = F.when((kind == internal) & unreadable, PARSE_ERROR).otherwise(kind)
     with_kind = links.withColumn("kind", kind)
     target = F.when(F.col("kind") == external, F.regexp_extract(link, absolute, 1)).when(
         F.col("kind") == internal, resolve_url(url, link)

@@ -82,14 +82,18 @@ def _dense_by_block(documents: DataFrame, queries: DataFrame, k: int, dimension:
     block = queries.toArrow()  # its size was checked by the caller
     query_ids = np.array(block["query_id"].to_pylist(), dtype=object)
     asked = unit(matrix(block["vector"], dimension)).T
+    rows_at_once = max(1, BLOCK_CELLS // max(1, len(query_ids)))
 
     def scan(batches):
         best = Best(len(query_ids), k)
-        for batch in batches:
-            ids = np.array(batch.column("id").to_pylist(), dtype=object)
-            scores = np.round(unit(matrix(batch.column("vector"), dimension)) @ asked, SCORE_DIGITS)
-            for query in range(len(query_ids)):
-                best.offer(query, ids, scores[:, query])
+        for whole in batches:
+            for first in range(0, whole.num_rows, rows_at_once):
+                batch = whole.slice(first, rows_at_once)
+                ids = np.array(batch.column("id").to_pylist(), dtype=object)
+                scores = unit(matrix(batch.column("vector"), dimension)) @ asked
+                scores = np.round(scores, SCORE_DIGITS)
+                for query in range(len(query_ids)):
+                    best.offer(query, ids, scores[:, query])
         yield best.table(query_ids, schema)
 
     return documents.mapInArrow(scan, ddl)
@@ -467,7 +471,7 @@ def hybrid_search(
 KEYWORD, CONTEXTUAL, HYBRID = "Keyword", "Contextual Search", "Hybrid Search"
 
 
-def search(
+def search_mode(
     mode: str,
     documents: DataFrame,
     index: LexicalIndex,

@@ -24,8 +24,7 @@ def derive_articles(versions: DataFrame) -> DataFrame:
             "days_between_published_modified": X.days_between(F.col("date_published"), modified),
             "content_paragraphs": X.paragraph_count(content),
             "total_content_words": X.word_count(content),
-            "year": F.year(modified),
-            "month": F.month(modified),
+            **X.year_month(modified),
         }
     ).select(*SILVER.fieldNames())
 

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import year_month
 from ..functions.windows import filter_window
 from ..operators import chunks as C
 from ..operators.search import bm25_index, save_bm25_index
@@ -57,12 +58,10 @@ def load_collection(
         C.embed_chunks(documents, embed, dimension).select(*CHUNK_DOCUMENTS.fieldNames()), "embedded"
     )
     month_of = F.to_timestamp("metadata.date_modified")
-    dated = embedded.withColumns({"year": F.year(month_of), "month": F.month(month_of)})
+    dated = embedded.withColumns(year_month(month_of))
     stored = stored_months_of(spark, path, CHUNK_DOCUMENTS, dated)
     merged = stage(C.upsert_documents(stored, embedded), "collection")
-    save_table(
-        merged.withColumns({"year": F.year(month_of), "month": F.month(month_of)}), path, mode="overwrite"
-    )
+    save_table(merged.withColumns(year_month(month_of)), path, mode="overwrite")
     return C.ingest_report(articles, embedded, skipped)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import year_month
 from ..functions.windows import filter_window, in_window, months_in
 from ..operators.upsert import new_versions, replace_window
 from ..schemas import BRONZE, RAW
@@ -81,7 +82,7 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 def with_months(df: DataFrame, ts_col: str = "date_modified") -> DataFrame:
     if set(MONTH) <= set(df.columns):
         return df
-    return df.withColumns({"year": F.year(ts_col), "month": F.month(ts_col)})
+    return df.withColumns(year_month(F.col(ts_col)))
 
 
 def save_table(
@@ -107,8 +108,11 @@ def write_raw(articles: DataFrame, base: str) -> None:
     cannot be read while its files are being replaced.
     """
     spark = articles.sparkSession
-    empty = empty_like(spark, RAW)
-    incoming = stage(new_versions(empty, apply_raw_schema(articles)), "raw-incoming")
+    incoming = new_versions(empty_like(spark, RAW), apply_raw_schema(articles))
+    if not _path_exists(spark, base):
+        save_table(incoming, base)
+        return
+    incoming = stage(incoming, "raw-incoming")
     stored = stored_months_of(spark, base, RAW, incoming)
     kept = stage(new_versions(incoming, stored), "raw-kept")
     save_table(incoming.unionByName(kept), base, mode="overwrite")

@@ -104,6 +104,7 @@ CASES = [
     ("see-mail", None, None),
     ("", "internal", "https://b.example/c/p"),
     (None, "parse_error", None),
+    ("//[http", "parse_error", None),
 ]
 
 

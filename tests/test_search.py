@@ -257,13 +257,13 @@ def test_search_modes(spark, corpus):
     questions = C.embed_chunks(asked, embed, 32, content_col="text")
     index = R.bm25_index(texts)
     for mode in (R.KEYWORD, R.CONTEXTUAL, R.HYBRID):
-        hits = R.search(mode, documents, index, questions, dimension=32)
+        hits = R.search_mode(mode, documents, index, questions, dimension=32)
         assert hits.columns == ["query_id", "id", "score", "rank"]
         per_query = Counter(r.query_id for r in hits.collect())
         assert max(per_query.values()) == 5
         assert R.attach_documents(hits, documents).count() == sum(per_query.values())
     with pytest.raises(ValueError):
-        R.search("other", documents, index, questions)
+        R.search_mode("other", documents, index, questions)
 
 
 def test_first_hit_per_url(spark):
