@@ -664,6 +664,11 @@ def q_bm25_topk(spark, sf):
     return _hits(R.bm25_topk(R.bm25_index(_texts(spark, sf)), _questions(spark, sf)))
 
 
+def q_bm25_scan(spark, sf):
+    """The same search straight over the texts."""
+    return _hits(R.bm25_scan(_texts(spark, sf), _questions(spark, sf)))
+
+
 def q_bm25_stored_index(spark, sf):
     """The same search over an index stored as bucketed tables."""
     path = scratch_path(spark, "index")
@@ -693,8 +698,7 @@ def _vector_questions(spark, sf) -> DataFrame:
 
 
 def _search(spark, sf, mode: str) -> DataFrame:
-    index = R.bm25_index(_texts(spark, sf))
-    return R.search_mode(mode, _collection(spark, sf), index, _vector_questions(spark, sf), dimension=VECTOR_SIZE)
+    return R.search_mode(mode, _collection(spark, sf), None, _vector_questions(spark, sf), dimension=VECTOR_SIZE)
 
 
 def q_search_keyword(spark, sf):
@@ -709,7 +713,7 @@ def q_rrf_fuse(spark, sf):
     """Both branches at depth 20, fused to 10."""
     asked = _vector_questions(spark, sf)
     dense = R.dense_topk(_collection(spark, sf), asked, 20, VECTOR_SIZE)
-    lexical = R.bm25_topk(R.bm25_index(_texts(spark, sf)), asked, 20)
+    lexical = R.bm25_scan(_texts(spark, sf), asked, 20)
     return _hits(R.rrf_fuse([dense, lexical]))
 
 
@@ -730,7 +734,7 @@ def q_dedup_hits_by_url(spark, sf):
     """Chunks of all article versions searched; each article is listed once per query."""
     articles = V.derive_articles(_bronze(spark, sf))
     documents = stage(C.chunk_articles(articles), "collection")
-    hits = R.bm25_topk(R.bm25_index(documents), _questions(spark, sf))
+    hits = R.bm25_scan(documents, _questions(spark, sf))
     found = R.dedup_hits_by_url(R.attach_documents(hits, documents))
     return found.select(
         "query_id", _long("rank", "rank"), "url", "author", "date_published", _list("tags")
@@ -1173,6 +1177,7 @@ def oracle_sql() -> dict[str, str]:
         "bm25_corpus": f"""{texts}, asked AS (SELECT 0 AS query_id, '' AS text), {_bm25('texts', 1)}
           SELECT n AS n_docs, round(avg_length, 6) AS avg_length FROM corpus""",
         "bm25_topk": bm25,
+        "bm25_scan": bm25,
         "bm25_stored_index": bm25,
         "search_keyword": f"WITH {_ASKED}, {_bm25('texts', 5)} SELECT {_HIT_COLUMNS} FROM lexical",
         "search_contextual": f"WITH {_ASKED}, {_dense('vectors', 'asked', 5)} SELECT {_HIT_COLUMNS} FROM dense",

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -50,8 +51,8 @@ class Best:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.repeat(query_ids, counts).tolist(), schema.field(0).type),
-                pa.array(np.concatenate(self.ids).tolist(), schema.field(1).type),
-                pa.array(np.concatenate(self.scores), pa.float64()),
+                pa.array(np.concatenate([*self.ids, np.empty(0, dtype=object)]).tolist(), schema.field(1).type),
+                pa.array(np.concatenate([*self.scores, np.empty(0)]), pa.float64()),
             ],
             schema=schema,
         )
@@ -61,3 +62,18 @@ def signatures(vectors: np.ndarray, planes: np.ndarray, tables: int, bits: int)
     """Per vector and table the number whose bits say on which side of each plane it lies."""
     sides = (vectors @ planes >= 0).reshape(len(vectors), tables, bits)
     return sides @ (1 << np.arange(bits))
+
+
+def term_cells(terms: pa.ListArray, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Term counts of a batch of documents, for the terms of a small vocabulary only.
+
+    Gives the cells ``row * len(vocabulary) + term`` with a count, those counts, and the
+    lengths of all documents.
+    """
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(terms), 0))
+    flat = terms.flatten()
+    found = np.asarray(pc.fill_null(pc.index_in(flat, value_set=vocabulary.cast(flat.type)), -1))
+    rows = np.repeat(np.arange(len(terms)), lengths)
+    known = found >= 0
+    cells, counts = np.unique(rows[known] * len(vocabulary) + found[known], return_counts=True)
+    return cells, counts, lengths

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.ranking import Best, matrix, signatures, unit
+from ..functions.ranking import Best, matrix, signatures, term_cells, unit
 from ..functions.text import analyze
 from ..session import broadcast_if_small, fits
 
@@ -304,25 +304,38 @@ def load_bm25_index(spark: SparkSession, name: str) -> LexicalIndex:
     return LexicalIndex(*(spark.table(f"{name}_{p}") for p in ("postings", "term_stats", "corpus")))
 
 
-def _score_by_block(postings: DataFrame, weighted: pa.Table, k: int) -> DataFrame:
+def _query_terms(queries: DataFrame, id_col: str, text_col: str, analyzer) -> DataFrame:
+    return (
+        queries.select(
+            F.col(id_col).alias("query_id"), F.explode(analyzer(F.col(text_col))).alias("term")
+        )
+        .groupBy("query_id", "term")
+        .agg(F.count(F.lit(1)).alias("query_tf"))
+    )
+
+
+def _term_matrix(entries: pa.Table, value: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms, distinct queries, and ``value`` as a matrix of one by the other."""
+    terms, row = np.unique(np.array(entries["term"].to_pylist(), dtype=object), return_inverse=True)
+    asked, column = np.unique(
+        np.array(entries["query_id"].to_pylist(), dtype=object), return_inverse=True
+    )
+    cells = np.zeros((len(terms), len(asked)))
+    np.add.at(cells, (row, column), np.asarray(entries[value], dtype=np.float64))
+    return terms, asked, cells
+
+
+def _score_by_block(
+    postings: DataFrame, queries: DataFrame, weighted: pa.Table, k: int
+) -> DataFrame:
     """Score every document against all queries where its postings lie.
 
     The weights of the query terms form a small matrix each task holds. A document brings a
     list of its query terms, so scores are a matrix product and a task passes on only its
     best ``k`` per query instead of one row per document and query.
     """
-    query_type, id_type = weighted.schema.field("query_id").type, _arrow_type(postings, "id")
-    schema = pa.schema([("query_id", query_type), ("id", id_type), ("score", pa.float64())])
-
-    terms, term_at = np.unique(
-        np.array(weighted["term"].to_pylist(), dtype=object), return_inverse=True
-    )
-    asked, asked_at = np.unique(
-        np.array(weighted["query_id"].to_pylist(), dtype=object), return_inverse=True
-    )
-    weights = np.zeros((len(terms), len(asked)))
-    np.add.at(weights, (term_at, asked_at), np.asarray(weighted["weight"]))
-
+    schema, ddl = _hit_types(postings, queries)
+    terms, asked, weights = _term_matrix(weighted, "weight")
     numbers = pa.table(
         {
             "term": pa.array(terms.tolist(), pa.string()),
@@ -355,9 +368,7 @@ def _score_by_block(postings: DataFrame, weighted: pa.Table, k: int) -> DataFram
                     best.offer(query, ids[hit], np.round(scores[hit, query], SCORE_DIGITS))
         yield best.table(asked, schema)
 
-    id_ddl = postings.schema["id"].dataType.simpleString()
-    query_ddl = "string" if pa.types.is_string(query_type) else "bigint" if query_type == pa.int64() else "int"
-    return documents.mapInArrow(scan, f"query_id {query_ddl}, id {id_ddl}, score double")
+    return documents.mapInArrow(scan, ddl)
 
 
 def _score_by_join(postings: DataFrame, weighted: DataFrame) -> DataFrame:
@@ -386,14 +397,7 @@ def bm25_topk(
     A term repeated in the query counts each time. Query terms that fit one block go to every
     task; larger sets are joined by term. Both give the same hits.
     """
-    query_terms = (
-        queries.select(
-            F.col(query_id_col).alias("query_id"),
-            F.explode(analyzer(F.col(query_text_col))).alias("term"),
-        )
-        .groupBy("query_id", "term")
-        .agg(F.count(F.lit(1)).alias("query_tf"))
-    )
+    query_terms = _query_terms(queries, query_id_col, query_text_col, analyzer)
     figures = index.corpus.first()  # one row
     length = k1 * (1.0 - b + b * F.col("doc_length") / F.lit(figures["avg_length"]))
     tf_part = F.col("tf") * (k1 + 1.0) / (F.col("tf") + length)
@@ -417,10 +421,86 @@ def bm25_topk(
     block = weighted.toArrow()  # no more rows than the query terms that fit
     n_cells = len(pc.unique(block["term"])) * len(pc.unique(block["query_id"]))
     if n_cells <= BLOCK_CELLS:
-        return top_k(_score_by_block(postings, block, k), k)
+        return top_k(_score_by_block(postings, query_terms, block, k), k)
     return top_k(_score_by_join(postings, F.broadcast(weighted)), k)
 
 
+def bm25_scan(
+    documents: DataFrame,
+    queries: DataFrame,
+    k: int = DEFAULT_K,
+    id_col: str = "id",
+    text_col: str = "content",
+    query_id_col: str = "query_id",
+    query_text_col: str = "text",
+    analyzer=analyze,
+    k1: float = BM25_K1,
+    b: float = BM25_B,
+) -> DataFrame:
+    """``bm25_topk`` straight over texts without an index: two passes, no shuffle of texts.
+
+    The first pass counts in how many documents each query term occurs and how long the
+    documents are, the second scores. Query sets beyond one block go through an index.
+    """
+    query_terms = _query_terms(queries, query_id_col, query_text_col, analyzer)
+    entries = query_terms.toArrow() if fits(query_terms, MAX_QUERY_TERMS) else None
+    if entries is not None:
+        terms, asked, query_tf = _term_matrix(entries, "query_tf")
+    if entries is None or query_tf.size > BLOCK_CELLS:
+        index = bm25_index(documents, id_col, text_col, analyzer)
+        return bm25_topk(index, queries, k, query_id_col, query_text_col, analyzer, k1, b)
+
+    n_terms = len(terms)
+    vocabulary = pa.array(terms.tolist(), pa.string())
+    texts = documents.select(F.col(id_col).alias("id"), analyzer(F.col(text_col)).alias("terms"))
+
+    def count(batches):
+        # One slot per term, then the number of documents and their total length.
+        totals = np.zeros(n_terms + 2, dtype=np.int64)
+        for batch in batches:
+            cells, _, lengths = term_cells(batch.column("terms"), vocabulary)
+            totals[:n_terms] += np.bincount(cells % max(1, n_terms), minlength=n_terms)[:n_terms]
+            totals[n_terms:] += (len(lengths), lengths.sum())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(n_terms + 2)), pa.array(totals)], names=["slot", "n"]
+        )
+
+    counted = (
+        texts.select("terms")
+        .mapInArrow(count, "slot bigint, n bigint")
+        .groupBy("slot")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()  # one row per slot
+    )
+    totals = np.zeros(n_terms + 2)
+    totals[np.asarray(counted["slot"])] = np.asarray(counted["n"])
+    frequency, (n_docs, total_length) = totals[:n_terms], totals[n_terms:]
+    idf = np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5))
+    weights = idf[:, None] * query_tf
+    mean_length = total_length / n_docs if total_length else 1.0
+
+    schema, ddl = _hit_types(texts, query_terms)
+    rows_at_once = max(1, BLOCK_CELLS // max(1, n_terms, len(asked)))
+
+    def score(batches):
+        best = Best(len(asked), k)
+        for whole in batches:
+            for first in range(0, whole.num_rows, rows_at_once):
+                batch = whole.slice(first, rows_at_once)
+                ids = np.array(batch.column("id").to_pylist(), dtype=object)
+                cells, tf, lengths = term_cells(batch.column("terms"), vocabulary)
+                damping = k1 * (1.0 - b + b * lengths / mean_length)
+                parts = np.zeros(batch.num_rows * n_terms)
+                parts[cells] = tf * (k1 + 1.0) / (tf + damping[cells // max(1, n_terms)])
+                scores = parts.reshape(-1, n_terms) @ weights if n_terms else np.zeros((len(ids), 0))
+                for query in range(len(asked)):
+                    hit = np.flatnonzero(scores[:, query] > 0)
+                    best.offer(query, ids[hit], np.round(scores[hit, query], SCORE_DIGITS))
+        yield best.table(asked, schema)
+
+    return top_k(texts.mapInArrow(score, ddl), k)
+
+
 # --- fusion ----------------------------------------------------------------------------------
 
 
@@ -450,9 +530,15 @@ def attach_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:
     return documents.select("id", "content", "metadata").join(broadcast_if_small(hits), "id")
 
 
+def keyword_search(
+    documents: DataFrame, index: LexicalIndex | None, queries: DataFrame, k: int = DEFAULT_K
+) -> DataFrame:
+    return bm25_scan(documents, queries, k) if index is None else bm25_topk(index, queries, k)
+
+
 def hybrid_search(
     documents: DataFrame,
-    index: LexicalIndex,
+    index: LexicalIndex | None,
     queries: DataFrame,
     k: int = DEFAULT_K,
     dimension: int = 1536,
@@ -460,10 +546,10 @@ def hybrid_search(
 ) -> DataFrame:
     """Dense and lexical search fused. Queries have query_id, text and dense_vector.
 
-    Each branch fetches twice ``k``.
+    Each branch fetches twice ``k``. Without an index the texts themselves are scanned.
     """
     dense = dense_topk(documents, queries, OVERFETCH * k, dimension)
-    lexical = bm25_topk(index, queries, OVERFETCH * k)
+    lexical = keyword_search(documents, index, queries, OVERFETCH * k)
     return rrf_fuse([dense, lexical], limit=k, weights=weights)
 
 
@@ -474,14 +560,14 @@ KEYWORD, CONTEXTUAL, HYBRID = "Keyword", "Contextual Search", "Hybrid Search"
 def search_mode(
     mode: str,
     documents: DataFrame,
-    index: LexicalIndex,
+    index: LexicalIndex | None,
     queries: DataFrame,
     k: int = DASHBOARD_K,
     dimension: int = 1536,
 ) -> DataFrame:
     """Search in one of the three modes."""
     if mode == KEYWORD:
-        return bm25_topk(index, queries, k)
+        return keyword_search(documents, index, queries, k)
     if mode == CONTEXTUAL:
         return dense_topk(documents, queries, k, dimension)
     if mode == HYBRID:

@@ -209,15 +209,26 @@ def corpus(spark):
     return texts, asked
 
 
-@pytest.mark.parametrize("way", ["block", "small join", "large join"])
+@pytest.mark.parametrize("way", ["block", "small join", "large join", "scan", "large scan"])
 def test_bm25_by_brute_force(spark, corpus, way, monkeypatch):
-    if way == "small join":
+    if way in ("small join", "large scan"):
         monkeypatch.setattr(R, "BLOCK_CELLS", 0)
-    hits = R.bm25_topk(R.bm25_index(corpus[0]), corpus[1], 4, max_broadcast=0 if way == "large join" else 1000)
+    if way.endswith("scan"):
+        hits = R.bm25_scan(*corpus, 4)
+    else:
+        hits = R.bm25_topk(R.bm25_index(corpus[0]), corpus[1], 4, max_broadcast=0 if way == "large join" else 1000)
     got = {(r.query_id, r.id, r.rank): r.score for r in hits.collect()}
     assert got == pytest.approx(bm25(TEXTS, ASKED, 4), abs=2e-6)
 
 
+def test_scan_without_hits(spark, corpus):
+    nothing = spark.createDataFrame([(1, "zzz"), (2, "")], "query_id bigint, text string")
+    assert R.bm25_scan(corpus[0], nothing).count() == 0
+    assert R.bm25_scan(corpus[0], nothing.filter("query_id = 2")).count() == 0
+    assert R.bm25_scan(corpus[0].limit(0), corpus[1]).count() == 0
+    assert R.bm25_topk(R.bm25_index(corpus[0]), nothing).count() == 0
+
+
 def test_stored_index(spark, corpus, tmp_path):
     retrieval.publish_index(spark, corpus[0], "stored_test", str(tmp_path), buckets=3)
     hits = R.bm25_topk(R.load_bm25_index(spark, "stored_test"), corpus[1], 4)
@@ -258,6 +269,8 @@ def test_search_modes(spark, corpus):
     index = R.bm25_index(texts)
     for mode in (R.KEYWORD, R.CONTEXTUAL, R.HYBRID):
         hits = R.search_mode(mode, documents, index, questions, dimension=32)
+        unindexed = R.search_mode(mode, documents, None, questions, dimension=32)
+        assert set(hits.collect()) == set(unindexed.collect())
         assert hits.columns == ["query_id", "id", "score", "rank"]
         per_query = Counter(r.query_id for r in hits.collect())
         assert max(per_query.values()) == 5
