@@ -744,7 +744,6 @@ def q_dedup_hits_by_url(spark, sf):
 def q_ingest_stream(spark, sf):
     """Raw files streamed into bronze twice; the second run finds nothing new."""
     base, bronze, mark = (scratch_path(spark, n) for n in ("raw", "bronze", "offsets"))
-    _table(spark, sf, "documents")
     S.write_raw(S.with_months(_bronze(spark, sf)), base)
     ingest_stream(spark, base, bronze, mark).awaitTermination()
     ingest_stream(spark, base, bronze, mark + "-again").awaitTermination()
@@ -1155,7 +1154,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT id, unnest(regexp_extract_all(lower(content), '[\p{{L}}\p{{N}}]+')) AS word FROM chunks),
           counts AS (SELECT id, CAST('0x' || left(md5(word), 8) AS BIGINT) % 64 AS slot, count(*) AS n
             FROM words GROUP BY ALL)
-          SELECT id, slot, round(n / sqrt(sum(n * n) OVER (PARTITION BY id)), 4) AS weight FROM counts""",
+          -- Vectors are stored in single precision.
+          SELECT id, slot, round(CAST(CAST(n / sqrt(sum(n * n) OVER (PARTITION BY id)) AS FLOAT) AS DOUBLE), 4)
+            AS weight FROM counts""",
         "upsert_documents": """SELECT coalesce(page_id, doc_id) AS id, md5(coalesce(html, text)) AS digest
           FROM documents FULL JOIN pages ON page_id = doc_id""",
         "ingest_report": f"""{latest}, {_chunked('latest')},

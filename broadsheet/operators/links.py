@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.urls import resolve_url
 from ..functions.windows import filter_window
@@ -49,12 +50,18 @@ def check_limits(
     One pass: each row yields its violations as an array that is then flattened.
     """
     limits = GOLD_LIMITS if limits is None else limits
+
+    def length(c: str) -> Column:
+        """Characters of a text, or of the JSON text a struct is stored as."""
+        nested = isinstance(df.schema[c].dataType, T.StructType)
+        return F.char_length(F.to_json(c) if nested else F.col(c))
+
     found = [
         F.when(
-            F.char_length(F.col(c)) > n,
+            length(c) > n,
             F.struct(
                 F.lit(c).alias("column"),
-                F.char_length(F.col(c)).cast("bigint").alias("size"),
+                length(c).cast("bigint").alias("size"),
                 F.lit(n).cast("bigint").alias("allowed"),
             ),
         )

@@ -128,8 +128,11 @@ def _dense_by_tile(documents: DataFrame, queries: DataFrame, k: int, dimension:
         left = unit(matrix(docs["vector"], dimension))
         right = unit(matrix(asked["vector"], dimension))
         best = Best(len(query_ids), k)
-        for query in range(len(query_ids)):
-            best.offer(query, ids, np.round(left @ right[query], SCORE_DIGITS))
+        at_once = max(1, BLOCK_CELLS // len(ids))
+        for first in range(0, len(query_ids), at_once):
+            scores = np.round(left @ right[first : first + at_once].T, SCORE_DIGITS)
+            for offset in range(scores.shape[1]):
+                best.offer(first + offset, ids, scores[:, offset])
         return pa.Table.from_batches([best.table(query_ids, schema)])
 
     keys = ["doc_tile", "query_tile"]

@@ -13,7 +13,7 @@ from broadsheet.functions import text as X
 from broadsheet.operators import dashboard as D
 from broadsheet.operators import links as L
 from broadsheet.operators import silver as V
-from broadsheet.schemas import BRONZE, GOLD, GOLD_LINKS, SILVER, SILVER_LINKS
+from broadsheet.schemas import BRONZE, DOCUMENT_LIMITS, GOLD, GOLD_LINKS, SILVER, SILVER_LINKS
 
 FIRST, LAST = datetime(2023, 1, 1), datetime(2023, 12, 31, 23, 59, 59)
 
@@ -92,6 +92,13 @@ def test_check_limits(spark):
     assert sorted(map(tuple, found.collect())) == [("1", "title", 5, 4), ("1", "v", 1, 2)]
 
 
+def test_check_limits_of_documents(spark):
+    rows = [("i" * 129, "c", {"url": "u"}), ("1", "c" * 65536, {"url": "u" * 65530})]
+    df = spark.createDataFrame(rows, "id string, content string, metadata struct<url:string>")
+    found = L.check_limits(df, DOCUMENT_LIMITS, id_col="id").collect()
+    assert {(r.id[:1], r.column) for r in found} == {("i", "id"), ("1", "content"), ("1", "metadata")}
+
+
 CASES = [
     ("https://e.example/a", "external", "https://e.example/a"),
     ("https://e.example/a) x", "external", "https://e.example/a"),
