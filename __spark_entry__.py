@@ -30,6 +30,13 @@ from broadsheet.sources import posts as A
 from broadsheet.sources import tables as S
 from broadsheet.streaming.ingest import ingest_stream
 
+try:  # the package for training data can be left out together with its pipeline
+    from broadsheet.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("broadsheet.llm", "broadsheet.llm.queries", "corpus_pipeline"):
+        raise
+    _llm = None
+
 TODAY = date(2028, 12, 31)
 ALL_MONTHS = month_window(2021, 1, 2028, 12, TODAY)
 SOME_MONTHS = month_window(2022, 3, 2026, 12, TODAY)
@@ -801,9 +808,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        name[2:]: query for name, query in globals().items() if name.startswith("q_")
-    }
+    own = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    return own | (_llm.queries() if _llm else {})
 
 
 # --- SQL counterparts ------------------------------------------------------------------------
@@ -1001,7 +1007,7 @@ def oracle_sql() -> dict[str, str]:
         f" SELECT {_HIT_COLUMNS} FROM lexical"
     )
     order = "ORDER BY date_published DESC NULLS FIRST, date_modified DESC, url"
-    return {
+    return (_llm.oracle_sql() if _llm else {}) | {
         "read_pages": "SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars FROM pages",
         "raw_dataset": all_articles,
         "raw_year": f"{posts} SELECT url, {_ts('date_modified')} FROM posts WHERE year(date_modified) = 2024",
