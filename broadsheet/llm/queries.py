@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import jaccard
+from broadsheet.llm import jaccard, substring
 from broadsheet.session import prepare
 
 
@@ -13,12 +13,18 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_substring_dedup(spark, sf):
+    found = substring.remove_repeats(_table(spark, sf, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_ngram_jaccard_join(spark, sf):
     return jaccard.link_documents(_table(spark, sf, "documents"))
 
 
 def queries() -> dict:
     return {
+        "op2_substring_dedup": op2_substring_dedup,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     }
 
