@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import jaccard, substring
+from broadsheet.llm import bpe, jaccard, substring
 from broadsheet.session import prepare
 
 
@@ -18,6 +20,21 @@ def op2_substring_dedup(spark, sf):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_byte_bpe(spark, sf):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coded = bpe.decode(bpe.encode(_table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return coded.select("doc_id", *token_digests())
+
+
+def token_digests() -> list:
+    """Counts and digests of decoded token ids."""
+    return [
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("token_ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    ]
+
+
 def op6_ngram_jaccard_join(spark, sf):
     return jaccard.link_documents(_table(spark, sf, "documents"))
 
@@ -25,6 +42,7 @@ def op6_ngram_jaccard_join(spark, sf):
 def queries() -> dict:
     return {
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_byte_bpe": op3_byte_bpe,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     }
 
