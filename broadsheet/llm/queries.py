@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import bpe, jaccard, substring
+from broadsheet.llm import bpe, jaccard, pii, substring
 from broadsheet.session import prepare
 
 
@@ -35,6 +35,18 @@ def token_digests() -> list:
     ]
 
 
+def op5_pii(spark, sf):
+    found = pii.find(_table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["order"] < pii.BASE)
+    counts = [
+        F.size(F.filter(F.col("pii.kind"), F.lit(kind.name).eqNullSafe)).cast("long").alias(f"n_{kind.name}")
+        for kind in pii.KINDS[: pii.BASE]
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.as_text(base), 256).alias("base_sha256"), pii.as_text("pii").alias("spans")
+    )
+
+
 def op6_ngram_jaccard_join(spark, sf):
     return jaccard.link_documents(_table(spark, sf, "documents"))
 
@@ -43,6 +55,7 @@ def queries() -> dict:
     return {
         "op2_substring_dedup": op2_substring_dedup,
         "op3_byte_bpe": op3_byte_bpe,
+        "op5_pii": op5_pii,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     }
 
