@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import bpe, jaccard, pii, substring
-from broadsheet.session import prepare
+from broadsheet.llm import bpe, jaccard, pii, substring, warc
+from broadsheet.session import prepare, scratch_path
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -51,12 +51,27 @@ def op6_ngram_jaccard_join(spark, sf):
     return jaccard.link_documents(_table(spark, sf, "documents"))
 
 
+def op10_warc(spark, sf):
+    path = scratch_path(spark, "warc")
+    warc.write_archives(_table(spark, sf, "pages"), path)
+    records = warc.read_archives(spark, path, with_payload=False).filter("problem IS NULL")
+    page = lambda c: F.regexp_extract(c, "([0-9-]*)$", 1).try_cast("long")
+    return records.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
 def queries() -> dict:
     return {
         "op2_substring_dedup": op2_substring_dedup,
         "op3_byte_bpe": op3_byte_bpe,
         "op5_pii": op5_pii,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+        "op10_warc": op10_warc,
     }
 
 
