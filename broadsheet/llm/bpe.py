@@ -25,9 +25,9 @@ _NONE = np.int64(1 << 62)
 #: Pieces of more bytes get a tree of their own.
 LONG = 64
 #: Words remembered per generation; two generations are held.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Characters of the documents whose words are looked up together.
-GROUP_CHARS = 6_000_000
+GROUP_CHARS = 3_000_000
 
 
 class Vocabulary:
@@ -35,9 +35,6 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
         self.single = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
         pairs = {
@@ -50,21 +47,37 @@ class Vocabulary:
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_ranks = np.array([pairs[k] for k in sorted(pairs)], np.int64)
 
-    @classmethod
-    def parse(cls, data: bytes) -> Vocabulary:
-        """From lines of a base64 token and its rank."""
-        lines = (line.split() for line in data.splitlines() if line)
-        return cls({base64.b64decode(token): int(rank) for token, rank in lines})
-
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = (left << 32) | right
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], _NONE)
 
 
+def parse_ranks(data: bytes) -> dict[bytes, int]:
+    """From lines of a base64 token and its rank."""
+    lines = (line.split() for line in data.splitlines() if line)
+    return {base64.b64decode(token): int(rank) for token, rank in lines}
+
+
+class Decoder:
+    """The bytes of token ids."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = sorted(ranks, key=ranks.__getitem__)
+        self.size = np.zeros(max(ranks.values()) + 1, np.int32)
+        self.size[[ranks[t] for t in tokens]] = [len(t) for t in tokens]
+        self.start = (np.cumsum(self.size) - self.size).astype(np.int32)
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        sizes = self.size[ids]
+        before = np.cumsum(sizes, dtype=np.int64) - sizes
+        return self.bytes[np.arange(sizes.sum()) + np.repeat(self.start[ids] - before, sizes)].tobytes()
+
+
 @lru_cache(maxsize=2)
-def _vocabulary(data: bytes) -> Vocabulary:
-    return Vocabulary.parse(data)
+def _decoder(data: bytes) -> Decoder:
+    return Decoder(parse_ranks(data))
 
 
 class PairTree:
@@ -252,7 +265,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def _encoder(data: bytes, pattern: str) -> Encoder:
-    return Encoder(_vocabulary(data), pattern)
+    return Encoder(Vocabulary(parse_ranks(data)), pattern)
 
 
 def groups(texts: list[str | None], most: int = GROUP_CHARS) -> Iterator[list[str]]:
@@ -307,12 +320,10 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _vocabulary(shared.value).tokens.__getitem__
+        decoder = _decoder(shared.value)
         for batch in batches:
             lists = batch["token_ids"]
-            bodies = [
-                b"".join(map(token, ids.values.to_pylist())) if ids.is_valid else None for ids in lists
-            ]
+            bodies = [decoder.decode(ids.values.to_numpy()) if ids.is_valid else None for ids in lists]
             yield pa.record_batch(
                 [batch["doc_id"], lists, pa.array(bodies, pa.binary())],
                 names=["doc_id", "token_ids", "decoded"],
