@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import bpe, jaccard, pii, substring, warc
+from broadsheet.llm import bpe, jaccard, pii, substring, toxicity, warc
 from broadsheet.session import prepare, scratch_path
 
 
@@ -51,6 +51,17 @@ def op6_ngram_jaccard_join(spark, sf):
     return jaccard.link_documents(_table(spark, sf, "documents"))
 
 
+def op9_toxicity(spark, sf):
+    docs = _table(spark, sf, "documents")
+    model = toxicity.train(docs, _table(spark, sf, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_warc(spark, sf):
     path = scratch_path(spark, "warc")
     warc.write_archives(_table(spark, sf, "pages"), path)
@@ -71,6 +82,7 @@ def queries() -> dict:
         "op3_byte_bpe": op3_byte_bpe,
         "op5_pii": op5_pii,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+        "op9_toxicity": op9_toxicity,
         "op10_warc": op10_warc,
     }
 
