@@ -212,7 +212,8 @@ class Encoder:
         self.vocabulary = vocabulary
         # White space as Unicode defines it, without the separators U+001C to U+001F.
         pattern = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
-        self.pieces = regex.compile(pattern).findall
+        compiled = regex.compile(pattern)
+        self.pieces, self.piece_matches = compiled.findall, compiled.finditer
         # A space before a visible character begins a piece, so texts can be cut there.
         self.uneven = regex.compile(r" (?:\p{White_Space}|\Z)").search
         self.cut = regex.compile(r" (?=\P{White_Space})").split
@@ -239,12 +240,14 @@ class Encoder:
                     out[i] = ids
         return out
 
+    def piece_ids(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids, as int32 bytes, of each piece."""
+        return self.known_pieces.of(pieces, lambda missing: self.merge(list(map(str.encode, missing))))
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids, as int32 bytes, of each string."""
         cut = list(map(self.pieces, words))
-        known = self.known_pieces.of(
-            set(chain.from_iterable(cut)), lambda pieces: self.merge(list(map(str.encode, pieces)))
-        )
+        known = self.piece_ids(set(chain.from_iterable(cut)))
         return [
             known[pieces[0]] if len(pieces) == 1 else b"".join(map(known.__getitem__, pieces)) for pieces in cut
         ]

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import bpe, jaccard, pii, substring, toxicity, warc
+from broadsheet.llm import bpe, decontaminate, jaccard, pii, substring, token_counts, toxicity, warc
 from broadsheet.session import prepare, scratch_path
 
 
@@ -51,6 +51,32 @@ def op6_ngram_jaccard_join(spark, sf):
     return jaccard.link_documents(_table(spark, sf, "documents"))
 
 
+def op7_decontamination(spark, sf):
+    return decontaminate.find_contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def op8_token_counts(spark, sf):
+    """Counts before and after every document has had its personal data replaced, from its end to its
+    start, and a line put in its middle."""
+    found = pii.find(_table(spark, sf, "documents").select("doc_id", "text"))
+    spans = F.transform(
+        F.reverse("pii"),
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            s["end"].alias("stop"),
+            F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("replacement"),
+        ),
+    )
+    middle = F.floor(F.char_length("text") / 2).cast("int")
+    line = F.struct(middle.alias("start"), middle.alias("stop"), F.lit("\n[edited]\n").alias("replacement"))
+    edited = found.withColumn("edits", F.concat(spans, F.array(line)))
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    counted = token_counts.count_edited(edited, ranks, public_tokenizers.PATTERN)
+    return counted.select(
+        "doc_id", "n_before", "n_tokens", "n_edits", "n_encoded", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op9_toxicity(spark, sf):
     docs = _table(spark, sf, "documents")
     model = toxicity.train(docs, _table(spark, sf, "labels"))
@@ -82,6 +108,8 @@ def queries() -> dict:
         "op3_byte_bpe": op3_byte_bpe,
         "op5_pii": op5_pii,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+        "op7_decontamination": op7_decontamination,
+        "op8_token_counts": op8_token_counts,
         "op9_toxicity": op9_toxicity,
         "op10_warc": op10_warc,
     }
