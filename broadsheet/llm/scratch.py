@@ -17,7 +17,7 @@ class Scratch:
     def write(self, df: DataFrame) -> DataFrame:
         """``df`` read back from a table that holds it."""
         path = f"{self.base}/{len(self.paths)}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         self.paths[len(self.paths)] = path
         back._scratch_path = path

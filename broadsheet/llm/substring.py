@@ -13,11 +13,11 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +26,11 @@ from broadsheet.llm.scratch import Scratch
 
 WINDOW = 13
 _NO_ID = (1 << 63) - 1
-_DOCS = "chunk long, doc_id long, n_words long, body binary, starts binary"
+#: ``packed`` is the text, compressed: it is stored, and where there are hits it moves once more.
+_DOCS = "chunk long, doc_id long, n_words long, packed binary, starts binary"
+#: Windows sent hold the place of a doc_id in its chunk (two bytes), answers whole doc_ids.
 _FIRSTS = "chunk long, bucket int, keys binary, firsts binary"
+_PLACES = (1 << W.CHUNK_BITS) - 1
 
 
 def anchor_size(window: int) -> int:
@@ -62,6 +65,7 @@ def _find_stretches(buckets: int, window: int):
 
     def find(docs: pa.Table, replies: pa.Table) -> pa.Table:
         known, _ = W.read_replies(replies)
+        packer = zstandard.ZstdCompressor(level=3)
         chunk = (docs if docs.num_rows else replies)["chunk"][0].as_py()
         bodies = docs["body"].to_pylist()
         keys = [W.rolling(W.word_hashes(W.words_of(b)), size) for b in bodies]
@@ -71,15 +75,20 @@ def _find_stretches(buckets: int, window: int):
             n_words = len(probe) + size - 1 if len(probe) else len(W.words_of(body))
             hits = W.lookup(known, W.address(probe, buckets))[0] | W.lookup(local, probe)[0]
             starts = candidate_starts(hits, n_words, window)
-            rows.append((chunk, doc_id, n_words, body, starts.astype(np.int32).tobytes()))
+            rows.append((chunk, doc_id, n_words, packer.compress(body or b""), starts.astype(np.int32).tobytes()))
         columns = list(zip(*rows)) or [()] * 5
         kinds = [pa.int64()] * 3 + [pa.binary()] * 2
-        names = ["chunk", "doc_id", "n_words", "body", "starts"]
+        names = ["chunk", "doc_id", "n_words", "packed", "starts"]
         return pa.table({k: pa.array(c, t) for k, c, t in zip(names, columns, kinds)})
 
     return find
 
 
+def _unpack(packed: list[bytes]) -> list[bytes]:
+    unpacker = zstandard.ZstdDecompressor()
+    return [unpacker.decompress(p) for p in packed]
+
+
 def window_keys(body: bytes, starts: bytes, window: int) -> np.ndarray:
     """Two independent hashes of each window that starts at one of ``starts``; shape (n, 2)."""
     hashes = W.word_hashes(W.words_of(body))
@@ -116,7 +125,7 @@ def _send_firsts(buckets: int, window: int):
                 pa.array(np.full(len(cuts), chunk, np.int64)),
                 pa.array(where[cuts]),
                 pa.array([keys[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                pa.array([firsts[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                pa.array([(firsts[a:b] & _PLACES).astype(np.uint16).tobytes() for a, b in zip(cuts, ends)], pa.binary()),
             ],
             names=["chunk", "bucket", "keys", "firsts"],
         )
@@ -124,8 +133,9 @@ def _send_firsts(buckets: int, window: int):
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, held = {}, 0
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("chunk", "doc_id", "body", "starts")]
-            for chunk, doc_id, body, starts in zip(*columns):
+            columns = [batch[c].to_pylist() for c in ("chunk", "doc_id", "packed", "starts")]
+            for chunk, doc_id, packed, starts in zip(*columns):
+                body = _unpack([packed])[0]
                 keys = window_keys(body, starts, window)
                 pending.setdefault(chunk, []).append((keys, np.full(len(keys), doc_id, np.int64)))
                 held += len(keys)
@@ -139,22 +149,27 @@ def _send_firsts(buckets: int, window: int):
     return send
 
 
-def _read_firsts(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _read_keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all rows, and the row of each."""
     keys = [np.frombuffer(k, np.uint64).reshape(-1, 2) for k in table["keys"].to_pylist()]
-    firsts = [np.frombuffer(f, np.int64) for f in table["firsts"].to_pylist()]
-    if not keys:
-        return np.empty((0, 2), np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(keys), np.concatenate(firsts), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+    sizes = [len(k) for k in keys]
+    return np.concatenate([np.empty((0, 2), np.uint64), *keys]), np.repeat(np.arange(len(keys)), sizes)
+
+
+def _read_firsts(table: pa.Table, kind: type) -> np.ndarray:
+    parts = [np.frombuffer(f, kind).astype(np.int64) for f in table["firsts"].to_pylist()]
+    return np.concatenate([np.empty(0, np.int64), *parts])
 
 
 def _answer_firsts(table: pa.Table) -> pa.Table:
     """To every chunk, the smallest doc_id of those of its windows that a smaller one has."""
-    keys, firsts, row = _read_firsts(table)
+    keys, row = _read_keys(table)
+    chunks = table["chunk"].to_pylist()
+    firsts = (np.array(chunks, np.int64)[row] << W.CHUNK_BITS) | _read_firsts(table, np.uint16)
     order, starts = _runs(keys)
     least = np.empty(len(keys), np.int64)
     least[order] = np.repeat(np.minimum.reduceat(firsts[order], starts), np.diff(np.r_[starts, len(keys)]))
     told = least < firsts
-    chunks = table["chunk"].to_pylist()
     rows = [(chunks[i], keys[m].tobytes(), least[m].tobytes()) for i in np.unique(row[told]) for m in [told & (row == i)]]
     columns = list(zip(*rows)) or [(), (), ()]
     return pa.table(
@@ -171,10 +186,11 @@ def _remove(window: int):
     def remove(docs: pa.Table, replies: pa.Table) -> pa.Table:
         rows = []
         parts = []
-        for doc_id, body, starts in zip(*(docs[c].to_pylist() for c in ("doc_id", "body", "starts"))):
+        columns = [docs[c].to_pylist() for c in ("doc_id", "packed", "starts")]
+        for doc_id, body, starts in zip(columns[0], _unpack(columns[1]), columns[2]):
             parts.append((doc_id, body, np.frombuffer(starts, np.int32), window_keys(body, starts, window)))
         if parts:
-            told_keys, told_firsts, _ = _read_firsts(replies)
+            told_keys, told_firsts = _read_keys(replies)[0], _read_firsts(replies, np.int64)
             own = np.concatenate([k for *_, k in parts])
             ids = np.concatenate([np.full(len(k), d, np.int64) for d, _, _, k in parts])
             keys, firsts = np.concatenate([own, told_keys]), np.concatenate([ids, told_firsts])
@@ -204,7 +220,7 @@ def _remove(window: int):
 
 def _whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        bodies = [b" ".join(W.words_of(b)) for b in batch["body"].to_pylist()]
+        bodies = [b" ".join(W.words_of(b)) for b in _unpack(batch["packed"].to_pylist())]
         yield pa.record_batch(
             [
                 batch["doc_id"],

@@ -17,8 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Documents of one chunk, by doc_id range. A chunk has to fit in a Python worker.
-CHUNK_WIDTH = 512
+#: Documents of one chunk, by doc_id range, as a power of two. A chunk has to fit in a Python worker.
+CHUNK_BITS = 9
 #: Characters of input per bucket of the exchange; sets how many buckets there are.
 BUCKET_CHARS = 2_000_000
 #: Hashes a task gathers before it sends them.
@@ -70,8 +70,8 @@ def rolling(hashes: np.ndarray, size: int, family: int = 0) -> np.ndarray:
 
 
 def with_chunk(df: DataFrame, id_column: str) -> DataFrame:
-    """Adds ``chunk``; rows without id share one."""
-    return df.withColumn("chunk", F.coalesce(F.floor(F.col(id_column) / CHUNK_WIDTH), F.lit(-1)).cast("long"))
+    """Adds ``chunk``, of ids that are not null."""
+    return df.withColumn("chunk", F.shiftright(id_column, CHUNK_BITS))
 
 
 def bucket_count(df: DataFrame, text_column: str, least: int = 256) -> int:
