@@ -34,9 +34,10 @@ def get_session(app_name: str = "broadsheet", master: str | None = None, **conf)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Make a session started elsewhere fit: UTC stamps, and this package on the workers."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Make a session started elsewhere fit: the settings above, and this package on the workers."""
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     context = spark.sparkContext
     if not getattr(context, "_has_broadsheet", False):
         package = Path(__file__).parent
