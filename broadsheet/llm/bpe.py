@@ -17,6 +17,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +26,9 @@ _NONE = np.int64(1 << 62)
 #: Pieces of more bytes get a tree of their own.
 LONG = 64
 #: Words remembered per generation; two generations are held.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: Characters of the documents whose words are looked up together.
-GROUP_CHARS = 3_000_000
+GROUP_CHARS = 2_000_000
 
 
 class Vocabulary:
@@ -271,16 +272,15 @@ def _encoder(data: bytes, pattern: str) -> Encoder:
     return Encoder(Vocabulary(parse_ranks(data)), pattern)
 
 
-def groups(texts: list[str | None], most: int = GROUP_CHARS) -> Iterator[list[str]]:
-    part, chars = [], 0
-    for text in texts:
-        part.append(text or "")
-        chars += len(part[-1])
-        if chars >= most:
-            yield part
-            part, chars = [], 0
-    if part:
-        yield part
+def _parts(texts: pa.Array, most: int = GROUP_CHARS) -> Iterator[pa.Array]:
+    """Consecutive parts of about ``most`` bytes; a longer text is a part of its own."""
+    sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, before + most, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
 def read_ranks(path: str) -> bytes:
@@ -289,33 +289,46 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
+def _lists(ids: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+
+
 def encode(
-    docs: DataFrame, ranks: bytes, pattern: str, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    ranks: bytes,
+    pattern: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    with_decoded: bool = False,
 ) -> DataFrame:
     """(doc_id, token_ids array<int>) of each row, without special tokens.
 
-    Null and empty texts have no tokens. Rows that repeat an id are encoded each; the id may be null.
-    Other columns are not read; an empty table gives no rows. Nothing moves between tasks.
+    With ``with_decoded`` the same pass adds ``decoded`` as :func:`decode` does. Null and empty texts
+    have no tokens. Rows that repeat an id are encoded each; the id may be null. Other columns are
+    not read; an empty table gives no rows. Nothing moves between tasks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, pattern)
+        encoder, decoder = _encoder(shared.value, pattern), _decoder(shared.value)
         for batch in batches:
-            at = 0
-            for texts in groups(batch["text"].to_pylist()):
-                ids = encoder.encode(texts)
-                ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(ends), values)
-                yield pa.record_batch(
-                    [batch["doc_id"].slice(at, len(texts)), lists], names=["doc_id", "token_ids"]
-                )
-                at += len(texts)
+            at, texts = 0, batch["text"]
+            # Parts of a batch become Python strings one after the other.
+            for part in _parts(texts):
+                ids = encoder.encode([t or "" for t in part.to_pylist()])
+                columns = [batch["doc_id"].slice(at, len(part)), _lists(ids)]
+                if with_decoded:
+                    bodies = [decoder.decode(np.frombuffer(i, np.int32)) for i in ids]
+                    columns.append(pa.array(bodies, pa.binary()))
+                yield pa.record_batch(columns, names=["doc_id", "token_ids", "decoded"][: len(columns)])
+                at += len(part)
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, token_ids array<int>")
+    return chosen.mapInArrow(
+        run, f"doc_id {kind}, token_ids array<int>" + (", decoded binary" if with_decoded else "")
+    )
 
 
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:

@@ -22,7 +22,7 @@ def op2_substring_dedup(spark, sf):
 
 def op3_byte_bpe(spark, sf):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = bpe.decode(bpe.encode(_table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.encode(_table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN, with_decoded=True)
     return coded.select("doc_id", *token_digests())
 
 
