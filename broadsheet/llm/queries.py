@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import bpe, decontaminate, jaccard, pii, substring, token_counts, toxicity, warc
+from broadsheet.llm import bpe, decontaminate, jaccard, main_text, pii, substring, token_counts, toxicity, warc
 from broadsheet.session import prepare, scratch_path
 
 
@@ -35,6 +35,10 @@ def token_digests() -> list:
     ]
 
 
+def op4_html_extraction(spark, sf):
+    return main_text.extract_main_text(_table(spark, sf, "pages"))
+
+
 def op5_pii(spark, sf):
     found = pii.find(_table(spark, sf, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["order"] < pii.BASE)
@@ -106,6 +110,7 @@ def queries() -> dict:
     return {
         "op2_substring_dedup": op2_substring_dedup,
         "op3_byte_bpe": op3_byte_bpe,
+        "op4_html_extraction": op4_html_extraction,
         "op5_pii": op5_pii,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
         "op7_decontamination": op7_decontamination,
