@@ -31,9 +31,9 @@ from broadsheet.sources import tables as S
 from broadsheet.streaming.ingest import ingest_stream
 
 try:  # the package for training data can be left out together with its pipeline
-    from broadsheet.llm import queries as _llm
+    import broadsheet.llm.queries as _llm
 except ModuleNotFoundError as missing:
-    if missing.name not in ("broadsheet.llm", "broadsheet.llm.queries", "corpus_pipeline"):
+    if missing.name not in ("broadsheet.llm", "broadsheet.llm.queries"):
         raise
     _llm = None
 
