@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _NONE = np.int64(1 << 62)
@@ -348,3 +348,12 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     chosen = encoded.select("doc_id", "token_ids")
     kind = chosen.schema["doc_id"].dataType.simpleString()
     return chosen.mapInArrow(run, f"doc_id {kind}, token_ids array<int>, decoded binary")
+
+
+def digests() -> list[Column]:
+    """Count of the ids, and digests of them and of the decoded bytes."""
+    return [
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("token_ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    ]

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from broadsheet.llm import windows as W
 from broadsheet.llm.components import components
 from broadsheet.llm.scratch import Scratch
+from broadsheet.session import broadcast_if_small
 
 SHINGLE = 5
 PERCENT = 75
@@ -288,7 +289,6 @@ def link_documents(
         sets.filter("prefix IS NOT NULL")
         .groupBy(*same)
         .agg(F.min("doc_id").alias("class_id"), F.first("shared").alias("shared"), F.first("prefix").alias("prefix"))
-        # Rows that repeat an id may head several classes; each needs a name of its own.
     )
     groups = scratch.write(_connect(classes, scratch))
     found = sets.select("doc_id", *same).join(groups, same, "left")
@@ -332,3 +332,23 @@ def _connect(classes: DataFrame, scratch: Scratch) -> DataFrame:
     heads = heads.select(*same, "least_id", F.coalesce("component", "class_id").alias("root"))
     least = heads.groupBy("root").agg(F.min("least_id").alias("component"))
     return heads.join(least, "root").select(*same, "component")
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` without those linked to a smaller doc_id; columns stay as they are.
+
+    Of rows that repeat an id and a text one stays; rows without id go if they link to one with an id. Only ids that go are sent to the rows, to every task if few.
+    """
+    linked = Scratch(docs.sparkSession, "kept").write(link_documents(docs, id_column, text_column))
+    gone = linked.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    gone = broadcast_if_small(gone, 2_000_000)
+    kept = docs.join(gone, docs[id_column].cast("long") == gone["doc_id"], "left_anti")
+    repeated = linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND doc_id IS NOT NULL")
+    if not repeated.limit(1).count():
+        return kept
+    # An id that is there more than once: of its rows with equal texts, one stays.
+    often = broadcast_if_small(repeated.select("doc_id"), 2_000_000)
+    key = docs[id_column].cast("long") == often["doc_id"]
+    return kept.join(often, key, "left_anti").unionByName(
+        kept.join(often, key, "left_semi").dropDuplicates([id_column, text_column])
+    )

@@ -177,15 +177,25 @@ def _spans(kind: Kind, order: int, text: Column, matches: Column) -> Column:
 _SPAN = "array<struct<start:int,order:int,end:int,kind:string,score:double,value:string>>"
 
 
-def find(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """``docs`` with ``pii``: an array of spans (start, order, end, kind, score, value).
+def _free(names: list[str], taken: list[str]) -> list[str]:
+    """Column names that are not taken, whatever the case of those that are."""
+    taken, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def find(docs: DataFrame, text_column: str = "text", output: str = "pii") -> DataFrame:
+    """``docs`` with ``output``: an array of spans (start, order, end, kind, score, value).
 
     Positions count code points, ends are exclusive, spans are ordered by start, then as KINDS lists
     them. Within a kind, matches are leftmost and do not overlap; those that fail their check are left
     out and not tried again. Null and empty texts have no spans. All columns are kept; one named
     ``pii`` is replaced. Rows are independent of each other.
     """
-    names = [f"_pii_{k.name}" for k in KINDS]
+    names = _free([k.name for k in KINDS], docs.columns)
     text = F.coalesce(F.col(text_column), F.lit(""))
     matched = docs.withColumns(
         {
@@ -198,7 +208,7 @@ def find(docs: DataFrame, text_column: str = "text") -> DataFrame:
         F.when(F.size(name) > 0, _spans(k, i, text, F.col(name)).cast(_SPAN)).otherwise(none)
         for i, (name, k) in enumerate(zip(names, KINDS))
     ]
-    return matched.withColumn("pii", F.array_sort(F.concat(*spans))).drop(*names)
+    return matched.withColumn(output, F.array_sort(F.concat(*spans))).drop(*names)
 
 
 def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -217,16 +227,15 @@ def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
         ).otherwise("")
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["parts"], F.array(part)).alias("parts"))
 
+    (spans,) = _free(["pii"], docs.columns)
     done = F.aggregate(
-        "pii",
+        spans,
         start,
         step,
         lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.char_length(text))),
     )
-    names = [F.col(f"`{c}`") for c in docs.columns if c != text_column]
-    marked = find(docs.select(*names, text), text_column)
-    changed = marked.withColumn(text_column, F.when(F.size("pii") > 0, done).otherwise(text))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = find(docs, text_column, spans)
+    return marked.withColumn(text_column, F.when(F.size(spans) > 0, done).otherwise(text)).drop(spans)
 
 
 def as_text(spans: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +24,7 @@ def op2_substring_dedup(spark, sf):
 def op3_byte_bpe(spark, sf):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     coded = bpe.encode(_table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN, with_decoded=True)
-    return coded.select("doc_id", *token_digests())
-
-
-def token_digests() -> list:
-    """Counts and digests of decoded token ids."""
-    return [
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("token_ids", " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    ]
+    return coded.select("doc_id", *bpe.digests())
 
 
 def op4_html_extraction(spark, sf):
@@ -117,6 +109,7 @@ def queries() -> dict:
         "op8_token_counts": op8_token_counts,
         "op9_toxicity": op9_toxicity,
         "op10_warc": op10_warc,
+        "pipeline": corpus_pipeline.run,
     }
 
 
