@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import bpe, decontaminate, jaccard, main_text, pii, substring, token_counts, toxicity, warc
+from broadsheet.llm import ann, bpe, decontaminate, jaccard, main_text, pii, substring, token_counts, toxicity, warc
 from broadsheet.session import prepare, scratch_path
 
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_nearest_neighbours(spark, sf):
+    vectors = _table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
+
+
 def op2_substring_dedup(spark, sf):
     found = substring.remove_repeats(_table(spark, sf, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -100,6 +105,7 @@ def op10_warc(spark, sf):
 
 def queries() -> dict:
     return {
+        "op1_nearest_neighbours": op1_nearest_neighbours,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_html_extraction": op4_html_extraction,
