@@ -119,5 +119,47 @@ def queries() -> dict:
     }
 
 
+_WORDS = r"coalesce(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'), [])"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other queries need merges, fitted weights, parsers or positions of matches, and have tests instead."""
+    return {
+        "op2_substring_dedup": f"""
+          WITH docs AS (SELECT doc_id, {_WORDS.format("text")} AS words FROM documents),
+          starts AS (SELECT doc_id, words, unnest(range(1, len(words) - {substring.WINDOW - 2})) AS i FROM docs),
+          windows AS (SELECT doc_id, i, list_slice(words, i, i + {substring.WINDOW - 1}) AS w FROM starts),
+          repeated AS (SELECT doc_id, i FROM windows
+            JOIN (SELECT w, min(doc_id) AS first FROM windows GROUP BY w) USING (w) WHERE first < doc_id),
+          gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {substring.WINDOW})) AS i FROM repeated),
+          lists AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+          places AS (SELECT doc_id, words, coalesce(gone, []) AS gone FROM docs LEFT JOIN lists USING (doc_id))
+          SELECT doc_id, len(words) AS n_words, len(gone) AS n_removed,
+            sha256(coalesce(array_to_string(list_filter(words, lambda w, i: NOT list_contains(gone, i)), ' '), ''))
+              AS kept_sha256 FROM places""",
+        "op6_ngram_jaccard_join": f"""
+          WITH RECURSIVE docs AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS words FROM documents),
+          places AS (SELECT doc_id, words, least(len(words), {jaccard.SHINGLE}) AS k FROM docs WHERE len(words) > 0),
+          shingles AS (SELECT DISTINCT doc_id, list_slice(words, i, i + k - 1) AS s
+            FROM (SELECT *, unnest(range(1, len(words) - k + 2)) AS i FROM places)),
+          sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+          shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+          links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * shared.n >= {jaccard.PERCENT} * (x.n + y.n - shared.n)),
+          reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+          SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(least_reached, doc_id)) AS component_id
+          FROM documents LEFT JOIN sizes USING (doc_id)
+          LEFT JOIN (SELECT a AS doc_id, min(b) AS least_reached FROM reach GROUP BY a) USING (doc_id)""",
+        "op10_warc": """
+          WITH digests AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+          firsts AS (SELECT hex, min(page_id) AS first FROM digests GROUP BY hex)
+          SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+            array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+              1 + ((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)), '')
+              AS payload_digest,
+            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> first THEN first END AS refers_to
+          FROM digests JOIN firsts USING (hex)""",
+    }
