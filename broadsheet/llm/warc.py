@@ -40,7 +40,7 @@ def record(
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if refers_to else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if refers_to else 'response'}", f"WARC-Record-ID: <{record_id}>"]
-    head += [f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{digest}"]
+    head += [f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{base32_sha1(block)}"]
     if uri is not None:
         head.append(f"WARC-Target-URI: {quote(uri, safe=_URI_SAFE)}")
     if refers_to:
@@ -203,6 +203,11 @@ class Salvage:
         return found, end, reason
 
 
+def _agrees(digest: str | None, content: bytes) -> bool:
+    """Whether a content has a digest; true of digests that are missing or of another kind."""
+    return not digest or not digest.startswith("sha1:") or digest[5:] == base32_sha1(content)
+
+
 def parse_record(data: bytes, at: int):
     """((fields, block), end, None) of the record at a place, or (None, place, what is wrong)."""
     if not _VERSION.match(data, at):
@@ -224,10 +229,10 @@ def parse_record(data: bytes, at: int):
     if data[end : end + 4] != b"\r\n\r\n":
         return None, at, "block not ended where its length says"
     block = data[start:end]
-    digest = fields.get("warc-payload-digest")
-    if fields.get("warc-type") == "response" and digest and digest.startswith("sha1:"):
-        if base32_sha1(payload_of(block)) != digest[5:]:
-            return None, at, "payload digest differs"
+    if not _agrees(fields.get("warc-block-digest"), block):
+        return None, at, "block digest differs"
+    if fields.get("warc-type") == "response" and not _agrees(fields.get("warc-payload-digest"), payload_of(block)):
+        return None, at, "payload digest differs"
     return (fields, block), end + 4, None
 
 
@@ -269,8 +274,8 @@ def _rows_of(name: str, data: bytes, with_payload: bool) -> Iterator[tuple]:
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """Rows of every archive under ``path``, plain or gzip: its records, and its gaps (ROWS).
 
-    After a failed check (a member that does not unpack, a version line, header, length, end or
-    payload digest that is wrong) reading goes on at the next member or version line that gives a
+    After a failed check (a member that does not unpack, a version line, header, length, end,
+    or digest of block or payload that is wrong) reading goes on at the next member or version line that gives a
     record. The bytes between are one gap: ``problem`` says what failed, ``start`` and ``stop``
     where; records have no problem. An empty file gives no rows. One file is read by one
     task, so an archive has to fit in its memory.
