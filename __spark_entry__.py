@@ -159,12 +159,12 @@ def q_stored_table(spark, sf):
 
 def q_articles_csv(spark, sf):
     path = scratch_path(spark, "csv")
-    chosen = D.filter_articles(_gold(spark, sf), ["src1", "src3"], None, "and", 1000)
+    chosen = D.filter_articles(_gold(spark, sf), ["src1", "src3"], None, "and", None)
     S.write_articles_csv(chosen, path)
     back = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
     schema = "title string, author string, tags string, date_published timestamp, date_modified timestamp"
     return back.schema(schema).csv(path).select(
-        "author", "tags", _stamp("date_published"), _stamp("date_modified")
+        "title", "author", "tags", _stamp("date_published"), _stamp("date_modified")
     )
 
 
@@ -818,7 +818,7 @@ _POSTS = r"""
 posts AS (
   SELECT doc_id,
          'https://blog.example.com/c' || ((doc_id // 2) % 4) || '/post-' || (doc_id // 2) || '/' AS url,
-         left(text, 60) AS title,
+         string_split(text, chr(10))[1] AS title,
          TIMESTAMP '2021-01-01' + to_days(CAST((((doc_id // 2) * 37) % 60) * 45 AS INTEGER)) AS date_published,
          TIMESTAMP '2021-01-01' + to_days(CAST((((doc_id // 2) * 37) % 60) * 45 AS INTEGER))
            + to_hours(CAST(doc_id % 97 AS INTEGER)) AS date_modified,
@@ -1012,9 +1012,9 @@ def oracle_sql() -> dict[str, str]:
         "raw_dataset": all_articles,
         "raw_year": f"{posts} SELECT url, {_ts('date_modified')} FROM posts WHERE year(date_modified) = 2024",
         "stored_table": f"{latest} SELECT {_SILVER} FROM latest",
-        "articles_csv": f"""{latest} SELECT author, '["' || tags[1] || '","' || tags[2] || '"]' AS tags,
+        "articles_csv": f"""{latest} SELECT title, author, '["' || tags[1] || '","' || tags[2] || '"]' AS tags,
             {_ts('date_published')}, {_ts('date_modified')}
-          FROM (SELECT * FROM latest WHERE author IN ('src1', 'src3') {order} LIMIT 1000)""",
+          FROM latest WHERE author IN ('src1', 'src3')""",
         "first_load": all_articles,
         "extract_articles": f"""{posts} SELECT url, title, {_ts('date_published')}, {_ts('date_modified')}, author,
             array_to_string(tags, '|') AS tags, alias || '=' || link AS content_links,

@@ -196,18 +196,21 @@ def distinct_row_ids(documents: DataFrame) -> DataFrame:
 
     ``metadata`` may be a struct or JSON text; unreadable JSON and empty ids are left out.
     """
+    return _row_ids(documents).distinct()
+
+
+def _row_ids(documents: DataFrame) -> DataFrame:
     kind = documents.schema["metadata"].dataType.typeName()
     found = (
         F.get_json_object("metadata", "$.row_id") if kind == "string" else F.col("metadata.row_id")
     )
-    return documents.select(found.alias("row_id")).filter(F.col("row_id") != "").distinct()
+    return documents.select(found.alias("row_id")).filter(F.col("row_id") != "")
 
 
 def distinct_row_id_count(documents: DataFrame, approximate: bool = False) -> DataFrame:
     if not approximate:
         return distinct_row_ids(documents).agg(F.count(F.lit(1)).alias("n_articles"))
-    found = F.col("metadata.row_id")
-    return documents.agg(F.approx_count_distinct(found).alias("n_articles"))
+    return _row_ids(documents).agg(F.approx_count_distinct("row_id").alias("n_articles"))
 
 
 def _accounts(articles: DataFrame, documents: DataFrame, skipped: DataFrame, failed) -> DataFrame:

@@ -147,16 +147,19 @@ def filter_articles(
     selected_authors: list[str] | None = None,
     selected_tags: list[str] | None = None,
     how: str = "and",
-    n: int = 10,
+    n: int | None = 10,
 ) -> DataFrame:
-    """The ``n`` most recently published articles of a selection; unknown dates come first."""
+    """The ``n`` most recently published articles of a selection, or all; unknown dates come first."""
     predicate = article_filter(selected_authors, selected_tags, how)
     chosen = gold if predicate is None else gold.filter(predicate)
+    columns = ["title", "author", "tags", "date_published", "date_modified"]
+    if n is None:
+        return chosen.select(columns)
     return (
-        chosen.select("url", "title", "author", "tags", "date_published", "date_modified")
+        chosen.select("url", *columns)
         .orderBy(F.col("date_published").desc_nulls_first(), F.desc("date_modified"), "url")
         .limit(n)
-        .select("title", "author", "tags", "date_published", "date_modified")
+        .select(columns)
     )
 
 

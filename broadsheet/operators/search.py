@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -208,11 +209,22 @@ def dense_topk_lsh(
 
     A document is scored only for queries it shares a bucket with in some table. Candidates
     never leave the task that reads them, so a bucket with a large share of the documents
-    costs products but no shuffle. Query sets beyond one block are answered exactly.
+    costs products but no shuffle. Query sets beyond one block are answered block by block, with
+    a scan each; what a query gets does not depend on the others.
     """
     asked = _usable(queries, query_id_col, query_vector_col, dimension, "query_id")
-    if not fits(asked, MAX_BROADCAST_QUERIES, max_bytes=256 << 20):
-        return top_k(_dense_by_tile(index.select("id", "vector"), asked, k, dimension), k)
+    if fits(asked, MAX_BROADCAST_QUERIES, max_bytes=256 << 20):
+        return top_k(_lsh_block(index, asked, k, dimension, tables, bits, seed), k)
+    n_blocks = 2 * asked.count() // MAX_BROADCAST_QUERIES + 1
+    block = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))
+    parts = [
+        _lsh_block(index, asked.filter(block == n), k, dimension, tables, bits, seed)
+        for n in range(n_blocks)
+    ]
+    return top_k(reduce(DataFrame.union, parts), k)
+
+
+def _lsh_block(index, asked, k, dimension, tables, bits, seed) -> DataFrame:
     schema, ddl = _hit_types(index, asked)
     block = asked.toArrow()
     query_ids = np.array(block["query_id"].to_pylist(), dtype=object)
@@ -233,7 +245,7 @@ def dense_topk_lsh(
                     best.offer(query, ids[near], scores)
         yield best.table(query_ids, schema)
 
-    return top_k(index.mapInArrow(scan, ddl), k)
+    return index.mapInArrow(scan, ddl)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
@@ -245,6 +257,18 @@ def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
 # --- lexical ---------------------------------------------------------------------------------
 
 
+def one_row_per_id(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, _text): the texts of rows that repeat an id joined to one, the others as they are."""
+    texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
+    repeated = texts.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
+    if not repeated.limit(1).count():
+        return texts
+    repeated = broadcast_if_small(repeated)
+    joined = F.array_join(F.sort_array(F.collect_list("_text")), "\n").alias("_text")
+    merged = texts.join(repeated, "id", "left_semi").groupBy("id").agg(joined)
+    return texts.join(repeated, "id", "left_anti").union(merged)
+
+
 class LexicalIndex(NamedTuple):
     """``postings(term, id, tf, doc_length)``, ``term_stats(term, df)``, one-row ``corpus``."""
 
@@ -262,10 +286,12 @@ def bm25_index(
 ) -> LexicalIndex:
     """Term postings with document lengths, document frequencies and corpus figures.
 
+    Rows with one id are one document; one without text counts, with length 0.
+
     Documents are spread by id before their terms are unfolded: the counts per (id, term)
     then need no shuffle of postings, which are several times larger than the text.
     """
-    spread = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
+    spread = one_row_per_id(documents, id_col, text_col)
     spread = spread.repartition("id") if partitions is None else spread.repartition(partitions, "id")
     tokens = spread.select("id", analyzer(F.col("_text")).alias("terms"))
     length = F.coalesce(F.size("terms"), F.lit(0)).cast("bigint").alias("doc_length")
@@ -328,6 +354,11 @@ def _term_matrix(entries: pa.Table, value: str) -> tuple[np.ndarray, np.ndarray,
     return terms, asked, cells
 
 
+def _n_cells(entries: pa.Table) -> int:
+    """Cells of the matrix of these terms and queries, before it is made."""
+    return len(pc.unique(entries["term"])) * len(pc.unique(entries["query_id"]))
+
+
 def _score_by_block(
     postings: DataFrame, queries: DataFrame, weighted: pa.Table, k: int
 ) -> DataFrame:
@@ -364,7 +395,7 @@ def _score_by_block(
                 rows = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(found.offsets)))
                 entries = found.flatten()
                 parts = np.zeros((batch.num_rows, len(terms)))
-                parts[rows, np.asarray(entries.field("term_no"))] = np.asarray(entries.field("part"))
+                np.add.at(parts, (rows, np.asarray(entries.field("term_no"))), np.asarray(entries.field("part")))
                 scores = parts @ weights
                 for query in range(len(asked)):
                     hit = np.flatnonzero(scores[:, query] > 0)
@@ -422,8 +453,7 @@ def bm25_topk(
     if not small:
         return top_k(_score_by_join(postings, weighted), k)
     block = weighted.toArrow()  # no more rows than the query terms that fit
-    n_cells = len(pc.unique(block["term"])) * len(pc.unique(block["query_id"]))
-    if n_cells <= BLOCK_CELLS:
+    if _n_cells(block) <= BLOCK_CELLS:
         return top_k(_score_by_block(postings, query_terms, block, k), k)
     return top_k(_score_by_join(postings, F.broadcast(weighted)), k)
 
@@ -447,15 +477,14 @@ def bm25_scan(
     """
     query_terms = _query_terms(queries, query_id_col, query_text_col, analyzer)
     entries = query_terms.toArrow() if fits(query_terms, MAX_QUERY_TERMS) else None
-    if entries is not None:
-        terms, asked, query_tf = _term_matrix(entries, "query_tf")
-    if entries is None or query_tf.size > BLOCK_CELLS:
+    if entries is None or _n_cells(entries) > BLOCK_CELLS:
         index = bm25_index(documents, id_col, text_col, analyzer)
         return bm25_topk(index, queries, k, query_id_col, query_text_col, analyzer, k1, b)
 
+    terms, asked, query_tf = _term_matrix(entries, "query_tf")
     n_terms = len(terms)
     vocabulary = pa.array(terms.tolist(), pa.string())
-    texts = documents.select(F.col(id_col).alias("id"), analyzer(F.col(text_col)).alias("terms"))
+    texts = one_row_per_id(documents, id_col, text_col).select("id", analyzer(F.col("_text")).alias("terms"))
 
     def count(batches):
         # One slot per term, then the number of documents and their total length.

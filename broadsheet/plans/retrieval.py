@@ -69,5 +69,4 @@ def publish_index(
     spark: SparkSession, documents: DataFrame, name: str, path: str, buckets: int = 200
 ) -> None:
     """Stores the lexical index of a collection under a catalog name."""
-    texts = documents.filter(F.col("content").isNotNull())
-    save_bm25_index(bm25_index(texts, partitions=buckets), name, path, buckets)
+    save_bm25_index(bm25_index(documents, partitions=buckets), name, path, buckets)

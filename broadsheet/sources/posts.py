@@ -45,7 +45,7 @@ def posts(documents: DataFrame) -> DataFrame:
             slug.cast("string"),
             F.lit("/"),
         ).alias("url"),
-        F.left("text", F.lit(60)).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         published.alias("date_published"),
         F.timestamp_add("HOUR", (doc % 97).cast("int"), published).alias("date_modified"),
         F.col("source").alias("author"),

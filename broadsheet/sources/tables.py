@@ -190,4 +190,8 @@ def write_articles_csv(df: DataFrame, path: str) -> None:
         else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ]
-    df.select(*flat).write.option("header", True).option("escape", '"').csv(path)
+    written = df.select(*flat).write.option("header", True).option("escape", '"')
+    # Without these the writer trims values.
+    for side in ("Leading", "Trailing"):
+        written = written.option(f"ignore{side}WhiteSpace", False)
+    written.csv(path)

@@ -291,3 +291,27 @@ def test_tokens_give_the_text_back(spark):
     df = spark.createDataFrame([(" a  b\n\tc d e ",), ("",)], "t string")
     joined = df.select(F.array_join(X.tokenize(F.col("t")), "")).collect()
     assert [r[0] for r in joined] == [" a  b\n\tc d e", ""]
+
+
+def test_lexical_forms_agree_on_repeated_ids_and_missing_texts(spark):
+    rows = [(1, "red fox"), (1, "red hen"), (2, "red red dog"), (3, None), (4, "blue fox"), (4, "blue fox"), (5, "")]
+    docs = spark.createDataFrame(rows, "id long, content string")
+    asked = spark.createDataFrame([(1, "red fox"), (2, "blue blue hen")], "query_id long, text string")
+    once = spark.createDataFrame(
+        [(1, "red fox red hen"), (2, "red red dog"), (3, ""), (4, "blue fox blue fox"), (5, "")], "id long, content string"
+    )
+    rank = lambda hits: sorted((r.query_id, r["rank"], r.id, r.score) for r in hits.collect())
+    want = rank(R.bm25_topk(R.bm25_index(once), asked, 5))
+    assert want
+    assert rank(R.bm25_topk(R.bm25_index(docs), asked, 5)) == want
+    assert rank(R.bm25_topk(R.bm25_index(docs), asked, 5, max_broadcast=0)) == want
+    assert rank(R.bm25_scan(docs, asked, 5)) == want
+
+
+def test_lsh_answers_do_not_depend_on_the_number_of_queries(spark, space, monkeypatch):
+    df, asked = vectors(spark, space[0], "id"), vectors(spark, space[1][:12], "query_id")
+    index = R.lsh_index(df, 16, tables=4, bits=4)
+    hits = lambda: sorted(map(tuple, R.dense_topk_lsh(index, asked, 5, 16, tables=4, bits=4).collect()))
+    whole = hits()
+    monkeypatch.setattr(R, "MAX_BROADCAST_QUERIES", 2)
+    assert hits() == whole
