@@ -315,8 +315,8 @@ def bm25_index(
 def save_bm25_index(index: LexicalIndex, name: str, path: str, buckets: int = 200) -> None:
     """Stores the index as catalog tables.
 
-    Postings are bucketed by document and sorted by term: scoring then needs no shuffle of
-    postings, and a term filter skips row groups. An index made with as many partitions
+    Postings are bucketed by document and sorted by term, so scoring needs no shuffle of
+    postings. A search reads all buckets. An index made with as many partitions
     gives one file per bucket.
     """
     index.postings.write.mode("overwrite").bucketBy(buckets, "id").sortBy("term").option(

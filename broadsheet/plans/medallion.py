@@ -63,14 +63,14 @@ def load_bronze(spark: SparkSession, layout: Layout, year=None, month=None) -> N
 
 def load_silver(spark: SparkSession, layout: Layout, start: datetime, end: datetime) -> None:
     """Rebuilds the window of silver articles, then that of silver links."""
-    bronze = S.load_table(spark, layout.bronze, BRONZE)
+    bronze = S.load_window(spark, layout.bronze, BRONZE, start, end)
     S.replace_stored_window(new_silver_articles(bronze, start, end), layout.silver, start, end)
-    silver = S.load_table(spark, layout.silver, SILVER)
+    silver = S.load_window(spark, layout.silver, SILVER, start, end)
     S.replace_stored_window(explode_links(silver, start, end), layout.silver_links, start, end)
 
 
 def load_gold(spark: SparkSession, layout: Layout, start: datetime, end: datetime) -> None:
-    silver = S.load_table(spark, layout.silver, SILVER)
+    silver = S.load_window(spark, layout.silver, SILVER, start, end)
     S.replace_stored_window(L.as_gold(silver).select(*GOLD.fieldNames()), layout.gold, start, end)
 
 
@@ -87,9 +87,7 @@ def load_gold_links(
     Outcomes are written once before use: a probe may answer differently when a lost task
     runs again, and asking twice is slow.
     """
-    links = S.filter_window(
-        S.load_table(spark, layout.silver_links, SILVER_LINKS), "date_modified", start, end
-    )
+    links = S.load_window(spark, layout.silver_links, SILVER_LINKS, start, end)
     classified = L.classify_link(links)
     outcomes = stage(L.probe_targets(classified, probe, parallelism), "outcomes")
     audited = L.link_status(classified, outcomes).select(*GOLD_LINKS.fieldNames())

@@ -72,11 +72,31 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     """A stored table in its declared schema, or an empty one if it does not exist yet."""
     if not _path_exists(spark, path):
         return empty_like(spark, schema)
+    return _stored(spark, path, schema).select(*schema.fieldNames())
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table with its partition columns."""
     stored = T.StructType(list(schema.fields))
     for name in MONTH:
         if name not in stored.fieldNames():
             stored = stored.add(name, T.IntegerType())
-    return spark.read.schema(stored).parquet(path).select(*schema.fieldNames())
+    return spark.read.schema(stored).parquet(path)
+
+
+def load_window(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    start: datetime,
+    end: datetime,
+    ts_col: str = "date_modified",
+) -> DataFrame:
+    """The rows of a stored table inside a window; only the folders of its months are read."""
+    if not _path_exists(spark, path):
+        return empty_like(spark, schema)
+    inside = _stored(spark, path, schema).filter(_in_months(months_in(start, end)))
+    return filter_window(inside, ts_col, start, end).select(*schema.fieldNames())
 
 
 def with_months(df: DataFrame, ts_col: str = "date_modified") -> DataFrame:

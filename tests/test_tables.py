@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from broadsheet.plans import medallion as M
 from broadsheet.schemas import BRONZE, RAW, SILVER
@@ -179,3 +180,17 @@ def test_months_that_hold_most_rows_are_split(spark):
     files = spark.read.parquet(path).inputFiles()
     assert len([f for f in files if "month=1/" in f]) > 1
     assert spark.read.parquet(path).count() == 40_000
+
+
+def test_window_loads_read_the_folders_of_their_months(spark):
+    rows = [(f"u{i}", datetime(2023, 1 + i % 12, 1 + i % 27)) for i in range(60)]
+    schema = T.StructType([T.StructField("url", T.StringType()), T.StructField("date_modified", T.TimestampType())])
+    path = scratch_path(spark, "months")
+    S.save_table(spark.createDataFrame(rows, schema), path)
+    start, end = datetime(2023, 3, 5), datetime(2023, 4, 30, 23, 59, 59)
+    loaded = S.load_window(spark, path, schema, start, end)
+    assert sorted(r.url for r in loaded.collect()) == sorted(u for u, d in rows if start <= d <= end)
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "year" in pruned and "month" in pruned
+    assert S.load_window(spark, path + "-none", schema, start, end).count() == 0
