@@ -256,9 +256,10 @@ def _answer(width: int, buckets: int, salt: int):
                     who, which = np.nonzero(np.take_along_axis(sims, near, 1) > -np.inf)
                     which = near[who, which]
                     out.append((inbox.src[part][who], ids[which], sims[who, which].astype(np.float32), codes[which]))
-        if not out:
-            return pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("dest", "ids", "sims", "codes")]]).empty_table()
-        columns = dict(zip(("dest", "ids", "sims", "codes"), (np.concatenate(c) for c in zip(*out))))
+        names = ("dest", "ids", "sims", "codes")
+        if not any(len(part[0]) for part in out):
+            return pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in names]]).empty_table()
+        columns = dict(zip(names, (np.concatenate(c) for c in zip(*out))))
         return pa.Table.from_batches(list(_packed(_bucket(columns["dest"], buckets), columns)))
 
     return answer
