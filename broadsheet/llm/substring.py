@@ -93,7 +93,7 @@ def window_keys(body: bytes, starts: bytes, window: int) -> np.ndarray:
     """Two independent hashes of each window that starts at one of ``starts``; shape (n, 2)."""
     hashes = W.word_hashes(W.words_of(body))
     at = np.frombuffer(starts, np.int32)
-    return np.stack([W.rolling(hashes, window, family)[at] for family in (1, 2)], axis=1)
+    return np.stack([W.rolling_at(hashes, at, window, family) for family in (1, 2)], axis=1)
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

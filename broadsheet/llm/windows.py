@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ BUCKET_CHARS = 2_000_000
 FLUSH = 1_000_000
 
 LOW = (1 << 40) - 1
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 500_000
 
 
 class _WordHashes(dict):
@@ -50,19 +51,32 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
+@lru_cache(maxsize=64)
 def _factors(size: int, family: int) -> list[np.uint64]:
     return [np.uint64(xxhash.xxh3_64_intdigest(b"%d/%d/%d" % (family, size, j)) | 1) for j in range(size)]
 
 
 def rolling(hashes: np.ndarray, size: int, family: int = 0) -> np.ndarray:
     """Hash of every window of ``size`` words; a different ``family`` is an independent hash."""
-    n = len(hashes) - size + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
+    n = max(0, len(hashes) - size + 1)
     with np.errstate(over="ignore"):
         out = np.zeros(n, np.uint64)
         for j, factor in enumerate(_factors(size, family)):
             out += hashes[j : j + n] * factor
+    return _mixed(out)
+
+
+def rolling_at(hashes: np.ndarray, starts: np.ndarray, size: int, family: int = 0) -> np.ndarray:
+    """What :func:`rolling` gives at some starts."""
+    with np.errstate(over="ignore"):
+        out = np.zeros(len(starts), np.uint64)
+        for j, factor in enumerate(_factors(size, family)):
+            out += hashes[starts + j] * factor
+    return _mixed(out)
+
+
+def _mixed(out: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
         out ^= out >> np.uint64(32)
         out *= np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
