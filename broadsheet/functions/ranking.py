@@ -64,6 +64,11 @@ def signatures(vectors: np.ndarray, planes: np.ndarray, tables: int, bits: int)
     return sides @ (1 << np.arange(bits))
 
 
+def distances(buckets: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """In how many bits the signature of each row differs from another one."""
+    return np.bitwise_count(buckets ^ wanted.astype(buckets.dtype)).sum(axis=1, dtype=np.int64)
+
+
 def term_cells(terms: pa.ListArray, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Term counts of a batch of documents, for the terms of a small vocabulary only.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from typing import NamedTuple
 
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.ranking import Best, matrix, signatures, term_cells, unit
+from ..functions.ranking import Best, distances, matrix, signatures, term_cells, unit
 from ..functions.text import analyze
 from ..session import broadcast_if_small, fits
 
@@ -33,6 +34,10 @@ MAX_QUERY_TERMS = 200_000
 BLOCK_CELLS = 4_000_000
 TILE_ROWS = 16_384
 
+# Approximate search: documents probed per hit asked for, and the share of true hits it may miss.
+PROBED = 8
+MISSED = 0.02
+
 
 def top_k(hits: DataFrame, k: int, by: Column | None = None) -> DataFrame:
     """The best ``k`` hits per query with ``rank``; ties go to the smaller id.
@@ -207,10 +212,14 @@ def dense_topk_lsh(
 ) -> DataFrame:
     """Approximate ``dense_topk`` over an ``lsh_index`` made with the same settings.
 
-    A document is scored only for queries it shares a bucket with in some table. Candidates
-    never leave the task that reads them, so a bucket with a large share of the documents
-    costs products but no shuffle. Query sets beyond one block are answered block by block, with
-    a scan each; what a query gets does not depend on the others.
+    A first scan scores the ``PROBED`` times ``k`` documents whose signatures differ from a query's in
+    the fewest bits; the score of the ``k``-th best is a bound no true hit lies below. A bit differs
+    with a probability known from the angle, so a second scan scores all documents up to as many
+    differing bits as leave out a document at the bound with probability ``MISSED`` at most,
+    whatever the vectors look like. A query whose bound is not above 0 is answered exactly, so each
+    gets ``k`` hits if there are as many documents. Candidates never leave the task that reads
+    them. Query sets beyond one block are answered block by block; what a query gets depends
+    neither on the others nor on the partitions.
     """
     asked = _usable(queries, query_id_col, query_vector_col, dimension, "query_id")
     if fits(asked, MAX_BROADCAST_QUERIES, max_bytes=256 << 20):
@@ -224,25 +233,78 @@ def dense_topk_lsh(
     return top_k(reduce(DataFrame.union, parts), k)
 
 
+def _reach(bound: float | None, n_bits: int) -> int:
+    """Differing bits up to which documents are scored, given a score the ``k``-th best reaches."""
+    if bound is None or bound <= 0:
+        return n_bits
+    differs = math.acos(min(1.0, bound - 10.0**-SCORE_DIGITS)) / math.pi
+    within = 0.0
+    for reach in range(n_bits):
+        within += math.comb(n_bits, reach) * differs**reach * (1 - differs) ** (n_bits - reach)
+        if within >= 1 - MISSED:
+            return reach
+    return n_bits
+
+
 def _lsh_block(index, asked, k, dimension, tables, bits, seed) -> DataFrame:
     schema, ddl = _hit_types(index, asked)
+    probed_schema, probed_ddl = schema.append(pa.field("distance", pa.int64())), f"{ddl}, distance long"
     block = asked.toArrow()
     query_ids = np.array(block["query_id"].to_pylist(), dtype=object)
     vectors = matrix(block["vector"], dimension)
     wanted = signatures(vectors, _planes(dimension, tables, bits, seed), tables, bits)
     unit_queries = unit(vectors)
+    most = PROBED * k
 
-    def scan(batches):
-        best = Best(len(query_ids), k)
+    def read(batches):
         for batch in batches:
             ids = np.array(batch.column("id").to_pylist(), dtype=object)
             units = unit(matrix(batch.column("vector"), dimension))
             buckets = np.asarray(batch.column("signature").flatten()).reshape(-1, tables)
+            yield ids, units, buckets
+
+    def score(units, query):
+        return np.round(units @ unit_queries[query], SCORE_DIGITS)
+
+    def probe(batches):
+        best = Best(len(query_ids), most)
+        kept = [{} for _ in query_ids]
+        for ids, units, buckets in read(batches):
+            for query in range(len(query_ids)):
+                nearness = -distances(buckets, wanted[query]).astype(np.float64)
+                near = np.flatnonzero(nearness >= best.floor[query])
+                if near.size > most:
+                    cut = np.partition(nearness[near], near.size - most)[near.size - most]
+                    near = near[nearness[near] >= cut]
+                    near = near[np.lexsort((ids[near], -nearness[near]))[:most]]
+                best.offer(query, ids[near], nearness[near])
+                # Rows that repeat an id bring the smallest of their scores.
+                scores = kept[query]
+                for id_, value in zip(ids[near], score(units[near], query)):
+                    scores[id_] = min(value, scores.get(id_, value))
+                kept[query] = {id_: scores[id_] for id_ in best.ids[query]}
+        found = best.table(query_ids, schema)
+        scores = [kept[query][id_] for query in range(len(query_ids)) for id_ in best.ids[query]]
+        distance = pa.array(-np.concatenate([*best.scores, np.empty(0)]), pa.float64()).cast(pa.int64())
+        arrays = [found.column(0), found.column(1), pa.array(scores, pa.float64()), distance]
+        yield pa.RecordBatch.from_arrays(arrays, schema=probed_schema)
+
+    probed = top_k(index.mapInArrow(probe, probed_ddl), most, F.asc("distance"))
+    # At most ``most`` scores per query.
+    scores = F.sort_array(F.collect_list(F.when(~F.isnan("score"), F.col("score"))), asc=False)
+    bounds = probed.groupBy("query_id").agg(
+        F.get(scores, F.lit(k - 1)).alias("bound"), F.max("distance").alias("distance")
+    )
+    known = {r["query_id"]: max(_reach(r["bound"], tables * bits), r["distance"]) for r in bounds.collect()}
+    reach = [known.get(q, tables * bits) for q in query_ids]
+
+    def scan(batches):
+        best = Best(len(query_ids), k)
+        for ids, units, buckets in read(batches):
             for query in range(len(query_ids)):
-                near = np.flatnonzero((buckets == wanted[query]).any(axis=1))
+                near = np.flatnonzero(distances(buckets, wanted[query]) <= reach[query])
                 if near.size:
-                    scores = np.round(units[near] @ unit_queries[query], SCORE_DIGITS)
-                    best.offer(query, ids[near], scores)
+                    best.offer(query, ids[near], score(units[near], query))
         yield best.table(query_ids, schema)
 
     return index.mapInArrow(scan, ddl)

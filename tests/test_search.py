@@ -10,11 +10,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from broadsheet.functions import text as X
 from broadsheet.operators import chunks as C
 from broadsheet.operators import search as R
 from broadsheet.plans import retrieval
 from broadsheet.schemas import CHUNK_DOCUMENTS
+from conftest import TESTDATA
 
 ARTICLE = (
     "row_id string, url string, date_published timestamp, date_modified timestamp, "
@@ -315,3 +317,30 @@ def test_lsh_answers_do_not_depend_on_the_number_of_queries(spark, space, monkey
     whole = hits()
     monkeypatch.setattr(R, "MAX_BROADCAST_QUERIES", 2)
     assert hits() == whole
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_lsh_recall_of_the_registered_queries(spark, scale):
+    path = TESTDATA.parent / scale
+    if not path.exists():
+        pytest.skip("test data not present")
+    assert E.queries()["dense_recall"](spark, str(path)).first().recall >= 0.9
+    hits = Counter(r.query_id for r in E.queries()["dense_topk_lsh"](spark, str(path)).collect())
+    assert hits and set(hits.values()) == {10}
+
+
+def test_lsh_fills_up_to_k_whatever_the_partitions(spark, space):
+    docs, queries = space
+    asked = vectors(spark, queries, "query_id")
+    few = vectors(spark, docs[:8], "id")
+    assert triples(R.dense_topk_lsh(R.lsh_index(few, 16), asked, 10, 16)) == exact(docs[:8], queries, 10)
+    answers = []
+    for parts in (1, 7):
+        index = R.lsh_index(vectors(spark, docs, "id").repartition(parts), 16)
+        found = triples(R.dense_topk_lsh(index, asked, 10, 16))
+        assert len(found) == 10 * len(queries)
+        answers.append(found)
+    assert answers[0] == answers[1]
+    # A query of zeros scores nought everywhere: the smallest ids, as in the exact search.
+    zero = len(queries) - 1
+    assert {t for t in answers[0] if t[0] == zero} == {t for t in exact(docs, queries, 10) if t[0] == zero}
