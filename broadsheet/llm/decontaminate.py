@@ -3,7 +3,13 @@
 Texts are turned into templates: numbers, names and units become typed placeholders. Windows of
 the items' templates are looked up by hash in every task that reads documents; where windows hit,
 the item is laid over the document, and the slots are compared: one value of the item has to
-stand for one value of the document throughout. What then matches decides.
+stand for one value of the document throughout. What then matches decides. Runs of names, and a
+number with its unit, are one placeholder, and what matches at nearby places is taken together, so
+slots of another number of words and words put in break nothing. A word left out or changed breaks
+the windows that hold it.
+
+A capital at the start of a sentence may or may not make a name, so every text has two forms: one
+without names there, one where any capitalised word but a function word is a name.
 
 The benchmark is sent to the tasks in blocks of a bounded number of words. A larger benchmark is
 more passes over the documents, never a larger block. Documents do not move.
@@ -30,6 +36,11 @@ LEAST_LITERAL = 4
 #: An item is held if this share of its windows matches, or this many words in a row do.
 COVERAGE = 0.5
 RUN = 13
+#: Places this near are taken together, if at least PIECE words in a row agree there; SHIFTS of them
+#: without a hit of their own too.
+NEAR = 8
+PIECE = 3
+SHIFTS = 2
 #: Words of the benchmark that are sent to the tasks at once.
 BLOCK_WORDS = 1_000_000
 
@@ -40,13 +51,27 @@ UNITS = (
     " cent cents percent degree degrees mph kmh km/h hz khz mhz kb mb gb tb w kw v amp amps"
 ).split()
 _UNITS = frozenset(u.encode() for u in UNITS)
+#: Words that are no names where a capital may come from the start of a sentence.
+_FUNCTION_WORDS = frozenset(
+    w.encode()
+    for w in (
+        "a an the this that these those i you he she it we they his her its my your our their who whom whose what which"
+        " when where why how if in on at to of for from by with and or but so as is are was were be do does did has have had"
+        " can could will would shall should may might must not no there here then than after before each every all some any"
+        " one two three after during while el la los las un una de en y o que se su con por para no es al lo le les der die"
+        " das ein eine und oder in im zu mit von auf ist sind wie was wer wo wenn er sie es wir ihr le la les un une des du"
+        " et ou dans sur avec pour par est sont que qui il elle nous vous ils elles"
+    ).split()
+)
 _NUMBER = re.compile(rb"[+-]?[$\xe2\x82\xac\xc2\xa3]*[0-9][0-9.,:/]*%?\Z")
 _MEASURE = re.compile(rb"([+-]?[0-9][0-9.,]*)([A-Za-z/]+)\Z")
 _EDGES = b".,;:!?\"'()[]{}*#$%&|<>"
 _ENDS = (b".", b"!", b"?", b":")
+_STOPS = (*_ENDS, b",", b";")
 _CACHED = 300_000
 PLACEHOLDERS = ("<number>", "<name>", "<unit>", "<measure>")
-_SLOT = [xxhash.xxh3_64_intdigest(p) for p in PLACEHOLDERS]
+_SLOT = np.array([xxhash.xxh3_64_intdigest(p) for p in PLACEHOLDERS], np.uint64)
+_NUMBER_SLOT, _NAME_SLOT, _UNIT_SLOT, _MEASURE_SLOT = range(4)
 
 
 def classify(word: bytes, first: bool) -> tuple[int, int]:
@@ -57,49 +82,88 @@ def classify(word: bytes, first: bool) -> tuple[int, int]:
     bare = word.strip(_EDGES)
     lower = bare.decode().lower().encode()
     if _NUMBER.match(bare):
-        return _SLOT[0], 0
-    if lower in _UNITS:
-        return _SLOT[2], 2
-    measure = _MEASURE.match(bare)
-    if measure and measure[2].lower() in _UNITS:
-        return _SLOT[3], 3
-    text = bare.decode()
-    if not first and len(text) > 1 and text[0].isupper() and text[1:].islower():
-        return _SLOT[1], 1
-    return xxhash.xxh3_64_intdigest(lower), -1
-
-
-class _Classes(dict):
-    def __init__(self, first: bool):
-        self.first = first
-
-    def __missing__(self, word: bytes) -> tuple[int, int, bool]:
-        if len(self) >= _CACHED:
-            self.clear()
-        value = self[word] = (*classify(word, self.first), word.endswith(_ENDS))
-        return value
-
-
-_starting, _inside = _Classes(True), _Classes(False)
+        slot = _NUMBER_SLOT
+    elif lower in _UNITS:
+        slot = _UNIT_SLOT
+    elif (measure := _MEASURE.match(bare)) and measure[2].lower() in _UNITS:
+        slot = _MEASURE_SLOT
+    else:
+        text = bare.decode()
+        if first or len(text) < 2 or not text[0].isupper() or not text[1:].islower():
+            return xxhash.xxh3_64_intdigest(lower), -1
+        slot = _NAME_SLOT
+    return int(_SLOT[slot]), slot
+
+
+class _Words(dict):
+    """Place of a word in columns: hash of the lower word, slot types at the start of a sentence, inside
+    one, and where any capital makes a name; whether a sentence, or a run, ends with the word."""
+
+    def __init__(self):
+        self.resize(1024)
+
+    def resize(self, size: int) -> None:
+        grown = np.zeros(size, np.uint64), np.zeros((3, size), np.int8), np.zeros((2, size), bool)
+        if len(self):
+            for new, old in zip(grown, (self.hashes, self.slots, self.ends)):
+                new[..., : old.shape[-1]] = old
+        self.hashes, self.slots, self.ends = grown
+
+    def __missing__(self, word: bytes) -> int:
+        place = len(self)
+        if place == len(self.hashes):
+            self.resize(2 * place)
+        lower = word.strip(_EDGES).decode().lower().encode()
+        inside = wide = classify(word, False)[1]
+        if inside == _NAME_SLOT and lower in _FUNCTION_WORDS:
+            wide = -1
+        self.hashes[place] = xxhash.xxh3_64_intdigest(lower)
+        self.slots[:, place] = classify(word, True)[1], inside, wide
+        self.ends[:, place] = word.endswith(_ENDS), word.endswith(_STOPS)
+        self[word] = place
+        return place
+
+
+_known = _Words()
 
 
 @dataclass
 class Template:
+    """Canonical words of a text; each stands for ``sizes`` words from ``starts`` on."""
+
     words: list[bytes]
+    starts: np.ndarray
+    sizes: np.ndarray
     hashes: np.ndarray
     slots: np.ndarray
 
+    def values(self, i: int) -> list[bytes]:
+        """What fills a slot: a name, a number, a unit, or number and unit."""
+        bare = [w.strip(_EDGES) for w in self.words[self.starts[i] : self.starts[i] + self.sizes[i]]]
+        if self.slots[i] == _MEASURE_SLOT and len(bare) == 1:
+            return list(_MEASURE.match(bare[0]).groups())
+        return bare if self.slots[i] == _MEASURE_SLOT else [b" ".join(bare)]
 
-def template(body: bytes | None) -> Template:
-    """Canonical words of a text, in order."""
+
+def templates(body: bytes | None) -> list[Template]:
+    """The forms of a text."""
     words = W.words_of(body)
-    found = list(map(_inside.__getitem__, words))
-    ends = [True, *(f[2] for f in found[:-1])]
-    for i, after_end in enumerate(ends[: len(found)]):
-        if after_end:
-            found[i] = _starting[words[i]]
-    hashes = np.fromiter((f[0] for f in found), np.uint64, len(found))
-    return Template(words, hashes, np.fromiter((f[1] for f in found), np.int8, len(found)))
+    if len(_known) >= _CACHED:
+        _known.clear()
+    at = np.fromiter(map(_known.__getitem__, words), np.int64, len(words))
+    lower, (starting, inside, wide), (ends, stops) = _known.hashes[at], _known.slots[:, at], _known.ends[:, at]
+    first = np.r_[True, ends[:-1]][: len(words)]
+    goes_on = np.r_[False, ~stops[:-1]][: len(words)]
+    return [_joined(words, lower, s, goes_on) for s in (np.where(first, starting, inside), wide)]
+
+
+def _joined(words: list[bytes], lower: np.ndarray, slots: np.ndarray, goes_on: np.ndarray) -> Template:
+    before = np.r_[-1, slots[:-1]][: len(words)]
+    of_number = goes_on & (slots == _UNIT_SLOT) & (before == _NUMBER_SLOT)
+    starts = np.flatnonzero(~(of_number | (goes_on & (slots == _NAME_SLOT) & (before == _NAME_SLOT))))
+    slots = np.where(np.r_[of_number[1:], False][: len(words)], _MEASURE_SLOT, slots)[starts]
+    hashes = np.where(slots >= 0, _SLOT[slots], lower[starts])
+    return Template(words, starts, np.diff(np.r_[starts, len(words)]), hashes, slots)
 
 
 def _literal_enough(slots: np.ndarray, size: int) -> np.ndarray:
@@ -107,62 +171,110 @@ def _literal_enough(slots: np.ndarray, size: int) -> np.ndarray:
     return literal[size:] - literal[:-size] >= min(LEAST_LITERAL, size)
 
 
+def _probes(n: int) -> set[int]:
+    """Sizes of the windows looked up for an item: one of two halves of a short item has half its words."""
+    return {min(WINDOW, n), n // 2} if WINDOW <= n < 2 * WINDOW else {min(WINDOW, n)} - {0}
+
+
+def _runs(agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    edges = np.flatnonzero(np.diff(np.r_[False, agree, False].astype(np.int8)))
+    return edges[::2], edges[1::2]
+
+
 class Items:
-    """A block of benchmark items with the index of their windows."""
+    """A block of benchmark items with the index of their windows, per form."""
 
     def __init__(self, ids: list[int], bodies: list[bytes | None]):
-        self.ids, self.templates = ids, [template(b) for b in bodies]
-        self.index: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.ids = ids
+        self.templates = list(zip(*map(templates, bodies)))
+        self.index = [self._indexed(of_form) for of_form in self.templates]
+
+    @staticmethod
+    def _indexed(of_form: Iterable[Template]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         by_size: dict[int, list] = {}
-        for item, one in enumerate(self.templates):
-            size = min(WINDOW, len(one.words))
-            if size:
+        for item, one in enumerate(of_form):
+            for size in _probes(len(one.hashes)):
                 keys = W.rolling(one.hashes, size, 3)
                 at = np.flatnonzero(_literal_enough(one.slots, size))
                 by_size.setdefault(size, []).append((keys[at], np.full(len(at), item), at))
+        index = {}
         for size, parts in by_size.items():
             keys, items, at = (np.concatenate(c) for c in zip(*parts))
             order = np.argsort(keys, kind="stable")
-            self.index[size] = keys[order], items[order], at[order]
+            index[size] = keys[order], items[order], at[order]
+        return index
 
     def matches(self, body: bytes | None) -> list[tuple]:
         """(item_id, n_windows, n_matched, longest_run, n_slots, exact) of each item the text holds."""
-        doc = None
+        best: dict[int, tuple] = {}
+        for of_form, index, doc in zip(self.templates, self.index, templates(body)):
+            for item, places in self._places(index, doc).items():
+                n_windows = max(1, len(of_form[item].hashes) - WINDOW + 1)
+                if item in best and best[item][1] == best[item][0]:
+                    continue
+                found = (n_windows, *self._laid_near(of_form[item], doc, sorted(places), n_windows))
+                # Of two forms the one that matches more; the first if both match as much.
+                if item not in best or found[1] * best[item][0] > best[item][1] * n_windows:
+                    longest = max(found[2], best[item][2]) if item in best else found[2]
+                    best[item] = (*found[:2], longest, *found[3:])
+                elif found[2] > best[item][2]:
+                    best[item] = (*best[item][:2], found[2], *best[item][3:])
+        return [
+            (self.ids[item], *one) for item, one in best.items() if one[1] >= COVERAGE * one[0] or one[2] >= RUN
+        ]
+
+    @staticmethod
+    def _places(index: dict, doc: Template) -> dict[int, set[int]]:
+        """Where windows of each item hit: place of the document less place of the item."""
         offsets: dict[int, set[int]] = {}
-        for size, (keys, items, at) in self.index.items():
-            doc = doc or template(body)
+        for size, (keys, items, at) in index.items():
             probes = W.rolling(doc.hashes, size, 3)
             found, _ = W.lookup(keys, probes)
             for position in np.flatnonzero(found):
                 low, high = np.searchsorted(keys, probes[position], "left"), np.searchsorted(keys, probes[position], "right")
                 for entry in range(low, high):
                     offsets.setdefault(int(items[entry]), set()).add(int(position - at[entry]))
-        out = []
-        for item, places in offsets.items():
-            best = max(self._laid(self.templates[item], doc, place) for place in sorted(places))
-            n_windows = max(1, len(self.templates[item].words) - WINDOW + 1)
-            n_matched, run, n_slots, exact = best
-            if n_matched >= COVERAGE * n_windows or run >= RUN:
-                out.append((self.ids[item], n_windows, n_matched, run, n_slots, exact))
-        return out
+        return offsets
+
+    @classmethod
+    def _laid_near(cls, item: Template, doc: Template, places: list[int], n_windows: int) -> tuple[int, int, int, bool]:
+        best = (-1, 0, 0, False)
+        for place in places:
+            near = {p for p in places if abs(p - place) <= NEAR} | {place + d for d in range(-SHIFTS, SHIFTS + 1)}
+            best = max(best, cls._laid(item, doc, sorted(near, key=lambda p: (abs(p - place), p))))
+            if best[0] == n_windows:
+                break
+        return best
 
     @staticmethod
-    def _laid(item: Template, doc: Template, place: int) -> tuple[int, int, int, bool]:
-        """Windows and longest run that agree with the item laid at a place, slots included."""
-        low, high = max(0, -place), min(len(item.words), len(doc.words) - place)
-        agree = np.zeros(len(item.words), bool)
-        agree[low:high] = item.hashes[low:high] == doc.hashes[low + place : high + place]
-        slots = np.flatnonzero(agree & (item.slots >= 0))
-        values = [(item.words[i].strip(_EDGES), doc.words[i + place].strip(_EDGES)) for i in slots]
+    def _laid(item: Template, doc: Template, places: list[int]) -> tuple[int, int, int, bool]:
+        """Windows that agree with the item laid at the first place, and near it where that does not agree, and
+        the longest run of words at one place; slots included."""
+        n = len(item.hashes)
+        held, longest, n_slots, exact = np.zeros(n, bool), 0, 0, True
         stands_for: dict[bytes, bytes] = {}
-        for i, (mine, theirs) in zip(slots, values):
-            if stands_for.setdefault(mine, theirs) != theirs:
-                agree[i] = False
-        edges = np.flatnonzero(np.diff(np.r_[False, agree, False].astype(np.int8)))
-        runs = edges[1::2] - edges[::2]
-        size = min(WINDOW, len(item.words))
-        matched = int(np.maximum(runs - size + 1, 0).sum())
-        return matched, int(runs.max(initial=0)), len(slots), all(a == b for a, b in values)
+        for place in places:
+            low, high = max(0, -place), min(n, len(doc.hashes) - place)
+            if high <= low or held.all():
+                continue
+            agree = np.zeros(n, bool)
+            agree[low:high] = item.hashes[low:high] == doc.hashes[low + place : high + place]
+            if place != places[0]:
+                agree &= ~held
+                for a, b in zip(*_runs(agree)):
+                    agree[a:b] = b - a >= PIECE
+            for i in np.flatnonzero(agree & (item.slots >= 0)):
+                pairs = list(zip(item.values(i), doc.values(i + place)))
+                if all(stands_for.setdefault(mine, theirs) == theirs for mine, theirs in pairs):
+                    n_slots += 1
+                    exact &= all(mine == theirs for mine, theirs in pairs)
+                else:
+                    agree[i] = exact = False
+            for a, b in zip(*_runs(agree)):
+                longest = max(longest, int(item.sizes[a:b].sum()))
+            held |= agree
+        starts, stops = _runs(held)
+        return int(np.maximum(stops - starts - min(WINDOW, n) + 1, 0).sum()), longest, n_slots, exact
 
 
 def _blocks(benchmark: DataFrame, id_column: str, text_column: str) -> Iterator[Items]:
@@ -190,8 +302,9 @@ def find_contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, longest_run, n_slots, exact): a row per document and item it holds.
 
-    A document holds an item if COVERAGE of its template windows, or RUN words in a row, match at
-    one place with consistent slots. ``exact`` tells that all slot values are the item's own. Items
+    A document holds an item if COVERAGE of its template windows match at nearby places, or RUN words
+    in a row at one place, with consistent slots. Of the two forms of a text (see above) the one that
+    matches more counts. ``exact`` tells that all slot values are the item's own. Items
     without id or text, and documents without text, match nothing. Rows that repeat an id give a
     row each. An item of fewer words than a window is one window. Other columns are not read.
     """

@@ -59,3 +59,31 @@ def test_frames_and_blocks(spark, monkeypatch):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [50, 51, 52]
     assert D.find_contaminated(docs, benchmark.limit(0)).count() == 0
     assert D.drop_contaminated(docs, benchmark.limit(0)).count() == len(rows)
+
+
+@pytest.mark.parametrize(
+    "item,doc",
+    [
+        # Names mostly at the start of sentences.
+        (
+            "Tom has 5 apples. Tom gives 2 apples to Ann. Ann eats 1 apple at once. Tom buys 6 pears and how many are left",
+            "Bob has 7 apples. Bob gives 3 apples to Eve. Eve eats 2 apple at once. Bob buys 9 pears and how many are left",
+        ),
+        # A slot of another number of words, and a word put in.
+        ("in the old town a girl called Anna sells sweet red plums to all", "in the old town a girl called Anna Maria sells sweet red plums to all"),
+        ("every day the mule walks about 5 km up a steep hill without rest", "every day the mule walks about 5km up a steep hill without rest"),
+        ("red green blue black white grey pink brown gold teal", "red green blue black white very grey pink brown gold teal"),
+        (" ".join(f"w{i}x" for i in range(26)), " ".join(["more" if i == 13 else f"w{i - (i > 13)}x" for i in range(27)])),
+    ],
+)
+def test_changed_copies(item, doc):
+    assert held("so it is told " + doc + " and then it ends", item)
+
+
+def test_other_texts_are_not_held():
+    item = "Tom has 5 apples. Tom gives 2 apples to Ann. Ann eats 1 apple at once. How many are left"
+    assert not held("Bob has 7 coins. Eve takes 2 coins from Max. Max spends 1 coin on tea. How many are there", item)
+    # Names that do not stand for one another throughout.
+    mixed = "Bob has 5 apples. Max gives 2 apples to Eve. Kim eats 1 apple at once. How many are left"
+    got = held(mixed, item)
+    assert not got or got[0][2] < got[0][1]
