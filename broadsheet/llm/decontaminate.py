@@ -8,8 +8,10 @@ number with its unit, are one placeholder, and what matches at nearby places is
 slots of another number of words and words put in break nothing. A word left out or changed breaks
 the windows that hold it.
 
-A capital at the start of a sentence may or may not make a name, so every text has two forms: one
-without names there, one where any capitalised word but a function word is a name.
+A capital at the start of a sentence may or may not make a name, so every text has three forms: one
+without names there, one where any capitalised word but a function word is a name, and the plain
+words, without placeholders. Of the first two, windows with fewer than LEAST_LITERAL words other
+than placeholders are not looked up; of the plain words all are, so verbatim copies are always found.
 
 The benchmark is sent to the tasks in blocks of a bounded number of words. A larger benchmark is
 more passes over the documents, never a larger block. Documents do not move.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -96,33 +99,31 @@ def classify(word: bytes, first: bool) -> tuple[int, int]:
 
 
 class _Words(dict):
-    """Place of a word in columns: hash of the lower word, slot types at the start of a sentence, inside
-    one, and where any capital makes a name; whether a sentence, or a run, ends with the word."""
+    """Place of a word in two columns: hash of the lower word, and a byte of what it can be: its slot type
+    inside a sentence plus one, then the bits below."""
 
-    def __init__(self):
-        self.resize(1024)
+    FUNCTION, ENDS, STOPS = 8, 16, 32
 
-    def resize(self, size: int) -> None:
-        grown = np.zeros(size, np.uint64), np.zeros((3, size), np.int8), np.zeros((2, size), bool)
-        if len(self):
-            for new, old in zip(grown, (self.hashes, self.slots, self.ends)):
-                new[..., : old.shape[-1]] = old
-        self.hashes, self.slots, self.ends = grown
+    def __init__(self):
+        self.hashes, self.kinds = array("Q"), bytearray()
 
     def __missing__(self, word: bytes) -> int:
-        place = len(self)
-        if place == len(self.hashes):
-            self.resize(2 * place)
-        lower = word.strip(_EDGES).decode().lower().encode()
-        inside = wide = classify(word, False)[1]
-        if inside == _NAME_SLOT and lower in _FUNCTION_WORDS:
-            wide = -1
-        self.hashes[place] = xxhash.xxh3_64_intdigest(lower)
-        self.slots[:, place] = classify(word, True)[1], inside, wide
-        self.ends[:, place] = word.endswith(_ENDS), word.endswith(_STOPS)
+        place = len(self.hashes)
+        bare = word.strip(_EDGES)
+        if bare.isalpha() and bare.islower():
+            lower, slot = bare, _UNIT_SLOT if bare in _UNITS else -1
+        else:
+            lower, slot = bare.decode().lower().encode(), classify(word, False)[1]
+        kind = slot + 1 + self.FUNCTION * (lower in _FUNCTION_WORDS)
+        self.kinds.append(kind + self.ENDS * word.endswith(_ENDS) + self.STOPS * word.endswith(_STOPS))
+        self.hashes.append(xxhash.xxh3_64_intdigest(lower))
         self[word] = place
         return place
 
+    def clear(self) -> None:
+        super().clear()
+        self.__init__()
+
 
 _known = _Words()
 
@@ -151,10 +152,14 @@ def templates(body: bytes | None) -> list[Template]:
     if len(_known) >= _CACHED:
         _known.clear()
     at = np.fromiter(map(_known.__getitem__, words), np.int64, len(words))
-    lower, (starting, inside, wide), (ends, stops) = _known.hashes[at], _known.slots[:, at], _known.ends[:, at]
-    first = np.r_[True, ends[:-1]][: len(words)]
-    goes_on = np.r_[False, ~stops[:-1]][: len(words)]
-    return [_joined(words, lower, s, goes_on) for s in (np.where(first, starting, inside), wide)]
+    lower, kinds = np.frombuffer(_known.hashes, np.uint64)[at], np.frombuffer(_known.kinds, np.uint8)[at]
+    inside, name = (kinds & 7).astype(np.int8) - 1, (kinds & 7) == _NAME_SLOT + 1
+    first = np.r_[True, (kinds & _Words.ENDS)[:-1] > 0][: len(words)]
+    goes_on = np.r_[False, (kinds & _Words.STOPS)[:-1] == 0][: len(words)]
+    starting = np.where(first & name, -1, inside)
+    wide = np.where(name & (kinds & _Words.FUNCTION > 0), -1, inside)
+    plain = Template(words, np.arange(len(words)), np.ones(len(words), np.int64), lower, np.full(len(words), -1))
+    return [*(_joined(words, lower, slots, goes_on) for slots in (starting, wide)), plain]
 
 
 def _joined(words: list[bytes], lower: np.ndarray, slots: np.ndarray, goes_on: np.ndarray) -> Template:
@@ -303,10 +308,12 @@ def find_contaminated(
     """(doc_id, item_id, n_windows, n_matched, longest_run, n_slots, exact): a row per document and item it holds.
 
     A document holds an item if COVERAGE of its template windows match at nearby places, or RUN words
-    in a row at one place, with consistent slots. Of the two forms of a text (see above) the one that
+    in a row at one place, with consistent slots. Of the forms of a text (see above) the one that
     matches more counts. ``exact`` tells that all slot values are the item's own. Items
     without id or text, and documents without text, match nothing. Rows that repeat an id give a
-    row each. An item of fewer words than a window is one window. Other columns are not read.
+    row each. An item of fewer words than a window is one window. With other values, an item is found only
+    if some of its windows have LEAST_LITERAL words that are no placeholders, or all of a shorter window;
+    verbatim, with any. Other columns are not read.
     """
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("binary").alias("body"))
     kind = chosen.schema["doc_id"].dataType.simpleString()

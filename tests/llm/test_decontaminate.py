@@ -87,3 +87,21 @@ def test_other_texts_are_not_held():
     mixed = "Bob has 5 apples. Max gives 2 apples to Eve. Kim eats 1 apple at once. How many are left"
     got = held(mixed, item)
     assert not got or got[0][2] < got[0][1]
+
+
+@pytest.mark.parametrize(
+    "item",
+    ["What is 3 + 4?", "Who wrote Hamlet and Macbeth?", "Anna lives in Rome", "1 1 2 3 5 8 13 21 34 55 89 144", "Tom 3 km Ann 5 km Max 7 km Eve 9 km", "Is 7 ?"],
+)
+def test_verbatim_copies_of_slots(item):
+    for before in ("so it reads: ", "and then Bob ", "1 ", "End. "):
+        (found,) = held(before + item + " 0 and more", item)
+        assert found[2] == found[1] and found[-1]
+    assert not held("so it reads: " + " ".join(reversed(item.split())) + " and more", item)
+
+
+def test_verbatim_copies_survive_no_pipeline_stage(spark):
+    docs = spark.createDataFrame([(1, "asked: Who wrote Hamlet and Macbeth? told"), (2, "something else")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, "Who wrote Hamlet and Macbeth?")], "item_id long, text string")
+    assert [r.doc_id for r in D.drop_contaminated(docs, benchmark).collect()] == [2]
+    assert [(r.doc_id, r.item_id, r.exact) for r in D.find_contaminated(docs, benchmark).collect()] == [(1, 7, True)]
