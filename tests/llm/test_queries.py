@@ -34,7 +34,7 @@ def digests(text, tokens):
 
 def test_names():
     found = queries.queries()
-    assert [sum(name.startswith(f"op{n}_") for name in found) for n in range(1, 11)] == [1] * 10 and "pipeline" in found
+    assert [sum(name.startswith(f"op{n}_") for name in found) for n in range(1, 14)] == [1] * 13 and "pipeline" in found
 
 
 def test_bpe(spark, docs, tokens):
