@@ -121,35 +121,36 @@ BASE = 4
 #: Characters on either side of a match in which context words count, and what they add.
 CONTEXT_CHARS = 30
 CONTEXT_GAIN = 0.3
-_BLOCK = 64
+
+
+def in_blocks(values: Column) -> Column:
+    """A filled array cut into arrays of about the square root of its size.
+
+    Slicing and appending copy their whole array, so n steps over blocks cost n ** 1.5 and not n ** 2.
+    """
+    size = F.ceil(F.sqrt(F.size(values))).cast("int")
+    starts = F.sequence(F.lit(1), F.size(values), size)
+    return F.transform(starts, lambda start: F.slice(values, start, size))
 
 
 def running_total(values: Column) -> Column:
-    """For each value, the sum of those before it."""
-    blocks = F.sequence(F.lit(0), F.ceil(F.size(values) / _BLOCK).cast("int"))
-    zero = F.lit(0)
-    sums = F.transform(
-        blocks, lambda b: F.aggregate(F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)), zero, lambda a, v: a + v)
-    )
-    before = F.aggregate(
-        sums,
-        F.array(zero),
-        lambda a, s: F.concat(a, F.array(F.element_at(a, -1) + s)),
-    )
+    """For each value of a filled array, the sum of those before it; ``values`` should be a plain column."""
 
-    def total(_, i: Column) -> Column:
-        block = F.floor(i / _BLOCK).cast("int")
-        part = F.slice(values, block * _BLOCK + 1, (i % _BLOCK).cast("int"))
-        return F.get(before, block) + F.aggregate(part, zero, lambda a, v: a + v)
+    def sums(terms: Column, of: Callable[[Column], Column]) -> Column:
+        return F.aggregate(terms, F.array(F.lit(0)), lambda a, t: F.concat(a, F.array(F.element_at(a, -1) + of(t))))
 
-    return F.transform(values, total)
+    inner = F.transform(in_blocks(values), lambda block: sums(block, lambda v: v))
+    before = sums(inner, lambda part: F.element_at(part, -1))
+    moved = F.zip_with(
+        inner,
+        F.slice(before, F.lit(1), F.size(inner)),
+        lambda part, base: F.transform(F.slice(part, F.lit(1), F.size(part) - 1), lambda x: x + base),
+    )
+    return F.flatten(moved)
 
 
-def _spans(kind: Kind, order: int, text: Column, matches: Column) -> Column:
-    """All confirmed spans of a kind, with position, score and order."""
-    gaps = F.split(text, kind.pattern, -1)
-    lengths = F.transform(matches, lambda m, i: F.char_length(m) + F.char_length(F.get(gaps, i)))
-    # Before match i: i whole pairs of gap and match, and gap i.
+def _spans(kind: Kind, order: int, matches: Column, gaps: Column, before: Column) -> Column:
+    """All confirmed spans of a kind, with position, score and order; gaps lie around the matches."""
     near = rf"(?i){kind.context}"
 
     def span(match: Column, i: Column) -> Column:
@@ -159,7 +160,7 @@ def _spans(kind: Kind, order: int, text: Column, matches: Column) -> Column:
         score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(told, CONTEXT_GAIN).otherwise(0.0))
         return F.struct(match.alias("match"), F.char_length(F.get(gaps, i)).alias("gap"), score.alias("score"))
 
-    found = F.arrays_zip(F.transform(matches, span).alias("m"), running_total(lengths).alias("before"))
+    found = F.arrays_zip(F.transform(matches, span).alias("m"), before.alias("before"))
     placed = F.transform(
         found,
         lambda f: F.struct(
@@ -195,44 +196,84 @@ def find(docs: DataFrame, text_column: str = "text", output: str = "pii") -> Dat
     out and not tried again. Null and empty texts have no spans. All columns are kept; one named
     ``pii`` is replaced. Rows are independent of each other.
     """
-    names = _free([k.name for k in KINDS], docs.columns)
+    parts = [(k, f"_{k.name}_match", f"_{k.name}_gap", f"_{k.name}_size", f"_{k.name}_before") for k in KINDS]
+    names = iter(_free([name for _, *four in parts for name in four], docs.columns))
+    parts = [(k, *(next(names) for _ in range(4))) for k in KINDS]
     text = F.coalesce(F.col(text_column), F.lit(""))
-    matched = docs.withColumns(
+    # Each step is a projection of its own and its columns are read more than once by the next, so the
+    # optimiser keeps them apart: inside a lambda an expression is evaluated anew for every element.
+    found = docs.withColumns(
+        {
+            match: F.when(text.rlike(k.guard), F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0)))
+            for k, match, *_ in parts
+        }
+    )
+    found = found.withColumns({gap: F.when(F.size(m) > 0, F.split(text, k.pattern, -1)) for k, m, gap, *_ in parts})
+    # Before match i: i whole pairs of gap and match, and gap i.
+    found = found.withColumns(
         {
-            name: F.when(text.rlike(k.guard), F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0)))
-            for name, k in zip(names, KINDS)
+            size: F.zip_with(
+                F.transform(m, F.char_length), F.transform(gap, F.char_length), lambda a, b: F.coalesce(a, F.lit(0)) + b
+            )
+            for _, m, gap, size, _ in parts
         }
     )
+    found = found.withColumns({before: running_total(F.col(size)) for *_, size, before in parts})
     none = F.array().cast(_SPAN)
     spans = [
-        F.when(F.size(name) > 0, _spans(k, i, text, F.col(name)).cast(_SPAN)).otherwise(none)
-        for i, (name, k) in enumerate(zip(names, KINDS))
+        F.when(
+            F.size(m) > 0, _spans(k, i, F.col(m), F.col(gap), F.slice(before, F.lit(1), F.size(m))).cast(_SPAN)
+        ).otherwise(none)
+        for i, (k, m, gap, _, before) in enumerate(parts)
     ]
-    return matched.withColumn(output, F.array_sort(F.concat(*spans))).drop(*names)
+    helpers = [name for _, *four in parts for name in four]
+    return found.withColumn(output, F.array_sort(F.concat(*spans))).drop(*helpers)
 
 
 def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; same columns.
 
-    Of spans that overlap, the first names the kind, and all of their characters go. A null text stays null.
+    Of spans that overlap, the first names the kind, and all of their characters go. A null text stays null;
+    texts without spans, repeated rows and very long texts are treated like any other.
     """
     text = F.col(text_column)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    none = F.array().cast("array<string>")
 
     def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        part = F.when(
-            fresh,
-            F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")),
-        ).otherwise("")
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["parts"], F.array(part)).alias("parts"))
+        gap = F.substring(acc["piece"], acc["at"] - acc["base"] + 1, s["start"] - acc["at"])
+        part = F.when(s["start"] >= acc["at"], F.concat(gap, F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
+        return F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            acc["done"].alias("done"),
+            acc["base"].alias("base"),
+            acc["piece"].alias("piece"),
+            F.concat(acc["parts"], F.array(part)).alias("parts"),
+        )
+
+    def block(acc: Column, spans: Column) -> Column:
+        # A place in a text is found by walking up to it, so each block walks through its own piece only.
+        stop = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.aggregate(
+            spans,
+            F.struct(
+                acc["at"].alias("at"),
+                acc["done"].alias("done"),
+                acc["at"].alias("base"),
+                F.substring(text, acc["at"] + 1, stop - acc["at"]).alias("piece"),
+                none.alias("parts"),
+            ),
+            step,
+            lambda a: F.struct(
+                a["at"].alias("at"), F.concat(a["done"], F.array(F.array_join(a["parts"], ""))).alias("done")
+            ),
+        )
 
     (spans,) = _free(["pii"], docs.columns)
     done = F.aggregate(
-        spans,
-        start,
-        step,
-        lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.char_length(text))),
+        in_blocks(F.col(spans)),
+        F.struct(F.lit(0).alias("at"), none.alias("done")),
+        block,
+        lambda acc: F.concat(F.array_join(acc["done"], ""), F.substring(text, acc["at"] + 1, F.char_length(text))),
     )
     marked = find(docs, text_column, spans)
     return marked.withColumn(text_column, F.when(F.size(spans) > 0, done).otherwise(text)).drop(spans)

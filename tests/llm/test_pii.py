@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +89,32 @@ def test_redact(spark):
     assert {r.pii for r in done.collect()} == {"k"}
 
 
+def test_many_matches_in_one_text(spark):
+    """Time grows with the matches, not with their square; columns named like helpers stay."""
+    texts = ["a@b.c " * 5000, "1.2.3.4 x@y.z " * 30000]
+    docs = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "doc_id long, text string, _ip_gap string")
+    pii.find(docs.limit(0)).collect()
+    begin = time.time()
+    found = pii.find(docs).select("doc_id", pii.as_text("pii").alias("spans"), "_ip_gap").collect()
+    assert {r.doc_id: r.spans for r in found} == {i: base(t) for i, t in enumerate(texts)} and found[0]._ip_gap == "k"
+    done = pii.redact(docs)
+    assert [r.text for r in done.collect()] == ["[EMAIL] " * 5000, "[IP] [EMAIL] " * 30000] and done.columns == docs.columns
+    assert time.time() - begin < 30
+
+
+def test_values_of_spans(spark):
+    """Kind, order, value and score of every span agree with its place in the text."""
+    rows = [(i, t) for i, t in enumerate(texts()) if t and len(t) < 500]
+    for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert [(s.start, s.order) for s in r.pii] == sorted((s.start, s.order) for s in r.pii)
+        for s in r.pii:
+            kind = pii.KINDS[s.order]
+            assert (s.kind, s.value) == (kind.name, r.text[s.start : s.end]) and kind.least <= s.score <= 1.0
+            around = r.text[max(0, s.start - pii.CONTEXT_CHARS) : s.start], r.text[s.end : s.end + pii.CONTEXT_CHARS]
+            if not any(re.search(kind.context, a, re.I) for a in around):
+                assert s.score == kind.score
+
+
 def test_no_python(spark):
     plan = pii.find(spark.createDataFrame([("a",)], "text string"))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan.replace("ArrowEvalPython", "Python")
