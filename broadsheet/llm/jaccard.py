@@ -44,7 +44,7 @@ def shingle_keys(body: bytes | None, size: int = SHINGLE) -> np.ndarray:
     words = W.words_of(body.lower() if body else body)
     if not words:
         return np.empty(0, np.uint64)
-    return np.unique(W.rolling(W.word_hashes(words), min(size, len(words))))
+    return W.distinct(W.rolling(W.word_hashes(words), min(size, len(words))))
 
 
 def needed(first, second):

@@ -8,8 +8,10 @@ time and no deep stack; they match what their plain forms match.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,6 +120,9 @@ KINDS = (
     ),
 )
 BASE = 4
+#: A text without these, or so long a secret of letters only, has no spans.
+_SIGNS = "@0123456789"
+_LETTERS_ONLY = "[a-f]{32}"
 #: Characters on either side of a match in which context words count, and what they add.
 CONTEXT_CHARS = 30
 CONTEXT_GAIN = 0.3
@@ -202,9 +207,11 @@ def find(docs: DataFrame, text_column: str = "text", output: str = "pii") -> Dat
     text = F.coalesce(F.col(text_column), F.lit(""))
     # Each step is a projection of its own and its columns are read more than once by the next, so the
     # optimiser keeps them apart: inside a lambda an expression is evaluated anew for every element.
-    found = docs.withColumns(
+    signs = reduce(or_, (text.contains(sign) for sign in _SIGNS)) | text.rlike(_LETTERS_ONLY)
+    (signed,) = _free(["_signed"], [*docs.columns, *(name for _, *four in parts for name in four)])
+    found = docs.withColumn(signed, signs).withColumns(
         {
-            match: F.when(text.rlike(k.guard), F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0)))
+            match: F.when(F.col(signed) & text.rlike(k.guard), F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0)))
             for k, match, *_ in parts
         }
     )
@@ -226,7 +233,7 @@ def find(docs: DataFrame, text_column: str = "text", output: str = "pii") -> Dat
         ).otherwise(none)
         for i, (k, m, gap, _, before) in enumerate(parts)
     ]
-    helpers = [name for _, *four in parts for name in four]
+    helpers = [signed, *(name for _, *four in parts for name in four)]
     return found.withColumn(output, F.array_sort(F.concat(*spans))).drop(*helpers)
 
 

@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,14 @@ def _widen(marks: np.ndarray, by: int) -> np.ndarray:
     return sums[by:] - sums[:-by] > 0
 
 
+def _widen_forward(starts: np.ndarray, n_words: int, window: int) -> np.ndarray:
+    """Whether each word lies in a window that starts at one of ``starts``."""
+    edges = np.zeros(n_words + 1, np.int64)
+    edges[starts] += 1
+    edges[starts + window] -= 1
+    return np.cumsum(edges[:-1]) > 0
+
+
 def candidate_starts(hits: np.ndarray, n_words: int, window: int) -> np.ndarray:
     """Starts of the windows that hold a hit block; ``hits`` marks the starts of such blocks."""
     if n_words < window or not hits.any():
@@ -89,19 +98,28 @@ def _unpack(packed: list[bytes]) -> list[bytes]:
     return [unpacker.decompress(p) for p in packed]
 
 
-def window_keys(body: bytes, starts: bytes, window: int) -> np.ndarray:
-    """Two independent hashes of each window that starts at one of ``starts``; shape (n, 2)."""
-    hashes = W.word_hashes(W.words_of(body))
-    at = np.frombuffer(starts, np.int32)
-    return np.stack([W.rolling_at(hashes, at, window, family) for family in (1, 2)], axis=1)
+def window_keys(words: list[bytes], starts: np.ndarray, window: int) -> np.ndarray:
+    """Two independent hashes of each window that starts at one of ``starts`` (sorted); shape (n, 2)."""
+    inside = _widen_forward(starts, len(words), window)
+    # A window's words are all inside and so lie next to each other among those inside.
+    hashes = W.word_hashes([words[i] for i in np.flatnonzero(inside).tolist()])
+    at = np.cumsum(inside)[starts] - 1
+    return np.stack([W.rolling(hashes, window, family)[at] for family in (1, 2)], axis=1)
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that brings equal keys together, and where each run of them starts."""
-    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    if not len(keys):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    order = np.argsort(keys[:, 0])
     ordered = keys[order]
-    change = np.r_[True, (ordered[1:] != ordered[:-1]).any(axis=1)] if len(keys) else np.empty(0, bool)
-    return order, np.flatnonzero(change)
+    change, other = ordered[1:, 0] != ordered[:-1, 0], ordered[1:, 1] != ordered[:-1, 1]
+    if (other & ~change).any():
+        # Different windows share the first hash: both hashes have to be sorted by.
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
+        ordered = keys[order]
+        change, other = ordered[1:, 0] != ordered[:-1, 0], ordered[1:, 1] != ordered[:-1, 1]
+    return order, np.flatnonzero(np.r_[True, change | other])
 
 
 def _least(keys: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,9 +133,7 @@ def _send_firsts(buckets: int, window: int):
 
     def flush(chunk: int, parts: list) -> Iterator[pa.RecordBatch]:
         keys, firsts = _least(np.concatenate([k for k, _ in parts]), np.concatenate([f for _, f in parts]))
-        where = W.bucket_of(keys[:, 0], buckets).astype(np.int32)
-        order = np.argsort(where, kind="stable")
-        keys, firsts, where = keys[order], firsts[order], where[order]
+        where = W.bucket_of(keys[:, 0], buckets).astype(np.int32)  # in the order of the keys
         cuts = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
         ends = np.r_[cuts[1:], len(where)]
         yield pa.record_batch(
@@ -132,19 +148,20 @@ def _send_firsts(buckets: int, window: int):
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, held = {}, 0
-        for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("chunk", "doc_id", "packed", "starts")]
-            for chunk, doc_id, packed, starts in zip(*columns):
-                body = _unpack([packed])[0]
-                keys = window_keys(body, starts, window)
-                pending.setdefault(chunk, []).append((keys, np.full(len(keys), doc_id, np.int64)))
-                held += len(keys)
-            if held >= W.FLUSH:
-                for chunk, parts in pending.items():
-                    yield from flush(chunk, parts)
-                pending, held = {}, 0
-        for chunk, parts in pending.items():
-            yield from flush(chunk, parts)
+        with W.remembered():
+            for batch in batches:
+                columns = [batch[c].to_pylist() for c in ("chunk", "doc_id", "packed", "starts")]
+                for chunk, doc_id, packed, starts in zip(*columns):
+                    words = W.words_of(_unpack([packed])[0])
+                    keys = window_keys(words, np.frombuffer(starts, np.int32), window)
+                    pending.setdefault(chunk, []).append((keys, np.full(len(keys), doc_id, np.int64)))
+                    held += len(keys)
+                    if held >= W.FLUSH:
+                        for of_chunk, parts in pending.items():
+                            yield from flush(of_chunk, parts)
+                        pending, held = {}, 0
+            for of_chunk, parts in pending.items():
+                yield from flush(of_chunk, parts)
 
     return send
 
@@ -170,7 +187,11 @@ def _answer_firsts(table: pa.Table) -> pa.Table:
     least = np.empty(len(keys), np.int64)
     least[order] = np.repeat(np.minimum.reduceat(firsts[order], starts), np.diff(np.r_[starts, len(keys)]))
     told = least < firsts
-    rows = [(chunks[i], keys[m].tobytes(), least[m].tobytes()) for i in np.unique(row[told]) for m in [told & (row == i)]]
+    at = np.flatnonzero(told)  # in the order of the rows
+    cuts = np.flatnonzero(np.r_[True, np.diff(row[at]) > 0]) if len(at) else []
+    rows = [
+        (chunks[row[m[0]]], keys[m].tobytes(), least[m].tobytes()) for m in np.split(at, cuts[1:]) if len(m)
+    ]
     columns = list(zip(*rows)) or [(), (), ()]
     return pa.table(
         {
@@ -188,7 +209,8 @@ def _remove(window: int):
         parts = []
         columns = [docs[c].to_pylist() for c in ("doc_id", "packed", "starts")]
         for doc_id, body, starts in zip(columns[0], _unpack(columns[1]), columns[2]):
-            parts.append((doc_id, body, np.frombuffer(starts, np.int32), window_keys(body, starts, window)))
+            words, at = W.words_of(body), np.frombuffer(starts, np.int32)
+            parts.append((doc_id, words, at, window_keys(words, at, window)))
         if parts:
             told_keys, told_firsts = _read_keys(replies)[0], _read_firsts(replies, np.int64)
             own = np.concatenate([k for *_, k in parts])
@@ -200,15 +222,11 @@ def _remove(window: int):
                 np.minimum.reduceat(firsts[order], starts), np.diff(np.r_[starts, len(keys)])
             )
             at = 0
-            for doc_id, body, begin, own_keys in parts:
+            for doc_id, words, begin, own_keys in parts:
                 repeated = begin[least[at : at + len(own_keys)] < doc_id]
                 at += len(own_keys)
-                words = W.words_of(body)
-                edges = np.zeros(len(words) + 1, np.int64)
-                np.add.at(edges, repeated, 1)
-                np.add.at(edges, repeated + window, -1)
-                gone = np.cumsum(edges[:-1]) > 0
-                kept = [w for w, g in zip(words, gone.tolist()) if not g]
+                gone = _widen_forward(repeated, len(words), window)
+                kept = words if not len(repeated) else list(compress(words, (~gone).tolist()))
                 rows.append((doc_id, len(words), int(gone.sum()), b" ".join(kept)))
         columns = list(zip(*rows)) or [()] * 4
         kinds = [pa.int64()] * 3 + [pa.binary()]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -26,7 +27,8 @@ BUCKET_CHARS = 2_000_000
 FLUSH = 1_000_000
 
 LOW = (1 << 40) - 1
-_CACHED_WORDS = 500_000
+#: Words whose hashes a worker remembers, some 30 MB of them.
+_CACHED_WORDS = 200_000
 
 
 class _WordHashes(dict):
@@ -42,6 +44,23 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
+@contextmanager
+def remembered(*caches):
+    """What a task remembers goes when it ends, so that reused workers do not add up what stages remember."""
+    try:
+        yield
+    finally:
+        for cache in (*caches, _hashes):
+            cache.clear()
+        pa.default_memory_pool().release_unused()
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The values once each, sorted."""
+    ordered = np.sort(keys)
+    return ordered[np.r_[True, ordered[1:] != ordered[:-1]]] if len(ordered) else ordered
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """Maximal runs of bytes other than space and \\x09-\\x0D, which is what bytes.split cuts at."""
     return text.split() if text else []
@@ -51,28 +70,47 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
-@lru_cache(maxsize=64)
-def _factors(size: int, family: int) -> list[np.uint64]:
-    return [np.uint64(xxhash.xxh3_64_intdigest(b"%d/%d/%d" % (family, size, j)) | 1) for j in range(size)]
+#: Words of a text up to which powers are kept.
+_KEPT_POWERS = 1 << 16
 
 
-def rolling(hashes: np.ndarray, size: int, family: int = 0) -> np.ndarray:
-    """Hash of every window of ``size`` words; a different ``family`` is an independent hash."""
-    n = max(0, len(hashes) - size + 1)
+def _powers_of(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
     with np.errstate(over="ignore"):
-        out = np.zeros(n, np.uint64)
-        for j, factor in enumerate(_factors(size, family)):
-            out += hashes[j : j + n] * factor
-    return _mixed(out)
+        return np.multiply.accumulate(out)
 
 
-def rolling_at(hashes: np.ndarray, starts: np.ndarray, size: int, family: int = 0) -> np.ndarray:
-    """What :func:`rolling` gives at some starts."""
-    with np.errstate(over="ignore"):
-        out = np.zeros(len(starts), np.uint64)
-        for j, factor in enumerate(_factors(size, family)):
-            out += hashes[starts + j] * factor
-    return _mixed(out)
+@lru_cache(maxsize=8)
+def _kept_powers(family: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(family, _KEPT_POWERS)
+
+
+def _powers(family: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number per family, and of its inverse modulo 2 ** 64."""
+    base = xxhash.xxh3_64_intdigest(b"%d" % family) | 1
+    return _powers_of(base, n), _powers_of(pow(base, -1, 1 << 64), n)
+
+
+class Rolling:
+    """Hashes of the windows of one text: a polynomial in an odd number, taken from one running sum."""
+
+    def __init__(self, hashes: np.ndarray, family: int = 0):
+        n = len(hashes)
+        powers, self.inverse = _kept_powers(family) if n <= _KEPT_POWERS else _powers(family, n)
+        self.sums = np.zeros(n + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(hashes * powers[:n], out=self.sums[1:])
+
+    def windows(self, size: int) -> np.ndarray:
+        n = max(0, len(self.sums) - size)
+        with np.errstate(over="ignore"):
+            return _mixed((self.sums[size : size + n] - self.sums[:n]) * self.inverse[:n])
+
+
+def rolling(hashes: np.ndarray, size: int, family: int = 0) -> np.ndarray:
+    """Hash of every window of ``size`` words; a different ``family`` is an independent hash."""
+    return Rolling(hashes, family).windows(size)
 
 
 def _mixed(out: np.ndarray) -> np.ndarray:
@@ -91,15 +129,17 @@ def with_chunk(df: DataFrame, id_column: str) -> DataFrame:
 def bucket_count(df: DataFrame, text_column: str, least: int = 256) -> int:
     """Buckets for the windows of all texts, in proportion to the characters."""
     chars = df.agg(F.sum(F.octet_length(text_column).cast("long"))).first()[0] or 0
-    return max(least, math.ceil(chars / BUCKET_CHARS))
+    return min(1 << 24, max(least, math.ceil(chars / BUCKET_CHARS)))
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (keys >> np.uint64(40)) % np.uint64(buckets)
+    """Buckets are ranges of hashes, so sorted hashes are in the order of their buckets."""
+    return ((keys >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
 
 
 def address(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """What the exchange tells hashes apart by: the bucket and the low 40 bits."""
+    """What the exchange tells hashes apart by: the bucket and the low 40 bits, the lowest set."""
+    keys = keys | np.uint64(1)
     return (bucket_of(keys, buckets) << np.uint64(40)) | (keys & np.uint64(LOW))
 
 
@@ -126,15 +166,13 @@ def send_windows(docs: DataFrame, windows, buckets: int) -> DataFrame:
 
     def flush(pending: dict) -> Iterator[pa.RecordBatch]:
         for chunk, parts in pending.items():
-            keys = np.concatenate([k for k, _ in parts])
-            anchored = np.concatenate([a for _, a in parts])
-            order = np.argsort(keys, kind="stable")
-            keys, anchored = keys[order], anchored[order]
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            keys, anchored = keys[starts], np.logical_or.reduceat(anchored, starts)
+            # The lowest bit of a hash tells anchors; of equal hashes the last one has it if any does.
+            keys = np.sort(np.concatenate(parts))
+            last = np.r_[(keys[1:] | np.uint64(1)) != (keys[:-1] | np.uint64(1)), True]
+            keys = keys[last]
+            anchored = (keys & np.uint64(1)).astype(bool)
+            keys = keys | np.uint64(1)
             where = bucket_of(keys, buckets).astype(np.int32)
-            order = np.argsort(where, kind="stable")
-            keys, anchored, where = keys[order], anchored[order], where[order]
             cuts = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
             ends = np.r_[cuts[1:], len(where)]
             packed = pack5(keys)
@@ -150,20 +188,22 @@ def send_windows(docs: DataFrame, windows, buckets: int) -> DataFrame:
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, held = {}, 0
-        for batch in batches:
-            for chunk, body in zip(batch["chunk"].to_pylist(), batch["body"]):
-                keys, anchored = windows(body.as_py())
-                if not len(keys):
-                    continue
-                if anchored is None:
-                    anchored = np.ones(len(keys), bool)
-                pending.setdefault(chunk, []).append((keys, anchored))
-                held += len(keys)
-                if held >= FLUSH:
-                    yield from flush(pending)
-                    pending, held = {}, 0
-        if pending:
-            yield from flush(pending)
+        with remembered():
+            for batch in batches:
+                for chunk, body in zip(batch["chunk"].to_pylist(), batch["body"]):
+                    keys, anchored = windows(body.as_py())
+                    if not len(keys):
+                        continue
+                    keys = keys | np.uint64(1)
+                    if anchored is not None:
+                        keys ^= ~anchored
+                    pending.setdefault(chunk, []).append(keys)
+                    held += len(keys)
+                    if held >= FLUSH:
+                        yield from flush(pending)
+                        pending, held = {}, 0
+            if pending:
+                yield from flush(pending)
 
     return docs.select("chunk", "body").mapInArrow(send, ENTRIES)
 
@@ -183,8 +223,9 @@ def answer_shared(entries: DataFrame) -> DataFrame:
             [np.unpackbits(np.frombuffer(a, np.uint8), count=n) for a, n in zip(table["anchored"].to_pylist(), sizes)]
         )
         keys, row = np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes)
-        order = np.argsort(keys, kind="stable")
-        starts = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
+        order = np.argsort(keys)
+        ordered = keys[order]
+        starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         counts = np.diff(np.r_[starts, len(keys)])
         told = (counts > 1) & (np.maximum.reduceat(anchored[order], starts) > 0)
         keep = np.empty(len(keys), bool)
@@ -221,8 +262,10 @@ def read_replies(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ]
     )
     weights = np.concatenate([np.frombuffer(w, np.uint16) for w in table["weights"].to_pylist()])
-    keys, first = np.unique(keys, return_index=True)
-    return keys, weights[first]
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.r_[True, keys[1:] != keys[:-1]]
+    return keys[first], weights[order[first]]
 
 
 def lookup(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,5 +280,7 @@ def in_several(parts: list[np.ndarray]) -> np.ndarray:
     """Values, sorted, that occur in two or more of the arrays."""
     if not parts:
         return np.empty(0, np.uint64)
-    values, counts = np.unique(np.concatenate([np.unique(p) for p in parts]), return_counts=True)
-    return values[counts > 1]
+    keys, part = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    order = np.argsort(keys)
+    keys, part = keys[order], part[order]
+    return distinct(keys[1:][(keys[1:] == keys[:-1]) & (part[1:] != part[:-1])])
