@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.windows import remembered
+
 _NONE = np.int64(1 << 62)
 #: Pieces of more bytes get a tree of their own.
 LONG = 64
@@ -205,6 +207,9 @@ class Recent:
         self.young.update(found)
         return found
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
 
 class Encoder:
     """Encodes texts; remembers frequent words."""
@@ -218,7 +223,12 @@ class Encoder:
         # A space before a visible character begins a piece, so texts can be cut there.
         self.uneven = regex.compile(r" (?:\p{White_Space}|\Z)").search
         self.cut = regex.compile(r" (?=\P{White_Space})").split
-        self.known_words, self.known_pieces = Recent(), Recent()
+        self.known_words, self.known_pieces, self.known_sizes = Recent(), Recent(), Recent()
+
+    def clear(self) -> None:
+        """Forget all words."""
+        for recent in (self.known_words, self.known_pieces, self.known_sizes):
+            recent.clear()
 
     def words(self, text: str) -> list[str]:
         """The text cut before its words, without the space at each cut."""
@@ -253,15 +263,30 @@ class Encoder:
             known[pieces[0]] if len(pieces) == 1 else b"".join(map(known.__getitem__, pieces)) for pieces in cut
         ]
 
+    def word_sizes(self, words: list[str]) -> list[bytes]:
+        """Characters and tokens of each piece of each string, in turn as int32 bytes."""
+        cut = list(map(self.pieces, words))
+        known = self.piece_ids(set(chain.from_iterable(cut)))
+        return [
+            np.array([n for p in pieces for n in (len(p), len(known[p]) // 4)], np.int32).tobytes() for pieces in cut
+        ]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as int32 bytes."""
+        return self._by_words(texts, self.known_words, self.encode_words)
+
+    def sizes(self, texts: list[str]) -> list[bytes]:
+        """Characters and tokens of the pieces of each text, as :meth:`word_sizes` has them."""
+        return self._by_words(texts, self.known_sizes, self.word_sizes)
+
+    def _by_words(self, texts: list[str], recent: Recent, make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
         cut = [self.words(t) for t in texts]
         wanted = set()
         for parts in cut:
             wanted.update(parts[1:])
-        known = self.known_words.of(wanted, lambda words: self.encode_words([" " + w for w in words]))
+        known = recent.of(wanted, lambda words: make([" " + w for w in words]))
         heads = list({parts[0] for parts in cut})
-        first = dict(zip(heads, self.encode_words(heads)))
+        first = dict(zip(heads, make(heads)))
         return [
             first[parts[0]] + b"".join(map(known.__getitem__, parts[1:])) for parts in cut
         ]
@@ -272,7 +297,7 @@ def _encoder(data: bytes, pattern: str) -> Encoder:
     return Encoder(Vocabulary(parse_ranks(data)), pattern)
 
 
-def _parts(texts: pa.Array, most: int = GROUP_CHARS) -> Iterator[pa.Array]:
+def parts_of(texts: pa.Array, most: int = GROUP_CHARS) -> Iterator[pa.Array]:
     """Consecutive parts of about ``most`` bytes; a longer text is a part of its own."""
     sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     start = 0
@@ -312,17 +337,18 @@ def encode(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _encoder(shared.value, pattern), _decoder(shared.value)
-        for batch in batches:
-            at, texts = 0, batch["text"]
-            # Parts of a batch become Python strings one after the other.
-            for part in _parts(texts):
-                ids = encoder.encode([t or "" for t in part.to_pylist()])
-                columns = [batch["doc_id"].slice(at, len(part)), _lists(ids)]
-                if with_decoded:
-                    bodies = [decoder.decode(np.frombuffer(i, np.int32)) for i in ids]
-                    columns.append(pa.array(bodies, pa.binary()))
-                yield pa.record_batch(columns, names=["doc_id", "token_ids", "decoded"][: len(columns)])
-                at += len(part)
+        with remembered(encoder):
+            for batch in batches:
+                at, texts = 0, batch["text"]
+                # Parts of a batch become Python strings one after the other.
+                for part in parts_of(texts):
+                    ids = encoder.encode([t or "" for t in part.to_pylist()])
+                    columns = [batch["doc_id"].slice(at, len(part)), _lists(ids)]
+                    if with_decoded:
+                        bodies = [decoder.decode(np.frombuffer(i, np.int32)) for i in ids]
+                        columns.append(pa.array(bodies, pa.binary()))
+                    yield pa.record_batch(columns, names=["doc_id", "token_ids", "decoded"][: len(columns)])
+                    at += len(part)
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()

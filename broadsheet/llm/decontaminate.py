@@ -71,7 +71,9 @@ _MEASURE = re.compile(rb"([+-]?[0-9][0-9.,]*)([A-Za-z/]+)\Z")
 _EDGES = b".,;:!?\"'()[]{}*#$%&|<>"
 _ENDS = (b".", b"!", b"?", b":")
 _STOPS = (*_ENDS, b",", b";")
-_CACHED = 300_000
+_CACHED = 150_000
+#: Bits of the table that tells most windows apart from all of the index.
+_TABLE_BITS = 20
 PLACEHOLDERS = ("<number>", "<name>", "<unit>", "<measure>")
 _SLOT = np.array([xxhash.xxh3_64_intdigest(p) for p in PLACEHOLDERS], np.uint64)
 _NUMBER_SLOT, _NAME_SLOT, _UNIT_SLOT, _MEASURE_SLOT = range(4)
@@ -193,6 +195,7 @@ class Items:
         self.ids = ids
         self.templates = list(zip(*map(templates, bodies)))
         self.index = [self._indexed(of_form) for of_form in self.templates]
+        self.table = [self._table(index) for index in self.index]
 
     @staticmethod
     def _indexed(of_form: Iterable[Template]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -209,11 +212,23 @@ class Items:
             index[size] = keys[order], items[order], at[order]
         return index
 
+    @staticmethod
+    def _table(index: dict) -> np.ndarray:
+        table = np.zeros(1 << _TABLE_BITS, bool)
+        for keys, _, _ in index.values():
+            table[keys >> np.uint64(64 - _TABLE_BITS)] = True
+        return table
+
     def matches(self, body: bytes | None) -> list[tuple]:
         """(item_id, n_windows, n_matched, longest_run, n_slots, exact) of each item the text holds."""
         best: dict[int, tuple] = {}
-        for of_form, index, doc in zip(self.templates, self.index, templates(body)):
-            for item, places in self._places(index, doc).items():
+        docs = templates(body)
+        # A document whose forms are the same still meets the items' own forms.
+        rolled = [W.Rolling(docs[0].hashes, 3)]
+        for before, doc in zip(docs, docs[1:]):
+            rolled.append(rolled[-1] if np.array_equal(before.hashes, doc.hashes) else W.Rolling(doc.hashes, 3))
+        for of_form, index, table, doc, rolling in zip(self.templates, self.index, self.table, docs, rolled):
+            for item, places in self._places(index, table, rolling).items():
                 n_windows = max(1, len(of_form[item].hashes) - WINDOW + 1)
                 if item in best and best[item][1] == best[item][0]:
                     continue
@@ -229,13 +244,13 @@ class Items:
         ]
 
     @staticmethod
-    def _places(index: dict, doc: Template) -> dict[int, set[int]]:
+    def _places(index: dict, table: np.ndarray, rolling: W.Rolling) -> dict[int, set[int]]:
         """Where windows of each item hit: place of the document less place of the item."""
         offsets: dict[int, set[int]] = {}
         for size, (keys, items, at) in index.items():
-            probes = W.rolling(doc.hashes, size, 3)
-            found, _ = W.lookup(keys, probes)
-            for position in np.flatnonzero(found):
+            probes = rolling.of(size)
+            maybe = np.flatnonzero(table[probes >> np.uint64(64 - _TABLE_BITS)])
+            for position in maybe[W.lookup(keys, probes[maybe])[0]] if len(maybe) else ():
                 low, high = np.searchsorted(keys, probes[position], "left"), np.searchsorted(keys, probes[position], "right")
                 for entry in range(low, high):
                     offsets.setdefault(int(items[entry]), set()).add(int(position - at[entry]))
@@ -322,17 +337,18 @@ def find_contaminated(
         shared = context.broadcast(items)
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                places, rows = [], []
-                for i, body in enumerate(batch["body"]):
-                    found = shared.value.matches(body.as_py())
-                    rows += found
-                    places += [i] * len(found)
-                columns = list(zip(*rows)) or [()] * 6
-                arrays = [pa.array(c, pa.bool_() if n == 5 else pa.int64()) for n, c in enumerate(columns)]
-                names = [part.split()[0] for part in FOUND.split(", ")]
-                ids = batch["doc_id"].take(pa.array(places, pa.int64()))
-                yield pa.record_batch([ids, *arrays], names=["doc_id", *names])
+            with W.remembered(_known):
+                for batch in batches:
+                    places, rows = [], []
+                    for i, body in enumerate(batch["body"]):
+                        found = shared.value.matches(body.as_py())
+                        rows += found
+                        places += [i] * len(found)
+                    columns = list(zip(*rows)) or [()] * 6
+                    arrays = [pa.array(c, pa.bool_() if n == 5 else pa.int64()) for n, c in enumerate(columns)]
+                    names = [part.split()[0] for part in FOUND.split(", ")]
+                    ids = batch["doc_id"].take(pa.array(places, pa.int64()))
+                    yield pa.record_batch([ids, *arrays], names=["doc_id", *names])
 
         part = chosen.mapInArrow(run, f"doc_id {kind}, {FOUND}")
         result = part if result is None else result.union(part)
@@ -347,9 +363,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str =
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                bodies = (t.encode() if t else b"" for t in batch[text_column].to_pylist())
-                yield batch.filter(pa.array([not shared.value.matches(b) for b in bodies], pa.bool_()))
+            with W.remembered(_known):
+                for batch in batches:
+                    bodies = (t.as_py() or b"" for t in batch[text_column].cast(pa.binary()))
+                    yield batch.filter(pa.array([not shared.value.matches(b) for b in bodies], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

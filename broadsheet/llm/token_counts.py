@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.bpe import Encoder, Vocabulary, parse_ranks
+from broadsheet.llm.bpe import Encoder, Vocabulary, parse_ranks, parts_of
+from broadsheet.llm.windows import remembered
 
 #: Pre-tokens of a leaf when the tree is made, and at most.
 LEAF = 32
@@ -26,101 +27,130 @@ LOOKAHEAD = 2
 
 
 class TokenTree:
-    """Segment tree over the pre-tokens of one text; nodes hold (characters, tokens)."""
-
-    def __init__(self, text: str, encoder: Encoder, chars: list[int] | None = None, tokens: list[int] | None = None):
-        self.text, self.encoder, self.encoded = text, encoder, 0
-        if chars is None:
-            pieces = encoder.pieces(text)
-            chars, tokens = [len(p) for p in pieces], self._count(pieces)
-        self._build(chars, tokens)
-
-    def _count(self, pieces: list[str]) -> list[int]:
-        """Tokens of each piece."""
-        known = self.encoder.piece_ids(set(pieces))
-        self.encoded += len(pieces)
-        return [len(known[p]) // 4 for p in pieces]
-
-    def _build(self, chars: list[int], tokens: list[int]) -> None:
-        parts = max(1, -(-len(chars) // LEAF))
-        self.size = 1 << (parts - 1).bit_length()
-        self.leaves = [
-            (chars[i * LEAF : (i + 1) * LEAF], tokens[i * LEAF : (i + 1) * LEAF]) for i in range(self.size)
-        ]
-        self.sums = [(0, 0)] * self.size + [(sum(c), sum(t)) for c, t in self.leaves]
-        for node in range(self.size - 1, 0, -1):
-            self._sum(node)
+    """Segment tree over the pre-tokens of one text; nodes hold (characters, tokens), leaves their texts."""
+
+    def __init__(self, text: str, encoder: Encoder, sizes: np.ndarray | None = None):
+        """``sizes``: characters and tokens of each pre-token, shape (n, 2), if they are known."""
+        self.encoder, self.encoded = encoder, 0
+        if sizes is None:
+            sizes = np.frombuffer(encoder.sizes([text])[0], np.int32).reshape(-1, 2)
+        self._build(text, sizes)
 
-    def _sum(self, node: int) -> None:
-        (a, b), (c, d) = self.sums[2 * node], self.sums[2 * node + 1]
-        self.sums[node] = (a + c, b + d)
+    def _build(self, text: str, sizes: np.ndarray) -> None:
+        parts = max(1, -(-len(sizes) // LEAF))
+        self.size = 1 << (parts - 1).bit_length()
+        ends = np.zeros((self.size + 1, 2), np.int64)
+        sums = np.cumsum(np.r_[np.zeros((1, 2), np.int64), sizes], axis=0)
+        ends[1:] = sums[np.minimum(np.arange(1, self.size + 1) * LEAF, len(sizes))]
+        places = ends[:, 0].tolist()
+        #: Of each leaf: its text, and the sizes of its pre-tokens.
+        self.texts = [text[x:y] for x, y in zip(places, places[1:])]
+        self.leaves = [sizes[i * LEAF : (i + 1) * LEAF] for i in range(self.size)]
+        self.sums = np.zeros((2 * self.size, 2), np.int64)
+        self.sums[self.size :] = np.diff(ends, axis=0)
+        level = self.size
+        while level > 1:
+            half = level // 2
+            self.sums[half:level] = self.sums[level : 2 * level : 2] + self.sums[level + 1 : 2 * level : 2]
+            level = half
 
     def _changed(self, leaf: int) -> None:
-        chars, tokens = self.leaves[leaf]
         node = self.size + leaf
-        self.sums[node] = (sum(chars), sum(tokens))
+        self.sums[node] = self.leaves[leaf].sum(axis=0)
         while node > 1:
             node >>= 1
-            self._sum(node)
+            self.sums[node] = self.sums[2 * node] + self.sums[2 * node + 1]
 
     @property
     def total(self) -> int:
-        return self.sums[1][1]
+        return int(self.sums[1, 1])
+
+    @property
+    def chars(self) -> int:
+        return int(self.sums[1, 0])
+
+    @property
+    def text(self) -> str:
+        return "".join(self.texts)
 
-    def pieces(self) -> tuple[list[int], list[int]]:
+    def pieces(self) -> np.ndarray:
         """Characters and tokens of every pre-token in order."""
-        return [c for leaf in self.leaves for c in leaf[0]], [t for leaf in self.leaves for t in leaf[1]]
+        return np.concatenate(self.leaves)
 
-    def _find(self, position: int) -> tuple[int, int, int]:
-        """(leaf, place in it, start) of the pre-token that holds a character, or of the end."""
+    def _leaf(self, position: int) -> tuple[int, int]:
+        """(leaf, its start) of the leaf that holds a character; the last one beyond the end."""
         node, start = 1, 0
-        if position >= self.sums[1][0]:
-            return self.size - 1, len(self.leaves[-1][0]), self.sums[1][0]
         while node < self.size:
             node *= 2
-            if position - start >= self.sums[node][0]:
-                start += self.sums[node][0]
+            if position - start >= self.sums[node, 0] and self.sums[node + 1, 0]:
+                start += int(self.sums[node, 0])
                 node += 1
-        leaf = node - self.size
-        for place, chars in enumerate(self.leaves[leaf][0]):
-            if position < start + chars:
-                return leaf, place, start
-            start += chars
-        raise AssertionError("sums do not fit the leaves")
+        return node - self.size, start
+
+    def _find(self, position: int) -> tuple[int, int, int, int]:
+        """(leaf, place in it, start in it, start) of the pre-token that holds a character, or of the end."""
+        leaf, start = self._leaf(position)
+        ends = np.cumsum(self.leaves[leaf][:, 0])
+        place = int(np.searchsorted(ends, position - start, "right"))
+        inside = int(ends[place - 1]) if place else 0
+        return leaf, place, inside, start + inside
 
     def edit(self, start: int, stop: int, replacement: str) -> None:
         """Replace the characters from start to stop (exclusive); places beyond the text are its end."""
-        size = len(self.text)
+        size = self.chars
         start = min(max(start, 0), size)
         stop = min(max(stop, start), size)
-        delta = len(replacement) - (stop - start)
-        self.text = self.text[:start] + replacement + self.text[stop:]
-        leaf, place, begin = self._find(max(0, start - LOOKAHEAD))
-        fresh, last = [], (self.size - 1, len(self.leaves[-1][0]))
-        for match in self.encoder.piece_matches(self.text, begin):
+        first, place, before, begin = self._find(max(0, start - LOOKAHEAD))
+        last = self._leaf(stop)[0]
+        while True:
+            # The text from the pre-token on, to the end of a leaf after the edit.
+            old = "".join(self.texts[first : last + 1])[before:]
+            fresh, ended = self._encode(old, begin, start, stop, replacement, size)
+            if ended is not None:
+                break
+            last = min(self.size - 1, 2 * last - first + 1)
+        self._replace((first, place, before), ended, old, begin, fresh, (start, stop, replacement))
+
+    def _encode(self, old: str, begin: int, start: int, stop: int, replacement: str, size: int):
+        """The new pre-tokens from ``begin`` up to a cut that falls on an old one, and where (leaf, place, start)
+        that is; None if the text at hand ends before."""
+        at_end = begin + len(old) == size
+        text = old[: start - begin] + replacement + old[stop - begin :]
+        delta = len(text) - len(old)
+        fresh = []
+        for match in self.encoder.piece_matches(text):
+            if not at_end and match.end() > len(text) - LOOKAHEAD:
+                return fresh, None
             fresh.append(match[0])
-            if match.end() - delta >= stop and match.end() - delta < size:
-                old_leaf, old_place, old_start = self._find(match.end() - delta)
-                if old_start == match.end() - delta:
-                    last = (old_leaf, old_place)
-                    break
-        self._replace((leaf, place), last, [len(p) for p in fresh], self._count(fresh))
-
-    def _replace(self, first, last, chars: list[int], tokens: list[int]) -> None:
-        (leaf, place), (end_leaf, end_place) = first, last
-        tails = [column[end_place:] for column in self.leaves[end_leaf]]
+            end = begin + match.end() - delta
+            if stop <= end < size:
+                leaf, place, _, found = self._find(end)
+                if found == end:
+                    return fresh, (leaf, place, found)
+        return (fresh, (self.size - 1, len(self.leaves[-1]), size)) if at_end else (fresh, None)
+
+    def _replace(self, first: tuple, ended: tuple, old: str, begin: int, fresh: list[str], change: tuple) -> None:
+        (leaf, place, before), (end_leaf, end_place, end) = first, ended
+        start, stop, replacement = change
+        known = self.encoder.piece_ids(set(fresh))
+        self.encoded += len(fresh)
+        sizes = np.array([(len(p), len(known[p]) // 4) for p in fresh], np.int32).reshape(-1, 2)
+        middle = old[: start - begin] + replacement + old[stop - begin : end - begin]
+        tail = self.leaves[end_leaf][end_place:]
+        chars = int(tail[:, 0].sum())
+        tail_text = self.texts[end_leaf][len(self.texts[end_leaf]) - chars :]
         for i in range(leaf + 1, end_leaf):
-            self.leaves[i] = ([], [])
-        heads = [column[:place] for column in self.leaves[leaf]]
+            self.leaves[i], self.texts[i] = self.leaves[i][:0], ""
+        head, head_text = self.leaves[leaf][:place], self.texts[leaf][:before]
         if leaf == end_leaf:
-            self.leaves[leaf] = (heads[0] + chars + tails[0], heads[1] + tokens + tails[1])
+            self.leaves[leaf], self.texts[leaf] = np.concatenate([head, sizes, tail]), head_text + middle + tail_text
         else:
-            self.leaves[leaf] = (heads[0] + chars, heads[1] + tokens)
-            self.leaves[end_leaf] = (tails[0], tails[1])
+            self.leaves[leaf], self.texts[leaf] = np.concatenate([head, sizes]), head_text + middle
+            self.leaves[end_leaf], self.texts[end_leaf] = tail, tail_text
         for i in range(leaf, end_leaf + 1):
             self._changed(i)
-        if len(self.leaves[leaf][0]) > FULL:
-            self._build(*self.pieces())
+        if len(self.leaves[leaf]) > FULL:
+            self._build(self.text, self.pieces())
 
 
 @lru_cache(maxsize=2)
@@ -128,7 +158,8 @@ def _encoder(data: bytes, pattern: str) -> Encoder:
     return Encoder(Vocabulary(parse_ranks(data)), pattern)
 
 
-STATE = "text string, n_tokens long, n_before long, n_edits long, n_encoded long, piece_chars array<int>, piece_tokens array<int>"
+COUNTS = "text string, n_tokens long, n_before long, n_edits long, n_encoded long"
+PIECES = "piece_chars array<int>, piece_tokens array<int>"
 EDITS = "array<struct<start:int,stop:int,replacement:string>>"
 
 
@@ -150,15 +181,17 @@ def count_edited(
     id_column: str = "doc_id",
     text_column: str = "text",
     edits_column: str = "edits",
+    with_pieces: bool = False,
 ) -> DataFrame:
-    """(doc_id, STATE) after the edits of each row, an array of (start, stop, replacement).
+    """(doc_id, COUNTS) after the edits of each row, an array of (start, stop, replacement).
 
     Edits apply one after the other, each to the text the one before left; places count code points,
     ends are exclusive, and places beyond the text mean its end. ``n_encoded`` counts the pre-tokens
-    that the edits encoded again; ``piece_chars`` and ``piece_tokens`` are what a later call needs
-    (columns of these names in ``docs`` are taken as the state of the text and not made anew).
-    Null texts count as empty, a null array as no edits, a null replacement as a deletion. Rows are
-    independent; other columns are not read.
+    that the edits encoded again. With ``with_pieces`` there are also ``piece_chars`` and ``piece_tokens``,
+    what a later call needs (columns of these names in ``docs`` are taken as the state of the text
+    and not made anew). Null texts count as empty, a null array as no edits, a null replacement as a
+    deletion. Rows, repeated ones too, are independent; other columns are not read; an empty table gives no
+    rows. An edit of a very long text works on the leaves around it only.
     """
     state = [c for c in ("piece_chars", "piece_tokens") if {"piece_chars", "piece_tokens"} <= set(docs.columns)]
     chosen = docs.select(
@@ -168,25 +201,35 @@ def count_edited(
         *state,
     )
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    names = [part.split()[0] for part in STATE.split(", ")]
+    returned = f"{COUNTS}, {PIECES}" if with_pieces else COUNTS
+    names = [part.split()[0] for part in returned.split(", ")]
     kinds = [pa.string(), *[pa.int64()] * 4, *[pa.list_(pa.int32())] * 2]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, pattern)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch, rows = whole.slice(at, 500), []
-                held = zip(*(batch[c].to_pylist() for c in state)) if state else [(None, None)] * batch.num_rows
-                for text, edits, (chars, tokens) in zip(batch["text"].to_pylist(), batch["edits"].to_pylist(), held):
-                    tree = TokenTree(text, encoder, chars, tokens)
-                    before, tree.encoded = tree.total, 0
-                    for e in edits or ():
-                        tree.edit(e["start"] or 0, e["stop"] or 0, e["replacement"] or "")
-                    rows.append((tree.text, tree.total, before, len(edits or ()), tree.encoded, *tree.pieces()))
-                columns = list(zip(*rows))
-                yield pa.record_batch(
-                    [batch["doc_id"], *(pa.array(c, k) for c, k in zip(columns, kinds))], names=["doc_id", *names]
-                )
+        with remembered(encoder):
+            for whole in batches:
+                at = 0
+                for part in parts_of(whole["text"]):
+                    batch, rows = whole.slice(at, len(part)), []
+                    at += len(part)
+                    texts = part.to_pylist()
+                    if state:
+                        both = zip(*(batch[c].to_pylist() for c in state))
+                        held = [None if None in s else np.array(s, np.int32).T for s in both]
+                    else:
+                        held = [np.frombuffer(s, np.int32).reshape(-1, 2) for s in encoder.sizes(texts)]
+                    for text, edits, sizes in zip(texts, batch["edits"].to_pylist(), held):
+                        tree = TokenTree(text, encoder, sizes)
+                        before = tree.total
+                        for e in edits or ():
+                            tree.edit(e["start"] or 0, e["stop"] or 0, e["replacement"] or "")
+                        row = (tree.text, tree.total, before, len(edits or ()), tree.encoded)
+                        rows.append((*row, *tree.pieces().T.astype(np.int32)) if with_pieces else row)
+                    columns = list(zip(*rows))
+                    yield pa.record_batch(
+                        [batch["doc_id"], *(pa.array(c, k) for c, k in zip(columns, kinds))], names=["doc_id", *names]
+                    )
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, {STATE}")
+    return chosen.mapInArrow(run, f"doc_id {kind}, {returned}")

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.windows import remembered
 from broadsheet.session import broadcast_if_small
 
 BITS = 20
@@ -40,7 +41,7 @@ THRESHOLD = 0.3
 PENALTY = 10.0
 #: Texts with another identity made of each sampled text that names one.
 SWAPS = 2
-_CACHED = 300_000
+_CACHED = 100_000
 
 #: Terms of one row can stand for each other in a sentence.
 IDENTITIES = (
@@ -121,10 +122,12 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
     """(feature, toxic, clean): rows of each class with the feature, of all rows (text, toxic)."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, 1 << BITS), np.int64)
-        for batch in batches:
-            for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
-                totals[toxic, features(text)] += 1
+        totals = np.zeros((2, 1 << BITS), np.int32)
+        with remembered(_features):
+            for batch in batches:
+                for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
+                    totals[toxic, features(text)] += 1
+        totals = totals.astype(np.int64)
         seen = np.flatnonzero(totals.any(axis=0))
         yield pa.record_batch(
             [pa.array(seen), pa.array(totals[1, seen]), pa.array(totals[0, seen])],
@@ -308,9 +311,10 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
-        for batch in batches:
-            scores = pa.array([scorer.score(t) for t in batch["text"].to_pylist()], pa.float64())
-            yield pa.record_batch([batch["doc_id"], scores], names=["doc_id", "score"])
+        with remembered(scorer.known):
+            for batch in batches:
+                scores = pa.array([scorer.score(t) for t in batch["text"].to_pylist()], pa.float64())
+                yield pa.record_batch([batch["doc_id"], scores], names=["doc_id", "score"])
 
     return chosen.mapInArrow(run, f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, score double")
 
@@ -321,8 +325,9 @@ def reject(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
-        for batch in batches:
-            keep = [scorer.score(t) < threshold for t in batch[text_column].to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        with remembered(scorer.known):
+            for batch in batches:
+                keep = [scorer.score(t.as_py()) < threshold for t in batch[text_column]]
+                yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

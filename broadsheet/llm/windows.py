@@ -98,10 +98,16 @@ class Rolling:
     def __init__(self, hashes: np.ndarray, family: int = 0):
         n = len(hashes)
         powers, self.inverse = _kept_powers(family) if n <= _KEPT_POWERS else _powers(family, n)
-        self.sums = np.zeros(n + 1, np.uint64)
+        self.sums, self.made = np.zeros(n + 1, np.uint64), {}
         with np.errstate(over="ignore"):
             np.cumsum(hashes * powers[:n], out=self.sums[1:])
 
+    def of(self, size: int) -> np.ndarray:
+        """As :meth:`windows`, made once for each size."""
+        if size not in self.made:
+            self.made[size] = self.windows(size)
+        return self.made[size]
+
     def windows(self, size: int) -> np.ndarray:
         n = max(0, len(self.sums) - size)
         with np.errstate(over="ignore"):

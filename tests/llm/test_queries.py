@@ -49,8 +49,19 @@ def test_pii(spark, docs):
 
 
 def test_token_counts(spark, docs, tokens):
+    """Every column against the edits made on plain strings."""
+    spans = {r.doc_id: r.pii for r in pii.find(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
     rows = queries.queries()["op8_token_counts"](spark, SF).collect()
-    assert {r.doc_id: r.n_before for r in rows} == {d: len(tokens(t or "")) for d, t in docs.items()}
+    got = {r.doc_id: (r.n_before, r.n_tokens, r.n_edits, r.text_sha256) for r in rows}
+    want = {}
+    for d, t in docs.items():
+        text = t or ""
+        for s in reversed(spans[d]):
+            text = text[: s.start] + f"[{s.kind.upper()}]" + text[s.end :]
+        middle = min(len(t or "") // 2, len(text))
+        text = text[:middle] + "\n[edited]\n" + text[middle:]
+        want[d] = (len(tokens(t or "")), len(tokens(text)), len(spans[d]) + 1, hashlib.sha256(text.encode()).hexdigest())
+    assert got == want and all(0 < r.n_encoded <= r.n_before + 40 * r.n_edits for r in rows)
 
 
 def test_decontamination(spark, docs):
