@@ -18,8 +18,8 @@ SETTINGS = {
     # A third of all rows may share one url, target or term: let AQE split that partition.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Page rows are wide; smaller Arrow batches keep Python workers within memory.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Texts and pages are long; small Arrow batches keep Python workers within memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 
