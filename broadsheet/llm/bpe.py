@@ -28,7 +28,7 @@ _NONE = np.int64(1 << 62)
 #: Pieces of more bytes get a tree of their own.
 LONG = 64
 #: Words remembered per generation; two generations are held.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 #: Characters of the documents whose words are looked up together.
 GROUP_CHARS = 2_000_000
 
@@ -266,10 +266,14 @@ class Encoder:
     def word_sizes(self, words: list[str]) -> list[bytes]:
         """Characters and tokens of each piece of each string, in turn as int32 bytes."""
         cut = list(map(self.pieces, words))
-        known = self.piece_ids(set(chain.from_iterable(cut)))
-        return [
-            np.array([n for p in pieces for n in (len(p), len(known[p]) // 4)], np.int32).tobytes() for pieces in cut
-        ]
+        flat = list(chain.from_iterable(cut))
+        known = self.piece_ids(set(flat))
+        sizes = np.empty((len(flat), 2), np.int32)
+        sizes[:, 0] = list(map(len, flat))
+        sizes[:, 1] = list(map(len, map(known.__getitem__, flat)))
+        sizes[:, 1] //= 4
+        packed, ends = sizes.tobytes(), (8 * np.cumsum(list(map(len, cut)), dtype=np.int64)).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as int32 bytes."""

@@ -71,7 +71,7 @@ _MEASURE = re.compile(rb"([+-]?[0-9][0-9.,]*)([A-Za-z/]+)\Z")
 _EDGES = b".,;:!?\"'()[]{}*#$%&|<>"
 _ENDS = (b".", b"!", b"?", b":")
 _STOPS = (*_ENDS, b",", b";")
-_CACHED = 150_000
+_CACHED = 300_000
 #: Bits of the table that tells most windows apart from all of the index.
 _TABLE_BITS = 20
 PLACEHOLDERS = ("<number>", "<name>", "<unit>", "<measure>")
@@ -79,6 +79,10 @@ _SLOT = np.array([xxhash.xxh3_64_intdigest(p) for p in PLACEHOLDERS], np.uint64)
 _NUMBER_SLOT, _NAME_SLOT, _UNIT_SLOT, _MEASURE_SLOT = range(4)
 
 
+def _is_name(text: str) -> bool:
+    return len(text) > 1 and text[0].isupper() and text[1:].islower()
+
+
 def classify(word: bytes, first: bool) -> tuple[int, int]:
     """(hash of the canonical word, slot type): -1 for a literal, else its place in PLACEHOLDERS.
 
@@ -93,8 +97,7 @@ def classify(word: bytes, first: bool) -> tuple[int, int]:
     elif (measure := _MEASURE.match(bare)) and measure[2].lower() in _UNITS:
         slot = _MEASURE_SLOT
     else:
-        text = bare.decode()
-        if first or len(text) < 2 or not text[0].isupper() or not text[1:].islower():
+        if first or not _is_name(bare.decode()):
             return xxhash.xxh3_64_intdigest(lower), -1
         slot = _NAME_SLOT
     return int(_SLOT[slot]), slot
@@ -115,7 +118,14 @@ class _Words(dict):
         if bare.isalpha() and bare.islower():
             lower, slot = bare, _UNIT_SLOT if bare in _UNITS else -1
         else:
-            lower, slot = bare.decode().lower().encode(), classify(word, False)[1]
+            text = bare.decode()
+            lower = text.lower().encode()
+            if not text.isalpha():
+                slot = classify(word, False)[1]
+            elif lower in _UNITS:
+                slot = _UNIT_SLOT
+            else:
+                slot = _NAME_SLOT if _is_name(text) else -1
         kind = slot + 1 + self.FUNCTION * (lower in _FUNCTION_WORDS)
         self.kinds.append(kind + self.ENDS * word.endswith(_ENDS) + self.STOPS * word.endswith(_STOPS))
         self.hashes.append(xxhash.xxh3_64_intdigest(lower))
@@ -156,21 +166,34 @@ def templates(body: bytes | None) -> list[Template]:
     at = np.fromiter(map(_known.__getitem__, words), np.int64, len(words))
     lower, kinds = np.frombuffer(_known.hashes, np.uint64)[at], np.frombuffer(_known.kinds, np.uint8)[at]
     inside, name = (kinds & 7).astype(np.int8) - 1, (kinds & 7) == _NAME_SLOT + 1
-    first = np.r_[True, (kinds & _Words.ENDS)[:-1] > 0][: len(words)]
-    goes_on = np.r_[False, (kinds & _Words.STOPS)[:-1] == 0][: len(words)]
+    first = _after((kinds & _Words.ENDS) > 0, True)
+    goes_on = _after((kinds & _Words.STOPS) == 0, False)
     starting = np.where(first & name, -1, inside)
     wide = np.where(name & (kinds & _Words.FUNCTION > 0), -1, inside)
     plain = Template(words, np.arange(len(words)), np.ones(len(words), np.int64), lower, np.full(len(words), -1))
     return [*(_joined(words, lower, slots, goes_on) for slots in (starting, wide)), plain]
 
 
+def _after(values: np.ndarray, first) -> np.ndarray:
+    """What stands before each place."""
+    out = np.empty_like(values)
+    out[:1], out[1:] = first, values[:-1]
+    return out
+
+
 def _joined(words: list[bytes], lower: np.ndarray, slots: np.ndarray, goes_on: np.ndarray) -> Template:
-    before = np.r_[-1, slots[:-1]][: len(words)]
+    before = _after(slots, -1)
     of_number = goes_on & (slots == _UNIT_SLOT) & (before == _NUMBER_SLOT)
     starts = np.flatnonzero(~(of_number | (goes_on & (slots == _NAME_SLOT) & (before == _NAME_SLOT))))
-    slots = np.where(np.r_[of_number[1:], False][: len(words)], _MEASURE_SLOT, slots)[starts]
+    numbers = np.flatnonzero(of_number) - 1
+    slots = slots.copy()
+    slots[numbers] = _MEASURE_SLOT
+    slots = slots[starts]
     hashes = np.where(slots >= 0, _SLOT[slots], lower[starts])
-    return Template(words, starts, np.diff(np.r_[starts, len(words)]), hashes, slots)
+    sizes = np.empty(len(starts), np.int64)
+    sizes[:-1] = starts[1:] - starts[:-1]
+    sizes[-1:] = len(words) - starts[-1:]
+    return Template(words, starts, sizes, hashes, slots)
 
 
 def _literal_enough(slots: np.ndarray, size: int) -> np.ndarray:
