@@ -5,8 +5,9 @@
    telling, by the log-likelihood ratio of their counts, are kept, at most MAX_FEATURES, together
    with those of the identity terms.
 2. The weights are fitted on a bounded sample of labelled rows, SAMPLE per class, the first by a
-   hash of their id. Rows that name an identity also come with other identities put in their
-   place; changes of the score between the two are penalised.
+   hash of their id. Every row comes with a form that names an identity: the row itself if it does, else
+   with a term put into it, which is learned with the row's label too. Each such form comes again with
+   other identities in the term's place, and changes of the score between the two are penalised.
 3. The weights score every text, in one pass without a shuffle.
 """
 
@@ -106,6 +107,23 @@ def swapped(text: str, turn: int) -> str:
     return _named.sub(other, text)
 
 
+def naming(text: str) -> str:
+    """The text if it names an identity, else with one term, told by the text, put between its words."""
+    if _named.search(text):
+        return text
+    told = xxhash.xxh3_64_intdigest(text.encode())
+    row = IDENTITIES[told % len(IDENTITIES)]
+    words = text.split(" ")
+    words.insert((told >> 16) % (len(words) + 1), row[(told >> 8) % len(row)])
+    return " ".join(words)
+
+
+def counterparts(text: str) -> list[str]:
+    """The form of :func:`naming`, then up to SWAPS others with other identities in its terms' places."""
+    named = naming(text)
+    return [named, *dict.fromkeys(s for k in range(1, SWAPS + 1) if (s := swapped(named, k)) != named)]
+
+
 @dataclass(frozen=True)
 class Model:
     bias: float
@@ -160,7 +178,8 @@ def select_features(labelled: DataFrame, n_toxic: int, n_clean: int) -> np.ndarr
 
 
 def _sample_rows(sample: DataFrame, chosen: np.ndarray) -> pa.Table:
-    """Features, as positions in ``chosen``, of each sampled row and of its swapped forms."""
+    """Features, as positions in ``chosen``, of each sampled row, of the form that names an identity, and of
+    that form's counterparts."""
     kept = sample.sparkSession.sparkContext.broadcast(chosen)
 
     def places(text: str | None) -> bytes:
@@ -169,19 +188,25 @@ def _sample_rows(sample: DataFrame, chosen: np.ndarray) -> pa.Table:
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch["text"].to_pylist()
-            others = [
-                [places(swapped(t, k)) for k in range(1, SWAPS + 1)] if t and _named.search(t) else [] for t in texts
-            ]
+            forms = [list(map(places, counterparts(t or ""))) for t in texts]
             yield pa.record_batch(
                 [
                     batch["toxic"],
                     pa.array([places(t) for t in texts], pa.binary()),
-                    pa.array(others, pa.list_(pa.binary())),
+                    pa.array([f[0] for f in forms], pa.binary()),
+                    pa.array([f[1:] for f in forms], pa.list_(pa.binary())),
                 ],
-                names=["toxic", "own", "others"],
+                names=["toxic", "own", "named", "others"],
             )
 
-    return sample.select("text", "toxic").mapInArrow(rows, "toxic int, own binary, others array<binary>").toArrow()
+    schema = "toxic int, own binary, named binary, others array<binary>"
+    return sample.select("text", "toxic").mapInArrow(rows, schema).toArrow()
+
+
+def _without(rows: list[bytes], others: list[bytes]) -> list[bytes]:
+    """Of each row, what the other one lacks."""
+    pairs = ((np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)) for a, b in zip(rows, others))
+    return [np.setdiff1d(a, b, assume_unique=True).tobytes() for a, b in pairs]
 
 
 class _Sparse:
@@ -208,12 +233,24 @@ def fit_weights(
     penalty: float = PENALTY,
     ridge: float = 1e-4,
     steps: int = 400,
+    named: list[bytes] | None = None,
 ) -> tuple[float, np.ndarray]:
     """Bias and weights that minimise the log loss, the squared weights, and the squared change of
-    the linear score between a row and its swapped forms."""
+    the linear score between a row's form in ``named`` (``own`` if not given) and its swapped forms.
+
+    Named forms that differ from their rows are learned too, with the same label.
+    """
+    if named is not None:
+        added = _without(named, own)
+        new = [i for i, more in enumerate(added) if more]
+        pairs = [(row, other) for row, forms in zip(named, others) for other in forms]
+        labels, own = np.r_[labels, labels[new]], [*own, *(named[i] for i in new)]
+    else:
+        pairs = [(row, other) for row, forms in zip(own, others) for other in forms]
     x = _Sparse(own, width)
-    pairs = [(row, other) for row, forms in zip(own, others) for other in forms]
-    first, second = _Sparse([a for a, _ in pairs], width), _Sparse([b for _, b in pairs], width)
+    # Two forms differ in a few features only; the others do not change the score.
+    left, right = [a for a, _ in pairs], [b for _, b in pairs]
+    first, second = _Sparse(_without(left, right), width), _Sparse(_without(right, left), width)
     bias, weights = 0.0, np.zeros(width)
     speed, scale = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, steps + 1):
@@ -259,7 +296,8 @@ def train(
     sample = texts.join(F.broadcast(parts[0].union(parts[1])), "doc_id")
     rows = _sample_rows(sample, chosen)
     toxic = rows["toxic"].to_numpy().astype(float)
-    bias, weights = fit_weights(toxic, rows["own"].to_pylist(), rows["others"].to_pylist(), len(chosen), penalty)
+    own, named, others = (rows[c].to_pylist() for c in ("own", "named", "others"))
+    bias, weights = fit_weights(toxic, own, others, len(chosen), penalty, named=named)
     # The sample may hold another share of toxic rows than all labels do.
     if len(toxic) and 0 < toxic.sum() < len(toxic):
         bias += np.log(n_toxic / (n - n_toxic)) - np.log(toxic.sum() / (len(toxic) - toxic.sum()))

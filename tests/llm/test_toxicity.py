@@ -38,6 +38,31 @@ def test_penalty_evens_out_identities():
     assert gap[0.0] > 1 and abs(gap[10.0]) < 0.2 * gap[0.0]
 
 
+def test_counterfactual_pairs_of_the_given_tables(spark):
+    """Every labelled row gives pairs; on held-out rows the penalty takes most of the score's change."""
+    docs = spark.read.parquet(str(TESTDATA.parent / "sf0.1/documents.parquet")).repartition(8)
+    labels = spark.read.parquet(str(TESTDATA.parent / "sf0.1/labels.parquet"))
+    held = docs.join(labels.filter(T.held_out(labels.doc_id)), "doc_id").select("text", "toxic").collect()
+    change, recall = {}, {}
+    for penalty in (0.0, T.PENALTY):
+        scorer = T._Scorer(T.train(docs, labels, penalty=penalty))
+        linear = lambda t, s=scorer: np.log((p := s.score(t)) / (1 - p))
+        forms = [T.counterparts(r.text or "") for r in held]
+        assert all(len(f) > 1 for f in forms)
+        change[penalty] = np.mean([abs(linear(f[0]) - linear(o)) for f in forms for o in f[1:]])
+        caught = [scorer.score(r.text) >= T.THRESHOLD for r in held if r.toxic]
+        recall[penalty] = np.mean(caught)
+    assert 0 < change[0.0] and change[T.PENALTY] < 0.5 * change[0.0], change
+    assert recall[T.PENALTY] >= 0.9, recall
+
+
+def test_naming():
+    assert T.naming("Women here") == "Women here" and len(T.naming("").split()) == 1
+    named = T.naming("nothing of the kind")
+    assert named != "nothing of the kind" and T.naming(named) == named
+    assert all(T._named.search(c) and c != named for c in T.counterparts(named)[1:])
+
+
 def test_swapped():
     assert T.swapped("Women and muslims, not humans.", 1) == "Men and jews, not humans."
 
