@@ -18,6 +18,7 @@ from broadsheet.functions.windows import filter_window, month_window
 from broadsheet.operators import chunks as C
 from broadsheet.operators import dashboard as D
 from broadsheet.operators import extract as B
+from broadsheet.operators import lexical as G
 from broadsheet.operators import links as L
 from broadsheet.operators import search as R
 from broadsheet.operators import silver as V
@@ -684,6 +685,24 @@ def q_bm25_stored_index(spark, sf):
     return _hits(R.bm25_topk(R.load_bm25_index(spark, name), _questions(spark, sf)))
 
 
+def q_bm25_pruned(spark, sf):
+    """The same search over a segmented index, from a part of its blocks."""
+    path = scratch_path(spark, "segments")
+    G.upsert(_texts(spark, sf), path)
+    return _hits(G.pruned_topk(G.open_index(spark, path), _questions(spark, sf)).hits)
+
+
+def q_bm25_upserted(spark, sf):
+    """An index made of older texts, then followed through replacements, deletions and a merge."""
+    path, texts = scratch_path(spark, "segments"), _texts(spark, sf)
+    older = F.concat(F.lit("older words of "), F.col("content"))
+    G.upsert(texts.withColumn("content", F.when(F.col("id") % 3 == 0, older).otherwise(F.col("content"))), path)
+    G.upsert(texts.filter("id % 6 = 0"), path, deleted=texts.filter("id % 7 = 1").select("id"))
+    G.upsert(texts.filter("id % 6 = 3"), path, deleted=texts.filter("id % 7 = 3").select("id"))
+    G.merge(spark, path)
+    return _hits(G.pruned_topk(G.open_index(spark, path), _questions(spark, sf)).hits)
+
+
 def _collection(spark, sf) -> DataFrame:
     """Texts with a vector where one has the same id; the metadata names the source."""
     vectors = _table(spark, sf, "embeddings").select(
@@ -1186,6 +1205,11 @@ def oracle_sql() -> dict[str, str]:
         "bm25_topk": bm25,
         "bm25_scan": bm25,
         "bm25_stored_index": bm25,
+        "bm25_pruned": bm25,
+        "bm25_upserted": bm25.replace(
+            "FROM documents)",
+            "FROM documents WHERE (doc_id % 7 <> 1 OR doc_id % 3 = 0) AND (doc_id % 7 <> 3 OR doc_id % 6 = 3))",
+        ),
         "search_keyword": f"WITH {_ASKED}, {_bm25('texts', 5)} SELECT {_HIT_COLUMNS} FROM lexical",
         "search_contextual": f"WITH {_ASKED}, {_dense('vectors', 'asked', 5)} SELECT {_HIT_COLUMNS} FROM dense",
         "rrf_fuse": f"""WITH {_ASKED}, {_bm25('texts', 20)}, {_dense('vectors', 'asked', 20)}, {_FUSED}

@@ -331,6 +331,46 @@ def one_row_per_id(documents: DataFrame, id_col: str, text_col: str) -> DataFram
     return texts.join(repeated, "id", "left_anti").union(merged)
 
 
+def term_counts(texts: DataFrame, terms: Column) -> DataFrame:
+    """(id, doc_length, terms, tfs) of (id, ...): each distinct term of a row and how often it is there.
+
+    Rows are counted where they lie. Null ``terms`` count as none.
+    """
+
+    def count(batches):
+        for batch in batches:
+            lists = batch.column("terms")
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            coded = lists.flatten().dictionary_encode()
+            width = max(1, len(coded.dictionary))
+            keys = np.sort(np.repeat(np.arange(len(sizes)), sizes) * width + coded.indices.to_numpy())
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+            tfs = np.diff(np.r_[starts, len(keys)]).astype(np.int64)
+            rows, codes = np.divmod(keys[starts], width)
+            ends = pa.array(np.r_[0, np.cumsum(np.bincount(rows, minlength=len(sizes)))].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    pa.array(sizes.astype(np.int64)),
+                    pa.ListArray.from_arrays(ends, coded.dictionary.take(pa.array(codes)).cast(pa.string())),
+                    pa.ListArray.from_arrays(ends, pa.array(tfs)),
+                ],
+                names=["id", "doc_length", "terms", "tfs"],
+            )
+
+    chosen = texts.select("id", terms.alias("terms"))
+    kind = chosen.schema["id"].dataType.simpleString()
+    return chosen.mapInArrow(count, f"id {kind}, doc_length bigint, terms array<string>, tfs array<bigint>")
+
+
+def postings_of(forward: DataFrame, *columns: str) -> DataFrame:
+    """(term, id, tf, doc_length, columns): a row per document and distinct term."""
+    entry = F.explode(F.arrays_zip("terms", "tfs")).alias("e")
+    return forward.select("id", "doc_length", *columns, entry).select(
+        F.col("e.terms").alias("term"), "id", F.col("e.tfs").alias("tf"), "doc_length", *columns
+    )
+
+
 class LexicalIndex(NamedTuple):
     """``postings(term, id, tf, doc_length)``, ``term_stats(term, df)``, one-row ``corpus``."""
 
@@ -350,23 +390,14 @@ def bm25_index(
 
     Rows with one id are one document; one without text counts, with length 0.
 
-    Documents are spread by id before their terms are unfolded: the counts per (id, term)
-    then need no shuffle of postings, which are several times larger than the text.
+    Terms are counted where the rows of their texts lie. With ``partitions`` the counts, not the
+    texts, are dealt out by id.
     """
-    spread = one_row_per_id(documents, id_col, text_col)
-    spread = spread.repartition("id") if partitions is None else spread.repartition(partitions, "id")
-    tokens = spread.select("id", analyzer(F.col("_text")).alias("terms"))
-    length = F.coalesce(F.size("terms"), F.lit(0)).cast("bigint").alias("doc_length")
-    # The outer form: with the plain one Spark infers a test of the array, which would split
-    # every text a second time.
-    postings = (
-        tokens.select("id", length, F.explode_outer("terms").alias("term"))
-        .filter(F.col("term").isNotNull())
-        .groupBy("id", "term", "doc_length")
-        .agg(F.count(F.lit(1)).alias("tf"))
-        .select("term", "id", "tf", "doc_length")
-    )
-    lengths = tokens.select(length)
+    counted = term_counts(one_row_per_id(documents, id_col, text_col), analyzer(F.col("_text")))
+    if partitions is not None:
+        counted = counted.repartition(partitions, "id")
+    postings = postings_of(counted)
+    lengths = counted.select("doc_length")
     term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     corpus = lengths.agg(
         F.count(F.lit(1)).alias("n_docs"), F.avg("doc_length").alias("avg_length")
@@ -395,7 +426,7 @@ def load_bm25_index(spark: SparkSession, name: str) -> LexicalIndex:
     return LexicalIndex(*(spark.table(f"{name}_{p}") for p in ("postings", "term_stats", "corpus")))
 
 
-def _query_terms(queries: DataFrame, id_col: str, text_col: str, analyzer) -> DataFrame:
+def query_terms_of(queries: DataFrame, id_col: str, text_col: str, analyzer) -> DataFrame:
     return (
         queries.select(
             F.col(id_col).alias("query_id"), F.explode(analyzer(F.col(text_col))).alias("term")
@@ -493,7 +524,7 @@ def bm25_topk(
     A term repeated in the query counts each time. Query terms that fit one block go to every
     task; larger sets are joined by term. Both give the same hits.
     """
-    query_terms = _query_terms(queries, query_id_col, query_text_col, analyzer)
+    query_terms = query_terms_of(queries, query_id_col, query_text_col, analyzer)
     figures = index.corpus.first()  # one row
     length = k1 * (1.0 - b + b * F.col("doc_length") / F.lit(figures["avg_length"]))
     tf_part = F.col("tf") * (k1 + 1.0) / (F.col("tf") + length)
@@ -537,7 +568,7 @@ def bm25_scan(
     The first pass counts in how many documents each query term occurs and how long the
     documents are, the second scores. Query sets beyond one block go through an index.
     """
-    query_terms = _query_terms(queries, query_id_col, query_text_col, analyzer)
+    query_terms = query_terms_of(queries, query_id_col, query_text_col, analyzer)
     entries = query_terms.toArrow() if fits(query_terms, MAX_QUERY_TERMS) else None
     if entries is None or _n_cells(entries) > BLOCK_CELLS:
         index = bm25_index(documents, id_col, text_col, analyzer)
