@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import analyze
-from ..session import broadcast_if_small, scratch_path
+from ..session import scratch_path
 from .search import (
     BM25_B,
     BM25_K1,
@@ -303,7 +303,7 @@ def pruned_topk(
     inside = F.col("term_bucket").isin(buckets)
     figures = (
         index.terms.filter(inside)
-        .join(broadcast_if_small(asked.select("term").distinct()), "term", "left_semi")
+        .join(asked.select("term").distinct(), "term", "left_semi")
         .groupBy("term")
         .agg(F.sum("df").alias("df"), F.max("top_tf").alias("top_tf"), F.min("least_length").alias("least_length"))
         .filter(F.col("df") > 0)
@@ -330,7 +330,7 @@ def pruned_topk(
 
     def of_terms(terms: DataFrame) -> DataFrame:
         """The blocks of the terms, each once for every query that has it."""
-        return blocks.join(broadcast_if_small(terms.drop("term_bucket")), "term")
+        return blocks.join(terms.drop("term_bucket"), "term")
 
     def kth(scores: DataFrame) -> DataFrame:
         """(query_id, floor): what the k-th hit has at least, of queries with so many scores."""
@@ -344,8 +344,8 @@ def pruned_topk(
         """The blocks of other terms in which documents stand, and all parts of those documents' scores."""
         places = found.select("query_id", "segment", "block").distinct()
         wanted = stored(rows.select("query_id", "term", "weight").join(places, "query_id"))
-        read = blocks.join(broadcast_if_small(wanted), ["term", "segment", "block"])
-        few = broadcast_if_small(found.select("query_id", "id"))
+        read = blocks.join(wanted, ["term", "segment", "block"])
+        few = found.select("query_id", "id")
         parts = scored(read).join(few, ["query_id", "id"], "left_semi").select("query_id", "id", "part")
         return read, found.select("query_id", "id", F.col("score").alias("part")).union(parts)
 
@@ -358,7 +358,7 @@ def pruned_topk(
     best = stored(top_k(added(scored(seeds)), SEED_DOCUMENTS * k).drop("rank"))
     others, parts = whole(weighted.filter(~first), best)
     floors = stored(kth(summed(parts)))
-    known = stored(weighted.join(broadcast_if_small(floors), "query_id", "left").fillna(0.0, ["floor"]))
+    known = stored(weighted.join(floors, "query_id", "left").fillna(0.0, ["floor"]))
     # 2. Groups of documents that can reach the floor by the heads of their blocks.
     most = F.col("weight") * impact(F.col("top_tf"), F.col("least_length"))
     heads = of_terms(known).groupBy("query_id", "segment", "block")
@@ -375,7 +375,7 @@ def pruned_topk(
     limits = limits.join(raised, "query_id", "left").select(
         "query_id", "rest", F.greatest("floor", F.coalesce("raised", F.lit(0.0))).alias("floor")
     )
-    candidates = sums.join(broadcast_if_small(limits), "query_id")
+    candidates = sums.join(limits, "query_id")
     candidates = stored(candidates.filter(F.col("score") + F.col("rest") + MARGIN >= F.col("floor")))
     # 4. What the frequent terms add to documents that can still be hits.
     more, parts = whole(known.filter(frequent), candidates)
