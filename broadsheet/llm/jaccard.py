@@ -75,6 +75,7 @@ def _set_rows(buckets: int, size: int):
             shared, weight = mine[held], weight[held]
             order = np.lexsort((shared, weight))[: len(shared) - least + 1]
             rows.append((doc_id, n, hi, lo, shared.tobytes(), shared[order].tobytes()))
+        W.give_back()
         columns = list(zip(*rows)) or [()] * 6
         kinds = [pa.int64()] * 4 + [pa.binary()] * 2
         names = ["doc_id", "n_shingles", "hi", "lo", "shared", "prefix"]

@@ -183,21 +183,24 @@ def _sample_rows(sample: DataFrame, chosen: np.ndarray) -> pa.Table:
     kept = sample.sparkSession.sparkContext.broadcast(chosen)
 
     def places(text: str | None) -> bytes:
-        return np.flatnonzero(np.isin(kept.value, features(text))).astype(np.int32).tobytes()
+        found = features(text)
+        at = np.minimum(np.searchsorted(kept.value, found), len(kept.value) - 1)
+        return at[kept.value[at] == found].astype(np.int32).tobytes()
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch["text"].to_pylist()
-            forms = [list(map(places, counterparts(t or ""))) for t in texts]
-            yield pa.record_batch(
-                [
-                    batch["toxic"],
-                    pa.array([places(t) for t in texts], pa.binary()),
-                    pa.array([f[0] for f in forms], pa.binary()),
-                    pa.array([f[1:] for f in forms], pa.list_(pa.binary())),
-                ],
-                names=["toxic", "own", "named", "others"],
-            )
+        with remembered(_features):
+            for batch in batches:
+                texts = batch["text"].to_pylist()
+                forms = [list(map(places, counterparts(t or ""))) for t in texts]
+                yield pa.record_batch(
+                    [
+                        batch["toxic"],
+                        pa.array([places(t) for t in texts], pa.binary()),
+                        pa.array([f[0] for f in forms], pa.binary()),
+                        pa.array([f[1:] for f in forms], pa.list_(pa.binary())),
+                    ],
+                    names=["toxic", "own", "named", "others"],
+                )
 
     schema = "toxic int, own binary, named binary, others array<binary>"
     return sample.select("text", "toxic").mapInArrow(rows, schema).toArrow()

@@ -8,6 +8,7 @@ therefore costs one entry per chunk, and no bucket or chunk grows with such a gr
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -52,7 +53,15 @@ def remembered(*caches):
     finally:
         for cache in (*caches, _hashes):
             cache.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
+
+
+def give_back() -> None:
+    """Memory that is free goes back to the machine, where its C library can do so."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def distinct(keys: np.ndarray) -> np.ndarray:
@@ -245,6 +254,7 @@ def answer_shared(entries: DataFrame) -> DataFrame:
             part = slice(ends[i] - sizes[i], ends[i])
             mine = keep[part]
             rows.append((chunks[i], pack5(keys[part][mine]).tobytes(), weight[part][mine].tobytes()))
+        give_back()
         return pa.table(
             {
                 "chunk": pa.array([r[0] for r in rows], pa.int64()),
