@@ -31,11 +31,9 @@ from broadsheet.sources import posts as A
 from broadsheet.sources import tables as S
 from broadsheet.streaming.ingest import ingest_stream
 
-try:  # the package for training data can be left out together with its pipeline
+try:  # the package for training data can be left out together with its pipeline, or lack what it needs
     import broadsheet.llm.queries as _llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("broadsheet.llm", "broadsheet.llm.queries"):
-        raise
+except ImportError:
     _llm = None
 
 TODAY = date(2028, 12, 31)
