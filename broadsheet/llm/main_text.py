@@ -3,10 +3,12 @@
 1. The first page of a host gives the host's skeleton: its tree of block elements, runs of equal
    siblings taken as one node.
 2. Every page is aligned with its host's skeleton by simple tree matching. What stands at a node
-   is counted over all pages of the host. Texts that return at a node page after page are template;
-   texts that vary are content.
-3. Content is what remains without template texts and without elements whose name or class says
-   that they are not the article.
+   is counted over all pages of the host, copies of a page once. Texts that nearly all pages with
+   that node have there are template; texts that vary are content.
+3. Content is what remains without template texts and without elements that hold no article by
+   their kind (``nav``, ``footer``, ``form``, ...). Class names are evidence only: never against the
+   page, its article or what is around it, and a word of several meanings not against an element
+   that holds most of the page's varying text.
 
 Pages move only if the templates of all hosts are too many to be sent to every task.
 """
@@ -16,10 +18,12 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -28,11 +32,17 @@ from pyspark.sql import functions as F
 from broadsheet.llm.scratch import Scratch
 from broadsheet.session import broadcast_if_small
 
-#: A text is template if this share of the host's pages has it at one node, and this many do.
-CONSTANT_SHARE = 0.3
+#: A text is template if this share of the host's different pages with text at a node have it there,
+#: if they are this share of all its different pages, and this many.
+CONSTANT_SHARE = 0.8
+HOST_SHARE = 0.3
 CONSTANT_PAGES = 3
-#: Elements nested deeper become part of their ancestor at this depth.
+#: An element of doubtful name with more of the page's varying text than this is content.
+DOUBTFUL_SHARE = 0.5
+#: Elements nested deeper are taken as children of their ancestor at this depth.
 DEPTH = 100
+#: Of an element with more runs of children, those of one tag are aligned as one.
+WIDE = 1000
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>"""
@@ -53,13 +63,28 @@ _BLOCK = frozenset(
 _NOT_CONTENT = frozenset(
     "head nav footer aside form button select option label fieldset menu dialog search".split()
 )
+#: Of these, the ones that may also stand around a whole article.
+_AROUND = frozenset("form fieldset label dialog".split())
 #: Words in class, id or role that say the same.
 _NOT_CONTENT_NAMES = frozenset(
-    "ad ads advert advertisement adverts advertising sponsor sponsored sponsors promo promotion banner sidebar sidenav"
-    " aside nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent notice notices gdpr"
-    " popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus reply"
-    " replies respond share sharing social related recommended recommendations widget widgets toolbar pagination pager"
-    " complementary contentinfo alert disclaimer".split()
+    "ad ads advert advertisement adverts advertising sponsor sponsored sponsors sidebar sidenav"
+    " aside nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr"
+    " popup newsletter subscribe subscription comment comments commentlist disqus"
+    " replies respond sharing pagination pager complementary contentinfo disclaimer".split()
+)
+#: Words that say so of small elements only.
+_DOUBTFUL_NAMES = frozenset(
+    "promo promotion banner notice notices modal overlay signup login reply share social related recommended"
+    " recommendations widget widgets toolbar alert".split()
+)
+#: A name that begins with one of these tells what a page has, not what an element is.
+_STATES = frozenset("no not non has have with without is can show hide enable disable".split())
+#: Names and last words of names that speak for content.
+_CONTENT_NAMES = frozenset("article content post entry story text body main page".split())
+#: Last words of names that tell nothing.
+_PLAIN_WORDS = frozenset(
+    "list box block container wrapper wrap section area item items unit slot inner outer left right top bottom bar"
+    " link links form row column title group".split()
 )
 _CLOSES = {
     "li": frozenset(["li"]),
@@ -78,6 +103,13 @@ class Node:
     symbol: str
     tag: str
     kept: bool
+    #: What its name says against it: 0 nothing, 1 something doubtful, 2 that it is not the article.
+    against: int = 0
+    #: Whether an article or main element is around it.
+    inside: bool = False
+    #: Article and main elements begun before it, and when it ended.
+    before: int = 0
+    after: int = 0
     children: list = field(default_factory=list)
     #: (place in the page, text) of the blocks of text directly in this element.
     blocks: list = field(default_factory=list)
@@ -86,8 +118,29 @@ class Node:
 def _names(attributes: str) -> list[str]:
     if not attributes.strip():
         return []
-    found = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower()
-    return [w for w in _SPLIT.split(found) if w]
+    return " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower().split()
+
+
+@lru_cache(maxsize=20_000)
+def _says(name: str) -> int:
+    """What a name says against an element, as in :class:`Node`; names that speak for it give -1."""
+    words = [w for w in _SPLIT.split(name) if w]
+    if not words or words[0] in _STATES:
+        return 0
+    if len(words) == 1 and words[0] in _CONTENT_NAMES:
+        return -1
+    if _NOT_CONTENT_NAMES.isdisjoint(words) and _DOUBTFUL_NAMES.isdisjoint(words):
+        return 0
+    while len(words) > 1 and words[-1] in _PLAIN_WORDS:
+        words.pop()
+    telling = not _NOT_CONTENT_NAMES.isdisjoint(words)
+    return 2 if telling and words[-1] in _NOT_CONTENT_NAMES | _DOUBTFUL_NAMES else 1
+
+
+def _against(names: list[str]) -> int:
+    said = [_says(n) for n in names]
+    most = max([0, *said])
+    return min(most, 1) if -1 in said else most
 
 
 def parse(page: str) -> Node:
@@ -98,6 +151,8 @@ def parse(page: str) -> Node:
     """
     root = Node("", "", True)
     stack, buffer, place, at = [root], [], 0, 0
+    # Of the elements that are open: how many of each tag, and that cannot hold an article.
+    is_open, hidden, mains, nodes = Counter(), 0, 0, []
 
     def flush() -> None:
         nonlocal place
@@ -107,6 +162,14 @@ def parse(page: str) -> Node:
             stack[-1].blocks.append((place, text))
             place += 1
 
+    def close(keep: int) -> None:
+        nonlocal hidden
+        for node in stack[keep:]:
+            is_open[node.tag] -= 1
+            hidden -= not node.kept and node.tag not in _AROUND
+            node.after = mains
+        del stack[keep:]
+
     size = len(page)
     while at < size:
         match = _TAG.search(page, at)
@@ -123,52 +186,76 @@ def parse(page: str) -> Node:
             continue
         tag, closing, attributes = tag.lower(), match[1] or match[4], match[3] or match[6] or ""
         if closing:
-            if any(n.tag == tag for n in stack):
+            if is_open[tag]:
                 flush()
-                while stack[-1].tag != tag:
-                    stack.pop()
-                stack.pop()
+                last = len(stack) - 1
+                while stack[last].tag != tag:
+                    last -= 1
+                close(last)
             continue
         if tag in _RAW:
             if not attributes.endswith("/") or tag not in ("svg", "math"):
                 end = re.compile(rf"</{tag}[\s/>]", re.IGNORECASE).search(page, at)
-                close = page.find(">", end.start()) if end else -1
-                at = close + 1 if close >= 0 else size
+                closed = page.find(">", end.start()) if end else -1
+                at = closed + 1 if closed >= 0 else size
             continue
         if tag == "br":
             buffer.append(" ")
             continue
         names = _names(attributes)
-        dropped = tag in _NOT_CONTENT or not _NOT_CONTENT_NAMES.isdisjoint(names)
-        if tag not in _BLOCK and (not dropped or tag in _VOID):
+        against = _against(names)
+        if tag not in _BLOCK and tag not in _NOT_CONTENT and (against < 2 or tag in _VOID):
             continue
         flush()
         if tag in _BLOCK:
-            _end_implied(stack, tag)
+            for keep in _ended_by(stack, is_open, tag):
+                close(keep)
         if tag in _VOID:
             continue
-        node = Node(".".join([tag, *sorted(set(names))]), tag, not dropped)
+        inside = is_open["article"] + is_open["main"] > 0
+        words = {w for n in names for w in _SPLIT.split(n) if w}
+        kept = tag not in _NOT_CONTENT and (tag != "header" or inside)
+        node = Node(".".join([tag, *sorted(words)]), tag, kept, against, inside, mains)
+        if tag in ("html", "body", "main", "article"):
+            node.against = 0
+        mains += not hidden and (tag == "main" or (tag == "article" and against < 2))
         if len(stack) < DEPTH:
             stack[-1].children.append(node)
-            stack.append(node)
+        else:
+            above = stack[-1]
+            if len(stack) > DEPTH:  # ``above`` is a sibling of the node, so what holds of it is handed on
+                node.kept, node.against = node.kept and above.kept, max(node.against, above.against)
+            stack[DEPTH - 1].children.append(node)
+        nodes.append(node)
+        stack.append(node)
+        is_open[tag] += 1
+        hidden += not node.kept and tag not in _AROUND
     flush()
+    close(1)
+    root.after = mains
+    for node in nodes:
+        if mains and node.after - node.before == mains:  # all articles are in it
+            node.against, node.kept = 0, node.kept or node.tag in _AROUND
     return root
 
 
-def _end_implied(stack: list[Node], tag: str) -> None:
-    if tag != "option":
+def _ended_by(stack: list[Node], is_open: Counter, tag: str) -> Iterator[int]:
+    """Sizes to which the stack of open elements is cut before an element with this tag begins."""
+    if tag != "option" and is_open["p"]:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag == "p":
-                del stack[i:]
+                yield i
                 break
             if stack[i].tag in _SCOPES:
                 break
-    closes = _CLOSES.get(tag)
+    closes = _CLOSES.get(tag, frozenset())
+    if not any(is_open[t] for t in closes):
+        return
     for i in range(len(stack) - 1, 0, -1):
-        if closes is None or (stack[i].tag in _SCOPES and stack[i].tag not in closes):
+        if stack[i].tag in _SCOPES and stack[i].tag not in closes:
             break
         if stack[i].tag in closes:
-            del stack[i:]
+            yield i
             if tag != "tr":
                 break
 
@@ -181,17 +268,23 @@ class Run:
     children: list
     members: list
 
+    def __post_init__(self) -> None:
+        self.shape = hash((self.symbol, *[c.shape for c in self.children]))
+        self.size = 1 + sum(c.size for c in self.children)
+
 
 def collapse(nodes: list[Node], symbol: str = "") -> Run:
-    children, group = [], []
+    groups = []
     for child in (c for n in nodes for c in n.children):
-        if group and group[-1].symbol != child.symbol:
-            children.append(collapse(group, group[-1].symbol))
-            group = []
-        group.append(child)
-    if group:
-        children.append(collapse(group, group[-1].symbol))
-    return Run(symbol, children, nodes)
+        if not groups or groups[-1][0].symbol != child.symbol:
+            groups.append([])
+        groups[-1].append(child)
+    if len(groups) <= WIDE:
+        return Run(symbol, [collapse(g, g[0].symbol) for g in groups], nodes)
+    by_tag: dict[str, list] = {}
+    for group in groups:
+        by_tag.setdefault(group[0].tag, []).extend(group)
+    return Run(symbol, [collapse(g, tag) for tag, g in by_tag.items()], nodes)
 
 
 def skeleton_of(page: str) -> str:
@@ -211,86 +304,151 @@ def _skeleton(data: str) -> Run:
 
 def match_trees(a: Run, b: Run) -> tuple[int, list[tuple[Run, Run]]]:
     """Simple tree matching: the most node pairs, with equal symbols, that keep order and ancestry."""
+    out, open_, known = [], [(a, b)] if a.symbol == b.symbol else [], {}
+    while open_:
+        x, y = open_.pop()
+        out.append((x, y))
+        open_ += _child_pairs(x, y, known)
+    return len(out), out
+
+
+def _matched(a: Run, b: Run, known: dict) -> int:
+    """Node pairs of the best match; ``known`` holds those of trees of the same shapes."""
     if a.symbol != b.symbol:
-        return 0, []
-    m, n = len(a.children), len(b.children)
-    if not m or not n:
-        return 1, [(a, b)]
-    pairs = {}
-    best = [[0] * (n + 1) for _ in range(m + 1)]
+        return 0
+    if a.shape == b.shape:
+        return a.size
+    if not a.children or not b.children:
+        return 1
+    key = a.shape, b.shape
+    if key not in known:
+        known[key] = 1 + int(_table(a, b, known)[-1, -1])
+    return known[key]
+
+
+def _table(a: Run, b: Run, known: dict) -> np.ndarray:
+    """Node pairs of the best match of the first i children of one and the first j of the other."""
+    shapes = {y.shape: y for y in b.children}
+    index = {shape: i for i, shape in enumerate(shapes)}
+    which = np.array([index[y.shape] for y in b.children])
+    gains: dict[int, np.ndarray] = {}
+    table = np.zeros((len(a.children) + 1, len(b.children) + 1), np.int32)
     for i, x in enumerate(a.children, 1):
-        for j, y in enumerate(b.children, 1):
-            gain = 0
-            if x.symbol == y.symbol:
-                pairs[i, j] = match_trees(x, y)
-                gain = pairs[i, j][0]
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + gain)
-    out, i, j = [(a, b)], m, n
+        if x.shape not in gains:
+            gains[x.shape] = np.array([_matched(x, y, known) for y in shapes.values()], np.int32)[which]
+        row = np.maximum(table[i - 1, 1:], table[i - 1, :-1] + gains[x.shape])
+        np.maximum.accumulate(row, out=table[i, 1:])
+    return table
+
+
+def _child_pairs(a: Run, b: Run, known: dict) -> list[tuple[Run, Run]]:
+    if a.shape == b.shape:
+        return list(zip(a.children, b.children))
+    if not a.children or not b.children:
+        return []
+    table, out = _table(a, b, known), []
+    i, j = len(a.children), len(b.children)
     while i and j:
-        if best[i][j] == best[i - 1][j]:
+        if table[i, j] == table[i - 1, j]:
             i -= 1
-        elif best[i][j] == best[i][j - 1]:
+        elif table[i, j] == table[i, j - 1]:
             j -= 1
         else:
-            out += pairs[i, j][1]
+            out.append((a.children[i - 1], b.children[j - 1]))
             i, j = i - 1, j - 1
-    return best[m][n] + 1, out
+    return out
 
 
 def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
 
 
-def _paths(run: Run, path: str, out: dict[int, str]) -> None:
+def _paths(run: Run, path: int, out: dict[int, int]) -> None:
     out[id(run)] = path
-    for i, child in enumerate(run.children):
-        _paths(child, f"{path}/{child.symbol}", out)
+    for child in run.children:
+        _paths(child, _hash(f"{path}/{child.symbol}"), out)
 
 
-def placed(page: str, skeleton: str | None) -> list[tuple[int, str, int, bool]]:
-    """(place, text, key of the node, kept) of every block of text, in page order.
+@dataclass(frozen=True)
+class Block:
+    """A block of text, with the key of its node."""
+
+    place: int
+    text: str
+    key: int
+    #: The outermost element around it whose name speaks against it (None: there is none), how much, and
+    #: whether an article or main element is around that one.
+    named: int | None = None
+    against: int = 0
+    inside: bool = False
+
+
+@dataclass(frozen=True)
+class Page:
+    """Blocks in page order, without those of elements that hold no article by their kind."""
+
+    blocks: list[Block]
+    has_article: bool
+
+    def same(self) -> int:
+        """A number that copies share: of the texts no name speaks against, or of all if there are none."""
+        texts = [b.text for b in self.blocks if b.named is None] or [b.text for b in self.blocks]
+        return _hash("\n".join(texts))
+
+
+def placed(page: str, skeleton: str | None) -> Page:
+    """The blocks of a page, aligned with the skeleton of its host.
 
     Nodes that match the skeleton have its node's key, others that of their own path.
     """
-    tree = collapse([parse(page)])
-    keys: dict[int, str] = {}
-    _paths(tree, "own", keys)
+    root = parse(page)
+    tree = collapse([root])
+    keys: dict[int, int] = {}
+    _paths(tree, 1, keys)
     if skeleton is not None:
         model, theirs = _skeleton(skeleton), {}
-        _paths(model, "", theirs)
+        _paths(model, 0, theirs)
         for mine, other in match_trees(tree, model)[1]:
             keys[id(mine)] = theirs[id(other)]
     out = []
 
-    def collect(run: Run, kept: dict[int, bool]) -> None:
-        key = _hash(keys[id(run)])
+    def collect(run: Run, above: dict[int, tuple]) -> None:
         mine = {}
-        for node, above in zip(run.members, (kept.get(id(n), True) for n in run.members)):
-            here = above and node.kept and not (node.tag == "header" and not _in_article(run, keys))
-            out.extend((place, text, key, here) for place, text in node.blocks)
-            mine.update((id(c), here) for c in node.children)
+        for node in run.members:
+            here, *named = above.get(id(node), (True, None, 0, False))
+            here = here and node.kept
+            if named[0] is None and node.against:
+                named = [id(node), node.against, node.inside]
+            if here:
+                out.extend(Block(place, text, keys[id(run)], *named) for place, text in node.blocks)
+            mine.update((id(c), (here, *named)) for c in node.children)
         for child in run.children:
             collect(child, mine)
 
     collect(tree, {})
-    return sorted(out)
+    return Page(sorted(out, key=lambda b: b.place), root.after > 0)
 
 
-def _in_article(run: Run, keys: dict[int, str]) -> bool:
-    return "/article" in keys[id(run)] or "/main" in keys[id(run)]
+def main_text(page: Page, constant: set[tuple[int, int]]) -> str:
+    """Blocks that are not template, joined by line ends, without those of elements with telling names.
 
+    Of a doubtful name are dropped: elements outside the article of a page that has one, and
+    those with at most DOUBTFUL_SHARE of the varying text.
+    """
+    varying = [b for b in page.blocks if (b.key, _hash(b.text)) not in constant]
+    total, sizes = 0, Counter()
+    for block in varying:
+        if block.against < 2:
+            total += len(block.text)
+            sizes[block.named] += len(block.text)
 
-def main_text(blocks: list[tuple[int, str, int, bool]], constant: set[tuple[int, int]]) -> str:
-    """Blocks that are kept and not template, joined by line ends.
+    def stays(block: Block) -> bool:
+        if block.against != 1:
+            return not block.against
+        outside = page.has_article and not block.inside
+        return not outside and sizes[block.named] > DOUBTFUL_SHARE * total
 
-    If template texts make up more than half of what is kept, the pages of the host are copies of
-    one article, and they stay.
-    """
-    kept = [(text, (key, _hash(text)) in constant) for _, text, key, here in blocks if here]
-    varying = [text for text, template in kept if not template]
-    if 2 * sum(map(len, varying)) < sum(len(text) for text, _ in kept):
-        varying = [text for text, _ in kept]
-    return "\n".join(varying)
+    return "\n".join(b.text for b in varying if stays(b))
 
 
 def _skeletons(pages: DataFrame) -> DataFrame:
@@ -310,30 +468,44 @@ def _skeletons(pages: DataFrame) -> DataFrame:
     return found.groupBy("host").agg(F.min_by("skeleton", F.struct("order", "skeleton")).alias("skeleton"))
 
 
+_COUNTED = "host string, key long, text_hash long, same long"
+
+
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per page, one per node with text (both without text_hash), one per text at a node."""
     for batch in batches:
-        hosts, keys, texts = [], [], []
+        rows = []
         for host, page, skeleton in zip(*(batch[c].to_pylist() for c in ("host", "html", "skeleton"))):
-            if host is None:
+            found = placed(page, skeleton)
+            if host is None or not found.blocks:
                 continue
-            seen = {(key, _hash(text)) for _, text, key, here in placed(page, skeleton) if here}
-            hosts += [host] * len(seen)
-            keys += [k for k, _ in seen]
-            texts += [t for _, t in seen]
-        columns = [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(texts, pa.int64())]
-        yield pa.record_batch(columns, names=["host", "key", "text_hash"])
+            same = found.same()
+            texts = {(b.key, _hash(b.text)) for b in found.blocks}
+            nodes = {(key, None) for key, _ in texts}
+            rows += [(host, key, text, same) for key, text in [(None, None), *nodes, *texts]]
+        columns = list(zip(*rows)) or [(), (), (), ()]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["host", "key", "text_hash", "same"]
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, constants): the template of every host; constants are 16 bytes each."""
+    """(host, skeleton, constants): the template of every host; constants are 16 bytes each.
+
+    Pages of a host with the same texts count as one.
+    """
     scratch = Scratch(pages.sparkSession, "wrapper")
     skeletons = scratch.write(_skeletons(pages))
     located = pages.join(broadcast_if_small(skeletons), "host").select("host", "html", "skeleton")
-    seen = located.mapInArrow(_count, "host string, key long, text_hash long")
-    counts = seen.groupBy("host", "key", "text_hash").agg(F.count(F.lit(1)).alias("n"))
-    totals = pages.filter("host IS NOT NULL").groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
-    often = counts.filter(F.col("n") >= CONSTANT_PAGES).join(totals, "host")
-    often = often.filter(F.col("n") >= CONSTANT_SHARE * F.col("n_pages"))
+    seen = located.mapInArrow(_count, _COUNTED)
+    counts = seen.groupBy("host", "key", "text_hash").agg(F.count_distinct("same").alias("n"))
+    counts = scratch.write(counts.filter(F.col("n") >= CONSTANT_PAGES))
+    n_pages = counts.filter("key IS NULL").select("host", F.col("n").alias("n_pages"))
+    n_node = counts.filter("key IS NOT NULL AND text_hash IS NULL").select("host", "key", F.col("n").alias("n_node"))
+    often = counts.filter("text_hash IS NOT NULL").join(n_node, ["host", "key"]).join(n_pages, "host")
+    often = often.filter(
+        (F.col("n") >= CONSTANT_SHARE * F.col("n_node")) & (F.col("n") >= HOST_SHARE * F.col("n_pages"))
+    )
     constants = often.groupBy("host").agg(
         F.sort_array(F.collect_list(F.struct("key", "text_hash"))).alias("constants")
     )
@@ -364,8 +536,9 @@ def extract_main_text(
 ) -> DataFrame:
     """(page_id, url, text, n_chars) of each row, from the whole page.
 
-    Null and empty pages have an empty text. Pages whose url is null or has no host get no template:
-    only element names and classes decide. So it is for hosts of fewer than CONSTANT_PAGES pages.
+    Null and empty pages have an empty text, and so have pages of template texts only. Pages whose
+    url is null or has no host get no template: only element names and classes decide. So it is for
+    hosts of fewer than CONSTANT_PAGES different pages. Very long, deep and wide pages are taken whole.
     Rows that repeat an id are pages of their own. Other columns are not read; an empty table
     gives no rows.
     """

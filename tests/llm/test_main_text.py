@@ -26,6 +26,23 @@ def text_of(page, constant=()):
         ("<p title='a > b'>x</p><p data='unbalanced>y</p>", "x\ny"),
         ("<div>" * 3000 + "deep", "deep"),
         ("<p>x <span class=advert>ad</span> y</p>", "x\ny"),
+        # Names of the page, of its article and of what is around it say nothing.
+        ("<body class='post no-sidebar'><p>x</body>", "x"),
+        ("<article class='has-comments'><p>x</article>", "x"),
+        ("<div id='share-article'><p>x</div>", "x"),
+        ("<main class='page notice-board'>x</main>", "x"),
+        ("<div class='main with-sidebar'>x</div>", "x"),
+        ("<div class=sidebar><article class=notice>x</article></div>", "x"),
+        ("<form><article>x<form>y</form></article></form>", "x"),
+        # Doubtful names outside the article, and of small and of large elements.
+        ("<article>x</article><div class=related>a longer text than x</div>", "x"),
+        ("<div>a longer text</div><div class=promo>small</div>", "a longer text"),
+        ("<div>small</div><div class=promo>a longer text</div>", "small\na longer text"),
+        ("<article></article><div class=ad>buy</div>", ""),
+        ("<div class=post>x</div><div id=comments><article class=comment>reader</article></div>", "x"),
+        ("<main>a longer text<div class=related-posts><article>other</article></div></main>", "a longer text"),
+        ("<p>x</p><div class=cookie-banner>a longer text</div>", "x"),
+        ("<div>" * 3000 + "<nav>menu<div>a</div></nav>deep<div class=ad>b<div>c</div></div>", "deep"),
     ],
 )
 def test_pages(page, text):
@@ -74,3 +91,46 @@ def test_template_of_a_host(spark):
     assert got[20, "https://c.org/1"] == "Daily News of c\n1 article 1 that tells more than the template around it does\nThanks for reading"
     assert got[21, None].startswith("Daily News") and got[22, "https://a.org/9"] == "" and got[None, "no host"] == "z"
     assert all(got[30 + i, f"https://copies.org/{i}"] == "the same article" for i in range(5))
+
+
+def test_wide_pages():
+    """Time and memory of alignment do not grow with the square of a page."""
+    import time
+
+    parts = {"<h2>a {i}</h2><p>b {i}</p>": 2, "<h2>a {i}</h2><p>b<ul><li>c</ul>": 3, "<p class=x{i}>b</p>": 1}
+    for part, n in parts.items():
+        page = "".join(part.format(i=i) for i in range(8000))
+        begin = time.perf_counter()
+        blocks = M.placed(page, M.skeleton_of(page)).blocks
+        assert [b.place for b in blocks] == list(range(8000 * n))
+        assert time.perf_counter() - begin < 10
+
+
+def test_hosts_against_plain_counting(spark):
+    """Made-up hosts: template in plain elements, copies, passages of a third of the pages."""
+    import random
+
+    source = random.Random(3)
+    word = lambda: "".join(source.choice("abcdefgh") for _ in range(6))
+    rows, want = [], {}
+    for host in ("one.org", "two.org"):
+        shared, copy = " ".join(word() for _ in range(30)), [" ".join(word() for _ in range(40)) for _ in range(3)]
+        for i in range(30):
+            body = [" ".join(word() for _ in range(source.randrange(3, 40))) for _ in range(source.randrange(1, 6))]
+            if i % 3 == 0:
+                body.append(shared)
+            if i >= 20:
+                body = copy
+            page = (
+                f"<body><div>All news of {host}</div><div>{''.join(f'<p>{p}</p>' for p in body)}</div>"
+                f"<div class='ad'>{word()}</div><section>Write to {host}</section></body>"
+            )
+            rows.append((len(rows), f"https://{host}/{i}", page))
+            want[len(rows) - 1] = "\n".join(body)
+        # Pages of template only.
+        rows.append((len(rows), f"https://{host}/none", f"<body><div>All news of {host}</div><div></div></body>"))
+        want[len(rows) - 1] = ""
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.text, r.n_chars) for r in M.extract_main_text(pages).collect()}
+    assert got == {i: (text, len(text)) for i, text in want.items()}
+    assert M.extract_main_text(pages.limit(0)).count() == 0
