@@ -67,14 +67,14 @@ def urn(kind: str, value: int | None) -> str:
 
 
 def plan_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
-    """(page_id, refers_to) of the rows of ``pages`` (page_id, payload) that repeat another's payload.
+    """(page_id, sha1, refers_to) of the rows of ``pages`` (page_id, payload) that repeat another's payload.
 
     Among equal payloads of at least ``least`` bytes the smallest page_id is the one referred to.
     """
     narrow = pages.filter(F.octet_length("payload") >= least).select("page_id", F.sha1("payload").alias("sha1"))
     first = narrow.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("most"))
     repeated = first.filter(F.col("refers_to") < F.col("most")).drop("most")
-    return narrow.join(repeated, "sha1").filter(F.col("page_id") > F.col("refers_to")).select("page_id", "refers_to")
+    return narrow.join(repeated, "sha1").filter(F.col("page_id") > F.col("refers_to")).select("page_id", "sha1", "refers_to")
 
 
 def write_archives(
@@ -87,8 +87,8 @@ def write_archives(
 ) -> None:
     """Write one record per row into archives under ``path``, which must not exist.
 
-    The payload is the text in UTF-8 (null: empty). Rows without id are responses of their own; so
-    are rows that repeat both id and payload. A null url leaves its header out. Other columns are
+    The payload is the text in UTF-8 (null: empty). Rows without id are responses of their own; rows
+    that repeat an id are records of their own, each judged by its payload. A null url leaves its header out. Other columns are
     not read. Payloads move between tasks only if there are more revisits than can be sent to all.
     """
     text = F.coalesce(F.col(text_column), F.lit("")).cast("binary")
@@ -116,7 +116,8 @@ def write_archives(
             ]
             yield pa.record_batch([pa.array(packed, pa.binary())], names=["member"])
 
-    members = rows.join(revisits, "page_id", "left").mapInArrow(build, "member binary")
+    rows = rows.withColumn("sha1", F.sha1("payload"))
+    members = rows.join(revisits, ["page_id", "sha1"], "left").mapInArrow(build, "member binary")
     (
         members.select(F.col("member").cast("string"))
         .write.option("lineSep", "\0")

@@ -48,6 +48,23 @@ def test_least_payload(spark, tmp_path):
     assert kinds == {"1": "response", "2": "response", "3": "response", "4": "revisit"}
 
 
+def test_repeated_ids(spark, tmp_path):
+    """A row is a revisit by its own payload, not by that of another row of its id."""
+    rows = [(1, "u", "copy"), (2, "u", "copy"), (2, "v", "another"), (2, "w", "copy"), (1, "x", "copy")]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_path}/out")
+    back = warc.read_archives(spark, f"{tmp_path}/out").collect()
+    got = sorted((r.url, r.record_type, r.refers_to, r.payload_digest) for r in back)
+    copy, another = warc.base32_sha1(b"copy"), warc.base32_sha1(b"another")
+    refers = "urn:page:1"
+    assert got == [
+        ("u", "response", None, copy),
+        ("u", "revisit", refers, copy),
+        ("v", "response", None, another),
+        ("w", "revisit", refers, copy),
+        ("x", "response", None, copy),
+    ]
+
+
 def archive(packed):
     records = [warc.record(f"urn:page:{i}", "2024-01-01T00:00:00Z", b"payload %d" % i * 20, warc.base32_sha1(b"payload %d" % i * 20)) for i in range(6)]
     return [warc.member(r) for r in records] if packed else records
