@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by inner product: NN-descent builds a graph, greedy search uses it.
 
 Vectors get one more component that makes all of them equally long, so that the nearest by
-distance are the largest inner products of a query, whose own component is nought. Equal vectors
-are one node. Graph and search compare vectors in half precision; the hits are ranked by the
-original vectors in double precision.
+distance are the largest inner products of a query, whose own component is nought. That component
+is kept as the difference from the one of a vector of median length: a few very long vectors leave
+the distances of all others as they are. Equal vectors are one node. Graph and search compare
+vectors in half precision; the hits are ranked by the original vectors in double precision.
 
 *Building.* Nodes sorted by random hyperplanes meet their neighbours in order, which gives first
 lists of DEGREE neighbours. Then rounds of NN-descent: every node writes to its neighbours, and
@@ -12,7 +13,9 @@ than its own farthest one. Each round is one exchange there and one back, by buc
 node that very many have as neighbour answers all of them, and passes on a sample of them.
 
 *Search.* A query keeps a beam of the nearest nodes found. In each round it writes to the nearest
-ones it has not asked yet and takes in their neighbours, until all of the beam were asked.
+ones it has not asked yet and takes in their neighbours, until all of the beam were asked. Its
+first round needs no exchange: the lists of all entries, some nodes by a hash and the longest ones,
+are bounded and go to every task.
 """
 
 from __future__ import annotations
@@ -41,12 +44,14 @@ FIRST = 8
 HYPERPLANES = 12
 #: Nodes of one bucket of the exchanges.
 BUCKET_NODES = 1500
-#: Beam of a query, nodes it asks at once, and rounds at most, enough for every node of a beam.
+#: Beam of a query, and nodes it asks at once.
 BEAM = 160
 ASKED = 32
-MOST_ROUNDS = 100
-#: Nodes, the first by a hash, whose nearest begin a search besides the query's own node.
-ENTRIES = 256
+#: Nodes, the first by a hash and the longest, whose nearest begin a search besides the query's own node.
+ENTRIES = 192
+LONGEST = 64
+#: Largest component in half precision.
+_LARGEST = 30_000.0
 
 _GRAPH = "node long, bucket int, code binary, ids binary, sims binary, fresh binary, codes binary"
 _NAMES = [p.split()[0] for p in _GRAPH.split(", ")]
@@ -59,6 +64,12 @@ def _floats(data: list[bytes], width: int) -> np.ndarray:
     return np.frombuffer(b"".join(data), np.float16).reshape(-1, width)
 
 
+def _nearness(own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Orders ``others`` as their distance from each of ``own`` does: the same is left out of all of a row."""
+    others = others.astype(np.float32)
+    return own.astype(np.float32) @ others.T - 0.5 * np.einsum("ij,ij->i", others, others)
+
+
 def _bucket(nodes: np.ndarray, buckets: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         mixed = nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -163,8 +174,7 @@ def _first_lists(width: int, buckets: int):
                 members = np.flatnonzero(orders == tree)
                 for start in range(0, len(members), TOGETHER):
                     part = members[start : start + TOGETHER]
-                    values = codes[part].astype(np.float32)
-                    sims = values @ values.T
+                    sims = _nearness(codes[part], codes[part])
                     np.fill_diagonal(sims, -np.inf)
                     count = min(FIRST, len(part) - 1)
                     near = np.argpartition(-sims, count - 1, axis=1)[:, :count] if count > 0 else np.empty((len(part), 0), int)
@@ -239,12 +249,11 @@ def _answer(width: int, buckets: int, salt: int):
                 ids = np.r_[lists.ids[own], inbox.src[others]]
                 fresh = np.r_[lists.fresh[own], inbox.fresh[others]]
                 codes = np.concatenate([lists.codes[own], inbox.codes[others]])
-                theirs = codes.astype(np.float32)
                 marks = _marks(ids, salt)
                 # Very many writers are answered in parts.
                 for low in range(a, b, 4096):
                     part = slice(low, min(low + 4096, b))
-                    sims = inbox.codes[part].astype(np.float32) @ theirs.T
+                    sims = _nearness(inbox.codes[part], codes)
                     seen = (inbox.known[part][:, marks >> 3] >> (7 - (marks & 7)).astype(np.uint8)) & 1
                     able = (sims > inbox.least[part][:, None]) & (seen == 0)
                     able &= (inbox.fresh[part][:, None] | fresh) & (inbox.src[part][:, None] != ids)
@@ -271,6 +280,12 @@ def valid(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _length(vector: Column) -> Column:
+    """Euclidean length, also where squares would be too large or too small."""
+    most = F.array_max(F.transform(vector, F.abs))
+    return most * F.sqrt(F.aggregate(F.transform(vector, lambda x: x / most), F.lit(0.0), lambda a, x: a + x * x))
+
+
 def _distinct(vectors: DataFrame, members: int) -> DataFrame:
     """(node, vector, members): equal vectors as one, with the smallest ids they stand for.
 
@@ -301,19 +316,22 @@ class Index:
         self.buckets = buckets = max(1, math.ceil(n / BUCKET_NODES))
         rows = rows.filter(F.size("vector") == self.dimension)
         self.nodes = scratch.write(_distinct(rows, members))
-        square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-        self.longest = math.sqrt(self.nodes.agg(F.max(square)).first()[0] or 1.0)
+        lengths = self.nodes.agg(F.max(_length(F.col("vector"))), F.percentile_approx(_length(F.col("vector")), 0.5))
+        self.longest, self.median = (length or 1.0 for length in lengths.first())
         self.coded = scratch.write(self.nodes.mapInArrow(self._code(), "node long, bucket int, code binary"))
         self.graph = self._build()
 
     def _code(self):
-        longest, width, buckets = self.longest, self.width, self.buckets
+        longest, median, width, buckets = self.longest, self.median, self.width, self.buckets
+        scale = min(longest / median, _LARGEST)
+        its_rest = math.sqrt(max(0.0, 1 - (median / longest) ** 2))
 
         def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 values = batch["vector"].flatten().to_numpy().reshape(batch.num_rows, width - 1) / longest
-                rest = np.sqrt(np.maximum(0, 1 - (values**2).sum(axis=1)))
-                codes = np.c_[values, rest].astype(np.float16)
+                square = (values**2).sum(axis=1)
+                both = np.maximum(its_rest + np.sqrt(np.maximum(0, 1 - square)), 1e-12)
+                codes = (np.c_[values, (square - (median / longest) ** 2) / both] * scale).astype(np.float16)
                 bucket = _bucket(batch["node"].to_numpy(), buckets)
                 column = pa.array([c.tobytes() for c in codes], pa.binary())
                 yield pa.record_batch([batch["node"], pa.array(bucket), column], names=["node", "bucket", "code"])
@@ -378,7 +396,8 @@ def _with_reverse(width: int):
         parts = [inbox.passed_on(row) for row in range(len(lists.nodes))]
         more = np.concatenate(parts).astype(np.int64)
         row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        sims = np.einsum("ij,ij->i", inbox.codes[more].astype(np.float32), lists.own[row].astype(np.float32))
+        theirs = inbox.codes[more].astype(np.float32)
+        sims = np.einsum("ij,ij->i", theirs, lists.own[row].astype(np.float32) - 0.5 * theirs)
         rows, ids = np.r_[lists.row, row], np.r_[lists.ids, inbox.src[more]]
         sims, codes = np.r_[lists.sims, sims], np.concatenate([lists.codes, inbox.codes[more]])
         best = _nearest(rows, ids, sims, DEGREE + REVERSE)
@@ -454,29 +473,48 @@ def _narrow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
+def _entries(index: Index) -> pa.Table:
+    """The entries and their lists (node, code, ids, codes, long), at most ENTRIES + LONGEST; some are both."""
+    some = index.nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(ENTRIES)
+    most = index.nodes.orderBy(F.desc(_length(F.col("vector"))), "node").select("node").limit(LONGEST)
+    chosen = some.withColumn("long", F.lit(0)).union(most.withColumn("long", F.lit(1)))
+    rows = index.graph.select("node", "code", "ids", "codes").join(F.broadcast(chosen), "node")
+    return rows.orderBy("long", "node").toArrow()
+
+
 def _beams(index: Index, queries: DataFrame) -> DataFrame:
-    """First beams: the query's own node, if it has one, and the nearest entries."""
-    width, longest = index.width, index.longest
-    entries = index.coded.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).toArrow()
-    ids, codes = entries["node"].to_numpy(), _floats(entries["code"].to_pylist(), width).astype(np.float32)
+    """First beams: the query's own node, if it has one, and the nearest entries with their neighbours."""
+    width = index.width
+    table = _entries(index)
+    ids, codes = table["node"].to_numpy(), _floats(table["code"].to_pylist(), width)
+    groups = [np.flatnonzero(table["long"].to_numpy() == g) for g in (0, 1)]
+    their_ids = [np.frombuffer(b, np.int64) for b in table["ids"].to_pylist()]
+    their_codes = [_floats([b], width) for b in table["codes"].to_pylist()]
 
     def begin(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch["vector"].flatten().to_numpy().reshape(batch.num_rows, width - 1)
-            scale = np.maximum(np.sqrt((values**2).sum(axis=1)), 1e-300)
+            values = values / np.maximum(np.abs(values).max(axis=1, keepdims=True), 1e-300)
+            scale = np.sqrt((values**2).sum(axis=1))
             own = np.c_[values / scale[:, None], np.zeros(len(values))].astype(np.float16)
-            sims = own.astype(np.float32) @ codes.T
+            wide = own.astype(np.float32)
+            nearness = wide @ codes.astype(np.float32).T
             rows = []
             for i, query in enumerate(batch["query_id"].to_pylist()):
-                near = np.lexsort((ids, -sims[i]))[:ASKED]
-                mine, near_sims = ids[near], sims[i][near]
+                near = np.concatenate([g[np.lexsort((ids[g], -nearness[i][g]))[:ASKED]] for g in groups])
+                found = np.concatenate([ids[near], *(their_ids[e] for e in near)])
+                sims = np.concatenate([nearness[i][near], *(their_codes[e].astype(np.float32) @ wide[i] for e in near)])
+                asked = np.arange(len(found)) < len(near)
                 node = batch["node"][i].as_py()
                 if node is not None:
-                    others = mine != node
-                    mine, near_sims = np.r_[node, mine[others]], np.r_[np.float32(np.inf), near_sims[others]]
-                empty = np.zeros(len(mine), bool)
-                near_sims = near_sims.astype(np.float32)
-                rows.append((query, own[i].tobytes(), mine.astype(np.int64).tobytes(), near_sims.tobytes(), empty.tobytes()))
+                    others = found != node
+                    found, sims = np.r_[node, found[others]], np.r_[np.float32(np.inf), sims[others]]
+                    asked = np.r_[False, asked[others]]
+                # Of equal ids the first stays, so entries stay asked.
+                first = np.sort(np.unique(found, return_index=True)[1])
+                best = first[np.lexsort((found[first], -sims[first]))][:BEAM]
+                found, sims = found[best].astype(np.int64), sims[best].astype(np.float32)
+                rows.append((query, own[i].tobytes(), found.tobytes(), sims.tobytes(), asked[best].tobytes()))
             kinds = [pa.int64(), *[pa.binary()] * 4]
             names = ["query_id", "code", "ids", "sims", "asked"]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -506,7 +544,8 @@ def search(index: Index, queries: DataFrame, k: int, id_column: str, vector_colu
     asked = scratch.write(asked.join(known, F.col("vector") == F.col("its"), "left").drop("its"))
     graph = index.graph.repartition(max(1, buckets), "bucket").persist(StorageLevel.DISK_ONLY)
     beams = scratch.write(_beams(index, asked))
-    for _ in range(MOST_ROUNDS):
+    # A node that leaves a beam never comes back, so every beam is asked out at some time.
+    while True:
         questions = beams.mapInArrow(_ask(width, buckets), _QUESTION)
         replies = graph.groupBy("bucket").cogroup(questions.groupBy("bucket")).applyInArrow(_reply(width), _REPLY)
         lists = replies.groupBy("query_id").agg(

@@ -59,3 +59,40 @@ def test_few_rows(spark):
     got = sorted((r.query_id, r["rank"], r.vec_id) for r in ann.nearest(few, few.filter("vec_id = 0"), 20).collect())
     assert got == [(0, 1, 1), (0, 2, 2)]
     assert ann.nearest(few.limit(0), few, 20).count() == 0
+
+
+@pytest.mark.parametrize("factor", [1e4, 1e7])
+def test_few_very_long_vectors(spark, monkeypatch, factor):
+    """A few vectors that are much longer than the rest cost the others nothing, and are found."""
+    monkeypatch.setattr(ann, "BUCKET_NODES", 400)
+    monkeypatch.setattr(ann, "ROUNDS", 3)
+    vectors = make(1500)
+    for i in (3, 700, 701, 1203):
+        vectors[i] = [x * factor for x in vectors[i]]
+    frame = spark.createDataFrame(list(vectors.items()), SCHEMA)
+    got = {}
+    for r in ann.nearest(frame, frame.filter("vec_id % 50 = 0"), 10).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    wanted = {q: {i for i, _ in brute(vectors, q, 10)} for q in vectors if q % 50 == 0}
+    assert sum(len(got[q] & want) for q, want in wanted.items()) >= 0.95 * 10 * len(wanted)
+    long = {3, 700, 701, 1203}
+    assert all(got[q] >= want & long for q, want in wanted.items())
+
+
+def test_recall_of_the_query(spark):
+    """The registered query at its own settings, against all inner products."""
+    from broadsheet.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").toArrow()
+    ids, values = table["vec_id"].to_numpy(), np.array(table["embedding"].to_pylist(), float)
+    got = {}
+    for r in queries.op1_nearest_neighbours(spark, sf).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == {int(i) for i in ids if i % 20 == 0}
+    hits = 0
+    for query, found in got.items():
+        scores = values @ values[ids == query][0]
+        order = [int(i) for i in ids[np.lexsort((ids, -scores))] if i != query][:20]
+        hits += len(found & set(order))
+    assert hits >= 0.95 * 20 * len(got)
