@@ -23,9 +23,10 @@ from broadsheet.operators import links as L
 from broadsheet.operators import search as R
 from broadsheet.operators import silver as V
 from broadsheet.operators import upsert as P
+from broadsheet.plans import backfill, changes
 from broadsheet.plans import medallion as M
 from broadsheet.plans import retrieval
-from broadsheet.schemas import BRONZE, GOLD, GOLD_LINKS, RAW, SILVER, SILVER_LINKS, SITEMAP_URLS
+from broadsheet.schemas import BRONZE, GOLD, GOLD_LINKS, PROGRESS, RAW, SILVER, SILVER_LINKS, SITEMAP_URLS
 from broadsheet.session import prepare, scratch_path, stage
 from broadsheet.sources import posts as A
 from broadsheet.sources import tables as S
@@ -799,6 +800,44 @@ def q_stored_sitemap(spark, sf):
     return S.load_table(spark, layout.sitemap, SITEMAP_URLS).select("url", _stamp("last_modified"))
 
 
+def q_changed_layers(spark, sf):
+    """Article versions through all layers in two runs, the second touching one month only."""
+    layout = M.Layout.under(scratch_path(spark, "layers"))
+    versions = _bronze(spark, sf)
+    late = F.date_trunc("month", "date_modified") == F.lit("2024-03-01").cast("timestamp")
+    changes.load_changes(versions.filter(~late), layout, "first", A.length_probe, 8)
+    changes.load_changes(versions.filter(late), layout, "second", A.length_probe, 8)
+    gold = S.load_table(spark, layout.gold, GOLD).select("url", "date_modified", "total_content_words")
+    links = S.load_table(spark, layout.gold_links, GOLD_LINKS)
+    return gold.join(links.select("url", "date_modified", "link_status"), ["url", "date_modified"]).select(
+        "url", _stamp("date_modified"), "total_content_words", "link_status"
+    )
+
+
+def _backfilled(spark, sf) -> M.Layout:
+    """Pages of the months of two years loaded by the sitemap, then those of all years."""
+    layout = M.Layout.under(scratch_path(spark, "layers"))
+    posts = _posts(spark, sf)
+    urls = posts.select(F.col("doc_id").alias("page_id"), "url")
+    pages = stage(A.post_pages(posts).join(urls, "page_id"), "pages")
+    M.store_sitemap(_sitemap(spark, sf), layout)
+    listing = "https://blog.example.com/c1/post-1/"
+    backfill.load_open_months(spark, pages, layout, *month_window(2023, 1, 2024, 12, TODAY), listing, 24)
+    backfill.load_open_months(spark, pages, layout, *ALL_MONTHS, listing, 96)
+    return layout
+
+
+def q_backfill_raw(spark, sf):
+    raw = S.read_raw(spark, _backfilled(spark, sf).raw)
+    return raw.select("url", "title", _stamp("date_modified"))
+
+
+def q_backfill_progress(spark, sf):
+    """What each load of a month asked for and found; no month was loaded twice."""
+    progress = S.load_table(spark, _backfilled(spark, sf).progress, PROGRESS)
+    return progress.select(_long("year", "year"), _long("month", "month"), "n_urls", "n_found")
+
+
 def q_ingest_collection(spark, sf):
     """Articles of some months, then of all, upserted into one collection."""
     gold = L.as_gold(_silver(spark, sf))
@@ -1230,6 +1269,21 @@ def oracle_sql() -> dict[str, str]:
             CAST((SELECT sum(len(regexp_split_to_array(p, '\s+'))) FROM unnest(list_append({_TRIMMED}, alias))
               AS t(p)) AS BIGINT) AS total_content_words, a.link_status
           FROM fresh f JOIN audited a ON a.url = f.url AND a.date_modified = f.date_modified""",
+        "changed_layers": rf"""{posts}, {_LINKS}, monthly AS (
+            SELECT * EXCLUDE (rn) FROM (
+              SELECT *, row_number() OVER (
+                PARTITION BY url, date_trunc('month', date_modified) ORDER BY date_modified DESC) AS rn
+              FROM posts) WHERE rn = 1)
+          SELECT m.url, {_TS.format('m.date_modified')} AS date_modified,
+            CAST(coalesce((SELECT sum(len(regexp_split_to_array(p, '\s+'))) FROM unnest(content) AS t(p)), 0)
+              AS BIGINT) AS total_content_words, a.link_status
+          FROM monthly m JOIN audited a ON a.url = m.url AND a.date_modified = m.date_modified""",
+        "backfill_raw": f"""{posts} SELECT url, title, {_ts('date_modified')} FROM posts
+          WHERE url <> 'https://blog.example.com/c1/post-1/'""",
+        "backfill_progress": f"""{posts} SELECT CAST(year(date_modified) AS BIGINT) AS year,
+            CAST(month(date_modified) AS BIGINT) AS month, count(DISTINCT url) AS n_urls,
+            count(DISTINCT url) AS n_found
+          FROM posts WHERE url <> 'https://blog.example.com/c1/post-1/' GROUP BY ALL""",
         "stored_sitemap": f"{posts} {urls}",
         "stored_collection": f"{latest}, {_chunked('latest')} SELECT id, md5(content) AS digest FROM chunks",
         "ingest_collection": f"{latest}, {_chunked('latest')} SELECT id, md5(content) AS digest FROM chunks",

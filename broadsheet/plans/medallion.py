@@ -30,6 +30,8 @@ class Layout(NamedTuple):
     silver_links: str
     gold: str
     gold_links: str
+    touched: str
+    progress: str
 
     @classmethod
     def under(cls, base: str) -> Layout:

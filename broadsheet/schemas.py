@@ -78,6 +78,17 @@ GOLD_LINKS = T.StructType(
     ]
 )
 
+# Bookkeeping of the stored pipeline: article months a run touched, sitemap months loaded.
+TOUCHED = T.StructType([T.StructField("url", T.StringType()), *_MONTH_FIELDS])
+PROGRESS = T.StructType(
+    [
+        *_MONTH_FIELDS,
+        T.StructField("n_urls", T.LongType()),
+        T.StructField("n_found", T.LongType()),
+        T.StructField("digest", T.LongType()),
+    ]
+)
+
 AUTHORS = T.StructType([T.StructField("author", T.StringType())])
 
 CHUNK_METADATA = T.StructType(
@@ -101,6 +112,16 @@ CHUNK_DOCUMENTS = T.StructType(
     ]
 )
 
+QUARANTINE = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("row_id", T.StringType()),
+        T.StructField("content", T.StringType()),
+        T.StructField("failure", T.StringType()),
+        T.StructField("date_modified", T.TimestampType()),
+    ]
+)
+
 # Declared text limits of the gold tables and of the search store, and
 # the embedding size.
 GOLD_LIMITS = {

@@ -53,7 +53,7 @@ def apply_raw_schema(df: DataFrame) -> DataFrame:
     return apply_schema(df, RAW)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
@@ -70,7 +70,7 @@ def read_raw(spark: SparkSession, base: str, year: int | None = None, month: int
 
 def load_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table in its declared schema, or an empty one if it does not exist yet."""
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         return empty_like(spark, schema)
     return _stored(spark, path, schema).select(*schema.fieldNames())
 
@@ -93,7 +93,7 @@ def load_window(
     ts_col: str = "date_modified",
 ) -> DataFrame:
     """The rows of a stored table inside a window; only the folders of its months are read."""
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         return empty_like(spark, schema)
     inside = _stored(spark, path, schema).filter(_in_months(months_in(start, end)))
     return filter_window(inside, ts_col, start, end).select(*schema.fieldNames())
@@ -129,7 +129,7 @@ def write_raw(articles: DataFrame, base: str) -> None:
     """
     spark = articles.sparkSession
     incoming = new_versions(empty_like(spark, RAW), apply_raw_schema(articles))
-    if not _path_exists(spark, base):
+    if not path_exists(spark, base):
         save_table(incoming, base)
         return
     incoming = stage(incoming, "raw-incoming")
@@ -150,15 +150,25 @@ def stored_months_of(
     The distinct months come to the driver, at most one row per month of the calendar, and
     go back as a partition filter. Rows without a stamp have a partition of their own.
     """
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         return empty_like(spark, schema)
-    fields = [f for f in schema.fields if f.name not in MONTH]
-    months = [T.StructField(name, T.IntegerType()) for name in MONTH]
-    stored = spark.read.schema(T.StructType(fields + months)).parquet(path)
     touched = with_months(incoming, ts_col).select(*MONTH).distinct().collect()
-    dated = [r.year * 12 + r.month for r in touched if r.year is not None and r.month is not None]
+    return stored_in_months(spark, path, schema, [tuple(r) for r in touched])
+
+
+def stored_in_months(
+    spark: SparkSession, path: str, schema: T.StructType, months: list[tuple]
+) -> DataFrame:
+    """The stored rows of the (year, month) pairs; a pair with NULL means rows without a stamp."""
+    if not path_exists(spark, path):
+        return empty_like(spark, schema)
+    fields = [f for f in schema.fields if f.name not in MONTH]
+    stored = spark.read.schema(
+        T.StructType(fields + [T.StructField(name, T.IntegerType()) for name in MONTH])
+    ).parquet(path)
+    dated = [year * 12 + month for year, month in months if year is not None and month is not None]
     wanted = (F.col("year") * 12 + F.col("month")).isin(dated)
-    if len(dated) < len(touched):
+    if len(dated) < len(months):
         wanted = wanted | F.col("year").isNull() | F.col("month").isNull()
     return stored.filter(wanted).select(*schema.fieldNames())
 
@@ -184,7 +194,7 @@ def replace_stored_window(
     spark = new.sparkSession
     months = months_in(start, end)
     inside = with_months(new.filter(in_window(F.col(ts_col), start, end)), ts_col)
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         save_table(inside, path, ts_col)
         return
     stored = spark.read.schema(inside.schema).parquet(path).filter(_in_months(months))
@@ -193,11 +203,11 @@ def replace_stored_window(
     filled = {tuple(r) for r in result.select(*MONTH).distinct().collect()}
     for year, month in months:
         if (year, month) not in filled:
-            _drop_month(spark, path, year, month)
+            drop_month(spark, path, year, month)
     save_table(result, path, ts_col, mode="overwrite")
 
 
-def _drop_month(spark: SparkSession, path: str, year: int, month: int) -> None:
+def drop_month(spark: SparkSession, path: str, year: int, month: int) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year={year}/month={month}")
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
