@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -246,6 +247,16 @@ def q_sitemap_table_rows(spark, sf):
     return rows.select("url", _stamp("last_modified"))
 
 
+def q_sitemap_stamps(spark, sf):
+    """Stamps in the forms of several sites, with the form each was read by."""
+    tables = A.sitemap_tables(_posts(spark, sf), A.mixed_stamps())
+    return B.sitemap_stamps(tables).select("url", _stamp("last_modified"), "form")
+
+
+def q_rejected_stamps(spark, sf):
+    return B.rejected_stamps(A.sitemap_tables(_posts(spark, sf), A.mixed_stamps()))
+
+
 def q_exclude_urls(spark, sf):
     """Pages and their image links, without the images and the first listing page."""
     pages = _page_table(spark, sf)
@@ -858,6 +869,40 @@ def q_stored_collection(spark, sf):
     return stored.select("id", F.md5("content").alias("digest"))
 
 
+def _refusing_embedder():
+    """Refuses a batch when the hash of a text in it begins with 0: about one text of sixteen."""
+    plain = C.hashing_embedder(VECTOR_SIZE)
+
+    def embed(texts):
+        refused = [h for h in (md5(t.encode("utf-8")).hexdigest() for t in texts) if h[0] == "0"]
+        if refused:
+            raise ValueError(f"refused {' '.join(refused)}")
+        return plain(texts)
+
+    return embed
+
+
+def _quarantined(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Report, collection and quarantine of a load with texts that cannot be embedded."""
+    gold = L.as_gold(_silver(spark, sf))
+    path, apart = scratch_path(spark, "collection"), scratch_path(spark, "quarantine")
+    report = retrieval.load_collection(
+        spark, gold, path, _refusing_embedder(), VECTOR_SIZE, *ALL_MONTHS, quarantine_path=apart
+    )
+    return report, S.load_table(spark, path, C.CHUNK_DOCUMENTS), S.load_table(spark, apart, C.QUARANTINE)
+
+
+def q_failed_report(spark, sf):
+    return _quarantined(spark, sf)[0]
+
+
+def q_quarantine(spark, sf):
+    """Chunks by what became of them: stored with their article, or refused and why."""
+    _, stored, quarantine = _quarantined(spark, sf)
+    kept = stored.select("id", F.lit(None).cast("string").alias("failure"))
+    return kept.unionByName(quarantine.select("id", "failure"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Articles per month, latest versions only, with the gaps shown."""
     return q_monthly_trend_filled(spark, "/root/testdata/sf0.001")
@@ -1092,6 +1137,13 @@ def oracle_sql() -> dict[str, str]:
           FROM posts""",
         "sitemap_locs": "SELECT url FROM pages",
         "sitemap_table_rows": f"{posts} {urls}",
+        "sitemap_stamps": f"""{posts} SELECT url, {_TS.format('stamp')} AS last_modified, form FROM (
+            SELECT url, CASE doc_id % 7 WHEN 4 THEN date_modified + INTERVAL 5 HOUR WHEN 5 THEN NULL
+                WHEN 6 THEN date_trunc('day', date_modified) ELSE date_modified END AS stamp,
+              CASE doc_id % 7 WHEN 0 THEN 'iso' WHEN 1 THEN 'd-MMM-yyyy[ HH:mm[:ss]][ xx]'
+                WHEN 2 THEN 'M-d-yyyy[ HH:mm[:ss]][ xx]' WHEN 3 THEN 'd-MMM-yyyy[ HH:mm[:ss]][ xx]'
+                WHEN 4 THEN 'yyyyMMdd''T''HHmmss[xx]' WHEN 6 THEN 'iso' END AS form FROM posts)""",
+        "rejected_stamps": f"{posts} SELECT url, 'mid-morning' AS stamp FROM posts WHERE doc_id % 7 = 5",
         "exclude_urls": """SELECT url FROM pages WHERE url <> 'https://thther.example.org/en/685'
             AND NOT regexp_matches(url, '(png|jpeg|jpg)$')""",
         "upsert_sitemap_urls": f"{posts} {urls}",
@@ -1260,6 +1312,18 @@ def oracle_sql() -> dict[str, str]:
             SELECT lexical.query_id, lexical.rank, chunks.*,
               row_number() OVER (PARTITION BY query_id, url ORDER BY rank) AS rn
             FROM lexical JOIN chunks ON lexical.id = chunks.id) WHERE rn = 1""",
+        "failed_report": f"""{latest}, {_chunked('latest')}, refused AS (
+            SELECT DISTINCT row_id FROM chunks WHERE md5(content)[1] = '0'),
+          totals AS (SELECT count(*) AS fetched, count(*) FILTER (len(content) = 0 OR content IS NULL) AS skipped
+            FROM latest),
+          made AS (SELECT count(*) AS chunks, count(DISTINCT row_id) AS processed FROM chunks
+            WHERE row_id NOT IN (SELECT row_id FROM refused))
+          SELECT fetched, processed, (SELECT count(*) FROM refused) AS failed, skipped, chunks,
+            CAST(0 AS BIGINT) AS unaccounted FROM totals CROSS JOIN made""",
+        "quarantine": f"""{latest}, {_chunked('latest')}, refused AS (
+            SELECT DISTINCT row_id FROM chunks WHERE md5(content)[1] = '0')
+          SELECT id, CASE WHEN md5(content)[1] = '0' THEN 'ValueError: refused ' || md5(content) END AS failure
+          FROM chunks WHERE md5(content)[1] = '0' OR row_id NOT IN (SELECT row_id FROM refused)""",
         "ingest_stream": all_articles,
         "stored_pipeline": rf"""{posts}, {_LINKS}, fresh AS (
             SELECT * EXCLUDE (rn) FROM (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..schemas import CHUNK_DOCUMENTS
+from ..schemas import CHUNK_DOCUMENTS, QUARANTINE
 from ..session import broadcast_if_small
 
 # Tokens per chunk and tokens shared with the next chunk.
@@ -74,14 +75,12 @@ def chunk_tokens(
     return cut.filter(F.col("chunk") != "")
 
 
-class Codec:
+class Codec(Protocol):
     """An encoder of texts to token ids and back, made anew in each Python worker."""
 
-    def encode(self, text: str) -> list[int]:
-        raise NotImplementedError
+    def encode(self, text: str) -> list[int]: ...
 
-    def decode(self, ids: list[int]) -> str:
-        raise NotImplementedError
+    def decode(self, ids: list[int]) -> str: ...
 
 
 def chunk_encoded(
@@ -162,6 +161,77 @@ def embed_chunks(
     )
 
 
+def _embed_parts(texts: list[str], embed: Embed, dimension: int) -> tuple[list, list]:
+    """Per text its vector or the reason it has none; failing parts of the batch are halved."""
+    vectors, reasons = [None] * len(texts), [None] * len(texts)
+    parts = [(0, len(texts))] if texts else []
+    while parts:
+        first, last = parts.pop()
+        try:
+            found = embed(texts[first:last])
+        except Exception as error:  # whatever the function of the caller may raise
+            if last - first == 1:
+                reasons[first] = f"{type(error).__name__}: {error}"
+            else:
+                middle = (first + last) // 2
+                parts += [(middle, last), (first, middle)]
+            continue
+        found = np.asarray(found, dtype=np.float32)
+        if found.shape != (last - first, dimension):
+            raise ValueError(
+                f"expected vectors of shape {(last - first, dimension)}, got {found.shape}"
+            )
+        finite = np.isfinite(found).all(axis=1)
+        for place in range(first, last):
+            if finite[place - first]:
+                vectors[place] = found[place - first]
+            else:
+                reasons[place] = "vector with a number that is not finite"
+    return vectors, reasons
+
+
+def embed_apart(
+    documents: DataFrame, embed: Embed, dimension: int, content_col: str = "content"
+) -> DataFrame:
+    """Adds ``dense_vector`` and ``failure``, of which one is NULL.
+
+    A batch the function refuses is halved until the failing texts stand alone, so one bad text
+    costs two calls per halving and no other text its vector. A NULL text counts as an empty
+    one. Vectors of another shape are no matter of a text: they fail the task.
+    """
+
+    def run(texts: pa.Array) -> pa.Array:
+        values = [v or "" for v in texts.to_pylist()]
+        vectors, reasons = _embed_parts(values, embed, dimension)
+        lists = pa.array(vectors, pa.list_(pa.float32()))
+        return pa.StructArray.from_arrays(
+            [lists, pa.array(reasons, pa.string())], ["dense_vector", "failure"]
+        )
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    answer = F.arrow_udf(run, "struct<dense_vector:array<float>,failure:string>")
+    answered = documents.withColumn("_answer", answer(F.col(content_col)))
+    kept = [F.col(f"`{c}`") for c in documents.columns if c not in ("dense_vector", "failure")]
+    return answered.select(*kept, "_answer.dense_vector", "_answer.failure")
+
+
+def set_failed_apart(embedded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents of articles whose every chunk has a vector, and the failing chunks.
+
+    An article counts as a whole: without one of its chunks none of the others is kept.
+    """
+    failing = embedded.filter(F.col("failure").isNotNull())
+    failed = failing.select(F.col("metadata.row_id").alias("_failed")).distinct()
+    whole = embedded.join(
+        broadcast_if_small(failed),
+        F.col("metadata.row_id").eqNullSafe(F.col("_failed")),
+        "left_anti",
+    )
+    stamp = F.to_timestamp("metadata.date_modified").alias("date_modified")
+    quarantine = failing.select("id", "metadata.row_id", "content", "failure", stamp)
+    return whole.drop("failure"), quarantine.select(*QUARANTINE.fieldNames())
+
+
 def hashing_embedder(dimension: int) -> Embed:
     """Deterministic stand-in for an embedding service: hashed word counts at unit length."""
 
@@ -255,6 +325,7 @@ def ingest_report(
 ) -> DataFrame:
     """One row: articles fetched, processed, failed, skipped and unaccounted for, and chunks.
 
+    ``failed`` has a ``row_id`` per failing chunk or article, such as the quarantine has.
     One aggregation by article id over the four inputs; partial sums keep it small.
     """
     accounts = _accounts(articles, documents, skipped, failed)

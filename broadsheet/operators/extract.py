@@ -191,10 +191,43 @@ def sitemap_locs(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     )
 
 
-def sitemap_table_rows(df: DataFrame, html_col: str = "html") -> DataFrame:
-    """``(url, last_modified)`` of the sitemap tables; rows with fewer than two values drop out.
+# Forms of sitemap stamps beside ISO ones, tried in this order. Where a day may be
+# a month the month stands first.
+ISO_FORM = "iso"
+STAMP_FORMS = (
+    "d-MMM-yyyy[ HH:mm[:ss]][ xx]",
+    "MMM-d-yyyy[ HH:mm[:ss]][ xx]",
+    "d MMM yyyy[ HH:mm[:ss]][ xx]",
+    "M-d-yyyy[ HH:mm[:ss]][ xx]",
+    "d-M-yyyy[ HH:mm[:ss]][ xx]",
+    "yyyyMMdd'T'HHmmss[xx]",
+)
+
+
+def parse_stamp(stamp: Column) -> Column:
+    """``(parsed, form)`` of a free-form stamp by the first form that fits, else NULL.
+
+    Names of weekdays in front are passed over; GMT, UTC and Z are the zone of a stamp without
+    one. Expressions only, and a later form is tried only for texts no earlier one fits.
+    """
+    plain = F.regexp_replace(F.trim(stamp), r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +", "")
+    zoned = F.regexp_replace(plain, r"(?i) +(gmt|utc|z)$", " +0000")
+    tried = [(iso_text(plain).try_cast("timestamp"), ISO_FORM)]
+    tried += [(F.try_to_timestamp(zoned, F.lit(form)), form) for form in STAMP_FORMS]
+    return F.coalesce(
+        *[
+            F.when(value.isNotNull(), F.struct(value.alias("parsed"), F.lit(form).alias("form")))
+            for value, form in tried
+        ]
+    )
 
-    A cell with an anchor gives the url, a cell whose text has a dash the stamp.
+
+def sitemap_stamps(df: DataFrame, html_col: str = "html") -> DataFrame:
+    """``(url, stamp, last_modified, form)`` of the sitemap tables.
+
+    A cell with an anchor gives the url, a cell whose text has a dash the stamp; rows with
+    fewer than two values drop out. ``form`` tells by which form the stamp was read; both it
+    and ``last_modified`` are NULL for stamps no form fits.
     """
     rows_type = pa.list_(pa.struct([("links", _STRINGS), ("texts", _STRINGS)]))
     read = _per_page(
@@ -202,16 +235,25 @@ def sitemap_table_rows(df: DataFrame, html_col: str = "html") -> DataFrame:
     )
     rows = df.select(F.explode(read(html_col)).alias("row"))
     stamps = F.filter(F.col("row.texts"), lambda t: t.contains("-"))
-    return (
-        rows.select(
-            F.try_element_at("row.links", F.lit(1)).alias("url"),
-            F.try_element_at(stamps, F.lit(1)).alias("stamp"),
-        )
-        .filter(F.col("url").isNotNull() & F.col("stamp").isNotNull())
-        .select("url", iso_text(F.col("stamp")).try_cast("timestamp").alias("last_modified"))
+    cells = rows.select(
+        F.try_element_at("row.links", F.lit(1)).alias("url"),
+        F.try_element_at(stamps, F.lit(1)).alias("stamp"),
+    ).filter(F.col("url").isNotNull() & F.col("stamp").isNotNull())
+    return cells.withColumn("_read", parse_stamp(F.col("stamp"))).select(
+        "url", "stamp", F.col("_read.parsed").alias("last_modified"), F.col("_read.form").alias("form")
     )
 
 
+def sitemap_table_rows(df: DataFrame, html_col: str = "html") -> DataFrame:
+    """``(url, last_modified)`` of the sitemap tables, with NULL for stamps no form fits."""
+    return sitemap_stamps(df, html_col).select("url", "last_modified")
+
+
+def rejected_stamps(df: DataFrame, html_col: str = "html") -> DataFrame:
+    """``(url, stamp)`` of the rows whose stamp no form fits."""
+    return sitemap_stamps(df, html_col).filter(F.col("form").isNull()).select("url", "stamp")
+
+
 # Endings of urls that are not articles.
 IMAGE_SUFFIXES = ("png", "jpeg", "jpg")
 

@@ -13,7 +13,7 @@ from ..operators import chunks as C
 from ..operators.search import bm25_index, save_bm25_index
 from ..schemas import CHUNK_DOCUMENTS
 from ..session import stage
-from ..sources.tables import save_table, stored_months_of
+from ..sources.tables import replace_stored_window, save_table, stored_months_of
 
 
 def ingest(
@@ -26,15 +26,23 @@ def ingest(
 ) -> tuple[DataFrame, DataFrame]:
     """The collection after the articles of the window were upserted, and the run's report.
 
-    The new documents are written once before use, so each text is embedded once.
+    The new documents are written once before use, so each text is embedded once. Articles with
+    a chunk that ``embed`` refuses are counted as failed; what the collection holds of them stays.
     """
     articles = gold if start is None else filter_window(gold, "date_modified", start, end)
+    whole, quarantine, skipped = _embedded(articles, embed, dimension)
+    report = C.ingest_report(articles, whole, skipped, quarantine)
+    merged = C.upsert_documents(collection, whole.select(*collection.columns))
+    return merged, report
+
+
+def _embedded(articles: DataFrame, embed: C.Embed, dimension: int):
+    """Documents of whole articles, failing chunks and skipped articles."""
     usable, skipped = C.skip_blank(articles)
     documents = C.build_chunk_documents(C.chunk_tokens(usable))
-    embedded = stage(C.embed_chunks(documents, embed, dimension), "embedded")
-    report = C.ingest_report(articles, embedded, skipped)
-    merged = C.upsert_documents(collection, embedded.select(*collection.columns))
-    return merged, report
+    embedded = stage(C.embed_apart(documents, embed, dimension), "embedded")
+    whole, quarantine = C.set_failed_apart(embedded)
+    return whole.select(*CHUNK_DOCUMENTS.fieldNames()), quarantine, skipped
 
 
 def load_collection(
@@ -45,24 +53,25 @@ def load_collection(
     dimension: int,
     start: datetime,
     end: datetime,
+    quarantine_path: str | None = None,
 ) -> DataFrame:
     """Upserts the articles of the window into the stored collection; returns the report.
 
     Documents lie by month of their article, whose stamp is part of their id, so a document
-    and its replacement share a month: only the months of the window are rewritten.
+    and its replacement share a month: only the months of the window are rewritten. The chunks
+    that could not be embedded replace those of the window in the quarantine, if it has a path;
+    a run over the same window after the cause is gone empties it.
     """
     articles = filter_window(gold, "date_modified", start, end)
-    usable, skipped = C.skip_blank(articles)
-    documents = C.build_chunk_documents(C.chunk_tokens(usable))
-    embedded = stage(
-        C.embed_chunks(documents, embed, dimension).select(*CHUNK_DOCUMENTS.fieldNames()), "embedded"
-    )
+    embedded, quarantine, skipped = _embedded(articles, embed, dimension)
     month_of = F.to_timestamp("metadata.date_modified")
     dated = embedded.withColumns(year_month(month_of))
     stored = stored_months_of(spark, path, CHUNK_DOCUMENTS, dated)
     merged = stage(C.upsert_documents(stored, embedded), "collection")
     save_table(merged.withColumns(year_month(month_of)), path, mode="overwrite")
-    return C.ingest_report(articles, embedded, skipped)
+    if quarantine_path is not None:
+        replace_stored_window(quarantine, quarantine_path, start, end)
+    return C.ingest_report(articles, embedded, skipped, quarantine)
 
 
 def publish_index(

@@ -130,15 +130,31 @@ def sitemap_documents(rows: DataFrame, id_col: str, url_col: str = "url") -> Dat
     )
 
 
-def sitemap_tables(articles: DataFrame) -> DataFrame:
+def mixed_stamps() -> Column:
+    """The modification stamp as different sites write it, by the id of the document."""
+    stamp = F.col("date_modified")
+    forms = [
+        F.date_format(stamp, "yyyy-MM-dd HH:mm XXX"),
+        F.date_format(stamp, "d-MMM-yyyy HH:mm"),
+        F.date_format(stamp, "MM-dd-yyyy HH:mm:ss"),
+        F.date_format(stamp, "E, dd-MMM-yyyy HH:mm:ss 'GMT'"),
+        F.date_format(stamp, "yyyyMMdd'T'HHmmss'-0500'"),
+        F.lit("mid-morning"),
+        F.date_format(stamp, "yyyy-MM-dd"),
+    ]
+    return F.element_at(F.array(*forms), (F.col("doc_id") % len(forms) + 1).cast("int"))
+
+
+def sitemap_tables(articles: DataFrame, stamp: Column | None = None) -> DataFrame:
     """``html``: urls and stamps written as sitemap tables; ids bound the size of each."""
+    written = F.date_format("date_modified", "yyyy-MM-dd HH:mm XXX") if stamp is None else stamp
     row = F.concat(
         F.lit('<tr><td><a href="'),
         _escaped(F.col("url")),
         F.lit('">'),
         _escaped(F.col("url")),
         F.lit("</a></td><td>3</td><td> "),
-        F.date_format("date_modified", "yyyy-MM-dd HH:mm XXX"),
+        written,
         F.lit(" </td></tr>"),
     )
     return (

@@ -2,6 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from broadsheet.operators import extract as B
 from broadsheet.schemas import RAW
@@ -192,3 +193,28 @@ def test_pages_are_parsed_once(spark):
     plan = B.extract_articles(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
     assert plan.count("from_json") == 1
+
+
+def test_free_forms_of_stamps(spark):
+    iso, (named, month_name, spaced, month, day, packed) = B.ISO_FORM, B.STAMP_FORMS
+    cases = [
+        ("2024-01-02 10:20 +00:00", "2024-01-02 10:20:00", iso),
+        (" 2024-01-02T10:20:30+02:00 ", "2024-01-02 08:20:30", iso),
+        ("2-Jan-2024 10:20", "2024-01-02 10:20:00", named),
+        ("Tue, 02-Jan-2024 10:20:30 GMT", "2024-01-02 10:20:30", named),
+        ("jan-2-2024", "2024-01-02 00:00:00", month_name),
+        ("Tuesday 2 Jan 2024 10:20:30 -0500", "2024-01-02 15:20:30", spaced),
+        ("01-02-2024 10:20", "2024-01-02 10:20:00", month),
+        ("13-02-2024", "2024-02-13 00:00:00", day),
+        ("20240102T102030-0500", "2024-01-02 15:20:30", packed),
+        ("30-02-2024", None, None),
+        ("-", None, None),
+        ("", None, None),
+        (None, None, None),
+    ]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, s string")
+    got = df.select("i", B.parse_stamp(F.col("s")).alias("r")).select(
+        "i", F.date_format("r.parsed", "yyyy-MM-dd HH:mm:ss").alias("t"), "r.form"
+    )
+    for row in got.collect():
+        assert (row.t, row.form) == cases[row.i][1:], cases[row.i]

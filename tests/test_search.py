@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter, defaultdict
+from datetime import datetime
 
 import numpy as np
 import pytest
@@ -16,6 +17,7 @@ from broadsheet.operators import chunks as C
 from broadsheet.operators import search as R
 from broadsheet.plans import retrieval
 from broadsheet.schemas import CHUNK_DOCUMENTS
+from broadsheet.sources import tables as S
 from conftest import TESTDATA
 
 ARTICLE = (
@@ -118,6 +120,62 @@ def test_wrong_vector_shape_fails(spark):
         C.embed_chunks(spark.createDataFrame([("a",)], "content string"), C.hashing_embedder(4), 5).collect()
 
 
+@pytest.fixture
+def picky():
+    """Refuses every batch that holds a text with an x; a y gives a vector that is not finite."""
+
+    def embed(texts):
+        if any("x" in t for t in texts):
+            raise RuntimeError(f"no {len(texts)}")
+        return [[float("nan") if "y" in t else len(t), 1.0] for t in texts]
+
+    return embed
+
+
+@pytest.mark.parametrize("texts", [[], ["x"], ["a", "x"], ["x"] * 5, ["a", "by", "cx", None, "", "d"] * 7])
+def test_failing_texts_stand_alone(spark, picky, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, content string").coalesce(1)
+    rows = C.embed_apart(df.withColumn("failure", F.lit("old")), picky, 2).orderBy("id").collect()
+    assert len(rows) == len(texts)
+    for row, text in zip(rows, (t or "" for t in texts)):
+        if "x" in text:
+            assert row.dense_vector is None and row.failure == "RuntimeError: no 1"
+        elif "y" in text:
+            assert row.dense_vector is None and "finite" in row.failure
+        else:
+            assert row.dense_vector == [len(text), 1.0] and row.failure is None
+
+
+def test_bad_texts_cost_few_calls(picky):
+    calls = []
+
+    def embed(texts):
+        calls.append(len(texts))
+        return picky(texts)
+
+    vectors, reasons = C._embed_parts(["a"] * 300 + ["x"] + ["a"] * 211, embed, 2)
+    assert sum(r is not None for r in reasons) == 1 and len(calls) == 1 + 2 * 9
+
+
+def test_wrong_shape_is_not_set_apart(spark, picky):
+    with pytest.raises(Exception, match="expected vectors of shape"):
+        C.embed_apart(spark.createDataFrame([("a",)], "content string"), picky, 3).collect()
+
+
+def test_failed_articles_are_reported_and_kept_apart(spark, picky, tmp_path):
+    df = articles(spark, ["one two"], ["three x"], [" "], ["four"])
+    df = df.withColumn("date_modified", F.lit("2024-01-05 00:00:00").cast("timestamp"))
+    path, apart = str(tmp_path / "c"), str(tmp_path / "q")
+    window = datetime(2024, 1, 1), datetime(2024, 1, 31)
+    first = retrieval.load_collection(spark, df, path, picky, 2, *window, quarantine_path=apart).first()
+    assert first.asDict() == dict(fetched=4, processed=2, failed=1, skipped=1, chunks=2, unaccounted=0)
+    held = S.load_table(spark, apart, C.QUARANTINE).collect()
+    assert [(r.id, r.row_id, r.content, r.failure) for r in held] == [("r1_0", "r1", "three x", "RuntimeError: no 1")]
+    mended = retrieval.load_collection(spark, df, path, lambda t: [[1.0, 1.0]] * len(t), 2, *window, quarantine_path=apart)
+    assert mended.first().failed == 0 and S.load_table(spark, path, CHUNK_DOCUMENTS).count() == 3
+    assert S.load_table(spark, apart, C.QUARANTINE).count() == 0
+
+
 # --- dense ---
 
 
