@@ -180,43 +180,50 @@ def version_counts(
     """Rows of keys with several versions, with ``n_versions`` and ``recency`` (1 = newest).
 
     ``recency`` is 1 plus the number of strictly newer rows of the key. It is counted over
-    (key, version) totals in two steps, days and then stamps within a day, so that even a
-    key with very many versions is never ordered in one group.
+    (key, version) totals in three steps: days, seconds within a day, stamps within a second.
+    So no ordered group is larger than the calendar allows, however many versions a key has in
+    all or on one day.
     """
-    day = F.to_date(version)
-    per_version = df.groupBy(key, version).agg(F.count(F.lit(1)).alias("_n"))
-    per_day = per_version.groupBy(key, day.alias("_day")).agg(F.sum("_n").alias("_day_n"))
-    newest_first = W.partitionBy(key).orderBy(F.col("_day").desc_nulls_last())
-    newer = newest_first.rowsBetween(W.unboundedPreceding, -1)
-    days = per_day.select(
-        F.col(key).alias("_day_key"),
-        F.col("_day").alias("_day_of"),
-        F.coalesce(F.sum("_day_n").over(newer), F.lit(0)).alias("_newer_days"),
-    )
-    totals = per_day.groupBy(F.col(key).alias("_total_key")).agg(
-        F.sum("_day_n").alias("n_versions")
+    day, second = F.to_date(version), F.date_trunc("second", version)
+    per_version = (
+        df.groupBy(key, version)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumns({"_day": day, "_second": second})
     )
+    per_second = per_version.groupBy(key, "_day", "_second").agg(F.sum("_n").alias("_n"))
+    per_day = per_second.groupBy(key, "_day").agg(F.sum("_n").alias("_n"))
+    totals = per_day.groupBy(F.col(key).alias("_total_key")).agg(F.sum("_n").alias("n_versions"))
     totals = totals.filter(F.col("n_versions") >= at_least)
 
-    within_day = (
-        W.partitionBy(key, "_day")
-        .orderBy(F.col(version).desc_nulls_last())
-        .rowsBetween(W.unboundedPreceding, -1)
+    def newer(rows: DataFrame, within: list[str], by: str, name: str) -> DataFrame:
+        before = W.partitionBy(*within).orderBy(F.col(by).desc_nulls_last())
+        counted = F.sum("_n").over(before.rowsBetween(W.unboundedPreceding, -1))
+        return rows.withColumn(name, F.coalesce(counted, F.lit(0)))
+
+    days = newer(per_day, [key], "_day", "_newer_days").select(
+        F.col(key).alias("_day_key"), F.col("_day").alias("_day_of"), "_newer_days"
     )
-    stamps = per_version.withColumn("_day", day).withColumn(
-        "_newer_today", F.coalesce(F.sum("_n").over(within_day), F.lit(0))
+    seconds = newer(per_second, [key, "_day"], "_second", "_newer_seconds").select(
+        F.col(key).alias("_second_key"), F.col("_second").alias("_second_of"), "_newer_seconds"
     )
+    stamps = newer(per_version, [key, "_second"], version, "_newer_stamps")
     same_day = F.col(key).eqNullSafe(F.col("_day_key")) & F.col("_day").eqNullSafe(
         F.col("_day_of")
     )
+    same_second = F.col(key).eqNullSafe(F.col("_second_key")) & F.col("_second").eqNullSafe(
+        F.col("_second_of")
+    )
     ranked = (
-        stamps.join(days, same_day)
+        stamps.join(seconds, same_second)
+        .join(days, same_day)
         .join(totals, F.col(key).eqNullSafe(F.col("_total_key")))
         .select(
             F.col(key).alias("_key"),
             F.col(version).alias("_version"),
             "n_versions",
-            (F.lit(1) + F.col("_newer_days") + F.col("_newer_today")).alias("recency"),
+            (
+                F.lit(1) + F.col("_newer_days") + F.col("_newer_seconds") + F.col("_newer_stamps")
+            ).alias("recency"),
         )
     )
     matches = df[key].eqNullSafe(ranked["_key"]) & df[version].eqNullSafe(ranked["_version"])

@@ -4,6 +4,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from broadsheet.functions.windows import filter_window, month_window, months_in
 from broadsheet.operators import upsert as P
@@ -140,6 +141,19 @@ def test_hot_url(spark):
     assert bag(stored)[("hot", at(7), "h")] == 1 and stored.count() == 6500
 
 
+def test_one_day_of_stamps_of_one_url(spark):
+    """Many versions on one day, some within the same second: ranked without a group of the day."""
+    df = spark.range(3000).select(
+        F.lit("hot").alias("url"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 250_000).alias("date_modified"),
+        F.col("id").cast("string").alias("title"),
+    )
+    counted = P.version_counts(df)
+    assert counted.filter("n_versions = 3000 AND recency = 3000 - int(title)").count() == 3000
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 3
+
+
 def test_month_window():
     today = date(2025, 3, 10)
     assert month_window(2023, 12, 2024, 12, today) == (datetime(2023, 12, 1), datetime(2024, 12, 31, 23, 59, 59))
