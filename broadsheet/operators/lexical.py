@@ -15,19 +15,26 @@ reads everything.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.ranking import Best
 from ..functions.text import analyze
-from ..session import scratch_path
+from ..session import broadcast_if_small, scratch_path
 from .search import (
+    BLOCK_CELLS,
     BM25_B,
     BM25_K1,
     DEFAULT_K,
+    MAX_QUERY_TERMS,
     SCORE_DIGITS,
     one_row_per_id,
     postings_of,
@@ -45,6 +52,14 @@ FREQUENT = 0.4
 #: Postings of rare terms per hit asked for that lead to the first documents of a query, and how many of
 #: the best of those documents per hit get their whole score.
 SEED_POSTINGS, SEED_DOCUMENTS = 100, 6
+#: Ids of replaced documents that are sent to every task, at most.
+MAX_GONE = 2_000_000
+#: Blocks looked up for the first documents that are sent to every task, at most.
+MAX_WANTED = 1_000_000
+#: Rows of terms and blocks a task of a search takes at once.
+ROWS_AT_ONCE = 20_000
+#: Documents of one partition of such tasks.
+DOCUMENTS_AT_ONCE = 8_192
 #: Scores nearer than this may be equal at the precision they are ranked at.
 MARGIN = 2 * 10.0**-SCORE_DIGITS
 
@@ -102,13 +117,35 @@ def open_index(spark: SparkSession, path: str) -> Index:
 
 def _live(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows (segment, id) that no newer segment has replaced or deleted."""
+    return rows.join(*_replaced(gone), "left_anti")
+
+
+def _replaced(gone: DataFrame) -> tuple[DataFrame, Column]:
     newer = gone.select(F.col("segment").alias("_newer"), F.col("id").alias("_gone"))
-    return rows.join(newer, (F.col("id") == F.col("_gone")) & (F.col("_newer") > F.col("segment")), "left_anti")
+    # Ids are few bytes next to the rows they take out, which need not move then.
+    newer = broadcast_if_small(newer, MAX_GONE)
+    return newer, (F.col("id") == F.col("_gone")) & (F.col("_newer") > F.col("segment"))
+
+
+@contextmanager
+def _open_files(spark: SparkSession, number: int):
+    """Lets a task of a partitioned write hold so many files open."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
-def _write(spark: SparkSession, path: str, segment: int, **tables: DataFrame) -> None:
+def _write(spark: SparkSession, path: str, segment: int, buckets: int = TERM_BUCKETS, **tables: DataFrame) -> None:
     for name, rows in tables.items():
-        if "term_bucket" in rows.columns:
+        if name == "postings":
+            # Postings stay where they were made; every task keeps a file per bucket open instead of sorting.
+            with _open_files(spark, buckets):
+                rows.write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/{name}/segment={segment}")
+        elif "term_bucket" in rows.columns:
             # A bucket with a frequent term is split, small ones share a file.
             rows = rows.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term")
             rows.write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/{name}/segment={segment}")
@@ -132,24 +169,74 @@ def _next(spark: SparkSession, path: str) -> int:
 
 
 def _by_length(counted: DataFrame) -> DataFrame:
-    """Adds ``block``, of documents next to each other by length. Written before it is used."""
-    spread = counted.repartitionByRange("doc_length", "id").sortWithinPartitions("doc_length", "id")
+    """Adds ``block``, of documents of one task next to each other by length. Written before it is used."""
+    spread = counted.sortWithinPartitions("doc_length", "id")
     return spread.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS))
 
 
+def _last_run(*numbers: np.ndarray) -> int:
+    """Where the last stretch of rows with equal numbers begins."""
+    if not len(numbers[0]):
+        return 0
+    other = np.flatnonzero(np.logical_or.reduce([n != n[-1] for n in numbers]))
+    return int(other[-1]) + 1 if len(other) else 0
+
+
+def _block_rows(docs: pa.Table) -> pa.RecordBatch:
+    """The postings of whole blocks, a row per block and term."""
+    lists, ids = docs["terms"].combine_chunks(), docs["id"].combine_chunks()
+    coded = lists.flatten().dictionary_encode()
+    row = np.repeat(np.arange(len(ids)), np.asarray(pc.list_value_length(lists)))
+    codes = np.asarray(coded.indices)
+    order = np.argsort(codes.astype(np.int64) * max(1, len(ids)) + row)
+    row, codes = row[order], codes[order]
+    block, length = np.asarray(docs["block"])[row], np.asarray(docs["doc_length"])[row]
+    tf = np.asarray(docs["tfs"].combine_chunks().flatten())[order]
+    new = (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])
+    starts = np.flatnonzero(np.r_[True, new]) if len(codes) else np.empty(0, np.int64)
+    entries = pa.StructArray.from_arrays(
+        [ids.take(pa.array(row)), pa.array(tf), pa.array(length)], names=["id", "tf", "doc_length"]
+    )
+    ends = np.r_[starts, len(codes)].astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            coded.dictionary.take(pa.array(codes[starts])).cast(pa.string()),
+            pa.array(block[starts]),
+            pa.array(np.diff(ends).astype(np.int64)),
+            pa.array(np.maximum.reduceat(tf, starts) if len(starts) else tf),
+            pa.array(np.minimum.reduceat(length, starts) if len(starts) else length),
+            pa.ListArray.from_arrays(pa.array(ends), entries),
+        ],
+        names=["term", "block", "n", "top_tf", "least_length", "entries"],
+    )
+
+
 def _blocks(forward: DataFrame, buckets: int) -> DataFrame:
-    """Postings in blocks of one term and some documents of like length."""
-    return (
-        postings_of(forward, "block")
-        .groupBy("term", "block")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("tf").alias("top_tf"),
-            F.min("doc_length").alias("least_length"),
-            F.collect_list(F.struct("id", "tf", "doc_length")).alias("entries"),
-        )
-        .withColumn("term_bucket", _bucket(F.col("term"), buckets))
+    """Postings in blocks of one term and some documents of like length.
+
+    The documents of a block follow each other in one file, so blocks are made where they lie. One that a
+    reader's split cuts becomes two rows with its number; a search takes them as one block.
+    """
+    kind = forward.schema["id"].dataType.simpleString()
+
+    def cut(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            whole = _last_run(np.asarray(held["block"]))
+            if whole:
+                yield _block_rows(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None and held.num_rows:
+            yield _block_rows(held)
+
+    rows = forward.select("id", "doc_length", "terms", "tfs", "block").mapInArrow(
+        cut,
+        "term string, block bigint, n bigint, top_tf bigint, least_length bigint, "
+        f"entries array<struct<id:{kind},tf:bigint,doc_length:bigint>>",
     )
+    return rows.withColumn("term_bucket", _bucket(F.col("term"), buckets))
 
 
 def _term_changes(new: DataFrame, dead: DataFrame | None, buckets: int) -> DataFrame:
@@ -201,7 +288,7 @@ def upsert(
         dead = _live(index.forward, index.gone).join(ids, "id", "left_semi")
         _write(spark, path, segment, gone=dead.select("id"))
         # Counted before and after the ids are known to be gone, from one stored list.
-        gone = spark.read.parquet(f"{path}/gone/segment={segment}")
+        gone = broadcast_if_small(spark.read.parquet(f"{path}/gone/segment={segment}"), MAX_GONE)
         dead = _live(index.forward, index.gone).join(gone, "id", "left_semi")
     else:
         dead = None
@@ -210,6 +297,7 @@ def upsert(
         spark,
         path,
         segment,
+        buckets,
         postings=_blocks(forward, buckets),
         terms=_term_changes(forward, dead, buckets),
         corpus=_corpus_changes(forward, dead),
@@ -246,6 +334,7 @@ def merge(spark: SparkSession, path: str, ratio: float = 1.0) -> list[int]:
         spark,
         path,
         number,
+        index.buckets,
         postings=_blocks(forward, index.buckets),
         terms=changes.join(bounds, "term", "left").select("term", "df", "top_tf", "least_length", "term_bucket"),
         corpus=of(index.corpus).agg(
@@ -268,6 +357,171 @@ class Found(NamedTuple):
     held: DataFrame
 
 
+class _Asked(NamedTuple):
+    """What a task knows of a query: its terms by number, the rarer ones and the frequent ones."""
+
+    rare: np.ndarray
+    rare_weights: np.ndarray
+    frequent: np.ndarray
+    frequent_weights: np.ndarray
+    floor: float
+    rest: float
+
+
+def _asked_of(table: pa.Table) -> tuple[pa.Array, pa.Array, list[_Asked]]:
+    """The distinct terms and queries of (query_id, term, weight, ceiling, floor, frequent), and each query's own."""
+    terms, queries = (table[c].combine_chunks().dictionary_encode() for c in ("term", "query_id"))
+    number, query = np.asarray(terms.indices), np.asarray(queries.indices)
+    weight, ceiling, floor = (np.asarray(table[c], np.float64) for c in ("weight", "ceiling", "floor"))
+    frequent = np.asarray(table["frequent"], bool)
+    order = np.argsort(query, kind="stable")
+    asked = []
+    for rows in np.split(order, np.flatnonzero(np.diff(query[order])) + 1) if len(order) else []:
+        often, seldom = rows[frequent[rows]], rows[~frequent[rows]]
+        asked.append(
+            _Asked(number[seldom], weight[seldom], number[often], weight[often], floor[rows[0]], ceiling[often].sum())
+        )
+    return terms.dictionary, queries.dictionary, asked
+
+
+def _best_of_blocks(
+    blocks: DataFrame,
+    dead: DataFrame | None,
+    terms: DataFrame,
+    k: int,
+    k1: float,
+    b: float,
+    mean_length: float,
+    n_tasks: int,
+) -> DataFrame:
+    """(query_id, id, score, step, n_blocks): the best ``k`` documents per query and task, without ``step``, and
+    how many blocks a query read in each step.
+
+    The blocks of the terms meet by their documents, each once whatever the number of queries. A query looks into
+    those of a group of documents if the heads allow a hit: its rarer terms first, the frequent ones for
+    documents that can still be hits.
+    """
+    words, queries, asked = _asked_of(terms.toArrow())  # the caller bounds its rows
+    n_words, kind = len(words), blocks.schema["entries"].dataType.elementType["id"].dataType.simpleString()
+    numbers = pa.table({"term": words.cast(pa.string()), "number": pa.array(np.arange(n_words), pa.int32())})
+    names = pa.table({"query": pa.array(np.arange(len(queries)), pa.int32()), "query_id": queries})
+    spark = blocks.sparkSession
+    rows = blocks.join(F.broadcast(spark.createDataFrame(numbers)), "term").select(
+        "segment",
+        "block",
+        "number",
+        F.col("top_tf").cast("int").alias("top_tf"),
+        F.col("least_length").cast("int").alias("least_length"),
+        F.col("entries.id").alias("ids"),
+        F.col("entries.tf").cast("array<int>").alias("tfs"),
+        F.col("entries.doc_length").cast("array<int>").alias("lengths"),
+    )
+    if dead is not None:
+        one = F.lit(1)
+        rows = rows.union(
+            dead.select("segment", "block", F.lit(-1), one, one, F.array("id"), F.array(one), F.array(one))
+        )
+
+    def impact(tf: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * length / mean_length))
+
+    def look(table: pa.Table, best: Best, read: np.ndarray) -> None:
+        """Whole groups of documents, in order."""
+        segment, number_of = np.asarray(table["segment"]), np.asarray(table["block"])
+        group = np.cumsum(np.r_[0, (segment[1:] != segment[:-1]) | (number_of[1:] != number_of[:-1])])
+        word = np.asarray(table["number"])
+        lists = table["ids"].combine_chunks()
+        row = np.repeat(np.arange(len(word)), np.asarray(pc.list_value_length(lists)))
+        coded = lists.flatten().dictionary_encode()
+        names_of = np.array(coded.dictionary.to_pylist(), dtype=object)
+        documents, document = np.unique(
+            group[row] * max(1, len(names_of)) + np.asarray(coded.indices), return_inverse=True
+        )
+        home, ids = documents // max(1, len(names_of)), names_of[documents % max(1, len(names_of))]
+        live = np.ones(len(documents), bool)
+        live[document[word[row] < 0]] = False
+        present = np.unique(word[word >= 0])
+        column = np.full(n_words + 1, len(present))  # terms that are not here share an empty column
+        column[present] = np.arange(len(present))
+        heads = np.zeros((group[-1] + 1, len(present) + 1))
+        known = np.flatnonzero(word >= 0)
+        most = impact(np.asarray(table["top_tf"], np.float64), np.asarray(table["least_length"], np.float64))
+        np.maximum.at(heads, (group[known], column[word[known]]), most[known])
+        parts = np.zeros((len(documents), len(present) + 1))
+        tf, length = (np.asarray(table[c].combine_chunks().flatten(), np.float64) for c in ("tfs", "lengths"))
+        known = np.flatnonzero(word[row] >= 0)
+        parts[document[known], column[word[row[known]]]] = impact(tf[known], length[known])
+        for query, own in enumerate(asked):
+            rare, often = column[own.rare], column[own.frequent]
+            top = heads[:, rare]
+            limit = top @ own.rare_weights + heads[:, often] @ own.frequent_weights
+            able = (limit > 0) & (limit + MARGIN >= own.floor)
+            if not able.any():
+                continue
+            read[0, query] += np.count_nonzero(top[able])
+            at = np.flatnonzero(able[home] & live)
+            score = parts[np.ix_(at, rare)] @ own.rare_weights
+            near = score + own.rest + MARGIN >= max(own.floor, best.floor[query])
+            at, score = at[near], score[near]
+            if len(often) and len(at):
+                read[1, query] += np.count_nonzero(heads[np.ix_(np.unique(home[at]), often)])
+                score = score + parts[np.ix_(at, often)] @ own.frequent_weights
+            hit = score > 0
+            best.offer(query, ids[at[hit]], np.round(score[hit], SCORE_DIGITS))
+
+    def scan(batches):
+        best, read = Best(len(asked), k), np.zeros((2, len(asked)), np.int64)
+        schema, held, waiting = None, [], 0
+
+        def bounded(table: pa.Table):
+            """Parts of whole groups whose matrices have a bounded size."""
+            words_here = len(pc.unique(table["number"])) + 1
+            size = max(1, BLOCK_CELLS // (words_here << BLOCK_BITS))
+            segment, number_of = np.asarray(table["segment"]), np.asarray(table["block"])
+            new = np.flatnonzero((segment[1:] != segment[:-1]) | (number_of[1:] != number_of[:-1])) + 1
+            cuts = np.r_[0, new[size - 1 :: size], table.num_rows]
+            for first, last in zip(cuts[:-1], cuts[1:]):
+                if last > first:
+                    yield table.slice(first, last - first)
+
+        for batch in batches:
+            schema = batch.schema
+            held.append(batch)
+            waiting += batch.num_rows
+            if waiting >= ROWS_AT_ONCE:
+                table = pa.Table.from_batches(held)
+                whole = _last_run(np.asarray(table["segment"]), np.asarray(table["block"]))
+                for piece in bounded(table.slice(0, whole)):
+                    look(piece, best, read)
+                held, waiting = table.slice(whole).to_batches(), 0
+        if held:
+            for piece in bounded(pa.Table.from_batches(held)):
+                look(piece, best, read)
+        if schema is None:
+            return
+        id_type = schema.field("ids").type.value_type
+        found = best.table(
+            np.arange(len(asked)), pa.schema([("query", pa.int32()), ("id", id_type), ("score", pa.float64())])
+        )
+        n, m = found.num_rows, 2 * len(asked)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([found.column(0), pa.array(np.tile(np.arange(len(asked)), 2), pa.int32())]),
+                pa.concat_arrays([found.column(1), pa.nulls(m, id_type)]),
+                pa.concat_arrays([found.column(2), pa.nulls(m, pa.float64())]),
+                pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(np.repeat([3, 4], len(asked)), pa.int32())]),
+                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(read.ravel(), pa.int64())]),
+            ],
+            names=["query", "id", "score", "step", "n_blocks"],
+        )
+
+    met = rows.repartition(n_tasks, "segment", "block").sortWithinPartitions("segment", "block", "number")
+    found = met.mapInArrow(scan, f"query int, id {kind}, score double, step int, n_blocks bigint")
+    return found.join(F.broadcast(spark.createDataFrame(names)), "query").select(
+        "query_id", "id", "score", "step", "n_blocks"
+    )
+
+
 def pruned_topk(
     index: Index,
     queries: DataFrame,
@@ -280,7 +534,7 @@ def pruned_topk(
 ) -> Found:
     """The ``k`` best documents per query by BM25, the same as :func:`..search.bm25_topk` finds.
 
-    A query without a known term has no hits; queries may be many, none of their terms are collected.
+    A query without a known term has no hits; queries may be many, their terms are collected in parts of bounded size.
     """
     spark = queries.sparkSession
     base, made = scratch_path(spark, "lexical"), iter(range(99))
@@ -344,6 +598,7 @@ def pruned_topk(
         """The blocks of other terms in which documents stand, and all parts of those documents' scores."""
         places = found.select("query_id", "segment", "block").distinct()
         wanted = stored(rows.select("query_id", "term", "weight").join(places, "query_id"))
+        wanted = broadcast_if_small(wanted, MAX_WANTED)  # else all blocks move
         read = blocks.join(wanted, ["term", "segment", "block"])
         few = found.select("query_id", "id")
         parts = scored(read).join(few, ["query_id", "id"], "left_semi").select("query_id", "id", "part")
@@ -359,31 +614,26 @@ def pruned_topk(
     others, parts = whole(weighted.filter(~first), best)
     floors = stored(kth(summed(parts)))
     known = stored(weighted.join(floors, "query_id", "left").fillna(0.0, ["floor"]))
-    # 2. Groups of documents that can reach the floor by the heads of their blocks.
-    most = F.col("weight") * impact(F.col("top_tf"), F.col("least_length"))
-    heads = of_terms(known).groupBy("query_id", "segment", "block")
-    able = heads.agg(F.sum(most).alias("most"), F.first("floor").alias("floor"))
-    able = stored(able.filter(F.col("most") + MARGIN >= F.col("floor")).select("query_id", "segment", "block"))
-    # 3. Their rarer terms; the frequent ones cannot reach the floor without them.
+    # 2. to 4. In the tasks that gather the blocks of the same documents, each block once for all queries.
     frequent = F.col("below") + MARGIN < FREQUENT * F.col("floor")
-    rare = of_terms(known.filter(~frequent)).join(able, ["query_id", "segment", "block"], "left_semi")
-    sums = stored(added(scored(rare)))
-    limits = known.groupBy("query_id", "floor").agg(
-        F.coalesce(F.sum(F.when(frequent, F.col("ceiling"))), F.lit(0.0)).alias("rest")
-    )
-    raised = kth(sums).withColumnRenamed("floor", "raised")
-    limits = limits.join(raised, "query_id", "left").select(
-        "query_id", "rest", F.greatest("floor", F.coalesce("raised", F.lit(0.0))).alias("floor")
+    terms = known.filter(F.col("query_id").isNotNull()).select(
+        "query_id", "term", "weight", "ceiling", "floor", frequent.alias("frequent")
     )
-    candidates = sums.join(limits, "query_id")
-    candidates = stored(candidates.filter(F.col("score") + F.col("rest") + MARGIN >= F.col("floor")))
-    # 4. What the frequent terms add to documents that can still be hits.
-    more, parts = whole(known.filter(frequent), candidates)
-    hits = top_k(summed(parts), k).select("query_id", "id", "score", "rank")
+    n_terms = terms.count()
+    n_parts = 1 if n_terms <= MAX_QUERY_TERMS else 2 * n_terms // MAX_QUERY_TERMS + 1
+    part = F.pmod(F.xxhash64("query_id"), F.lit(n_parts))
+    n_tasks = max(spark.sparkContext.defaultParallelism, n_docs // DOCUMENTS_AT_ONCE)
+    dead = None if gone.isEmpty() else index.forward.select("segment", "block", "id").join(*_replaced(gone), "left_semi")
+    passes = [
+        _best_of_blocks(blocks, dead, terms.filter(part == i), k, k1, b, mean_length, n_tasks) for i in range(n_parts)
+    ]
+    best = stored(reduce(DataFrame.union, passes))
+    hits = top_k(best.filter("step IS NULL").select("query_id", "id", "score"), k)
+    steps = best.filter("n_blocks > 0").groupBy("query_id", "step").agg(F.sum("n_blocks").alias("n_blocks"))
 
     def counted(rows: DataFrame, step: int) -> DataFrame:
         return rows.groupBy("query_id").agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n_blocks"))
 
-    read = reduce(DataFrame.union, [counted(rows, i + 1) for i, rows in enumerate((seeds, others, rare, more))])
+    read = counted(seeds, 1).union(counted(others, 2)).union(steps)
     held = of_terms(weighted).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_blocks"))
-    return Found(hits, read, held)
+    return Found(hits.select("query_id", "id", "score", "rank"), read, held)

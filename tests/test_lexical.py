@@ -96,6 +96,58 @@ def test_nothing_is_published_before_the_manifest(spark, tmp_path, monkeypatch):
     check(spark, path, held | {2: "zebra"}, asked)
 
 
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_postings_and_texts_stay_where_they_are(spark, tmp_path):
+    """Blocks are made without moving postings; replaced documents are found without moving the others."""
+    path = str(tmp_path)
+    G.upsert(spark.createDataFrame(list(enumerate(texts(5, 100))), SCHEMA), path)
+    G.upsert(spark.createDataFrame(list(enumerate(texts(6, 20))), SCHEMA), path)
+    index = G.open_index(spark, path)
+    assert exchanges(G._blocks(index.forward, 4)) == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(G._live(index.forward, index.gone)) == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_search_moves_a_block_once_for_all_queries(spark, asked, tmp_path, monkeypatch):
+    """What meets by documents does not grow with the queries; query sets in parts and cut blocks change no hit."""
+    path, held = str(tmp_path), dict(enumerate(texts(7, 120)))
+    G.upsert(spark.createDataFrame(list(held.items()), SCHEMA), path)
+    index, moved = G.open_index(spark, path), []
+    met = G._best_of_blocks
+
+    def counted(blocks, dead, terms, *rest):
+        moved.append(blocks.join(terms.select("term").distinct(), "term").count())
+        return met(blocks, dead, terms, *rest)
+
+    monkeypatch.setattr(G, "_best_of_blocks", counted)
+    many = asked.union(asked.withColumn("query_id", F.col("query_id") + 100))
+    assert len(found(G.pruned_topk(index, many, 4).hits)) == 2 * len(found(G.pruned_topk(index, asked, 4).hits))
+    assert moved[0] == moved[1]
+    monkeypatch.undo()
+    for name, value in (("ROWS_AT_ONCE", 5), ("BLOCK_CELLS", 1), ("MAX_QUERY_TERMS", 20)):
+        monkeypatch.setattr(G, name, value)
+    check(spark, path, held, asked)
+
+
+def test_a_cut_block_is_one(spark, asked, tmp_path):
+    path, held = str(tmp_path), dict(enumerate(texts(8, 60)))
+    G.upsert(spark.createDataFrame(list(held.items()), SCHEMA), path)
+    index = G.open_index(spark, path)
+    one = F.col("entries")
+    halves = F.explode(F.array(F.slice(one, 1, 2), F.slice(one, 3, 100))).alias("entries")
+    cut = index.postings.select(*[c for c in index.postings.columns if c not in ("entries", "n")], halves)
+    cut = cut.filter(F.size("entries") > 0).withColumn("n", F.size("entries").cast("bigint"))
+    got = G.pruned_topk(index._replace(postings=cut), asked, 4)
+    documents = spark.createDataFrame(list(held.items()), SCHEMA)
+    assert found(got.hits) == found(R.bm25_scan(documents, asked, 4))
+
+
 @pytest.mark.skipif(not TESTDATA.exists(), reason="test data not present")
 def test_reads_part_of_the_blocks(spark, tmp_path):
     sf, path = str(TESTDATA.parent / "sf0.01"), str(tmp_path)
