@@ -15,6 +15,9 @@ from ..schemas import CHUNK_DOCUMENTS
 from ..session import stage
 from ..sources.tables import replace_stored_window, save_table, stored_months_of
 
+#: Bytes of text whose terms share a bucket of the lexical index: one task sorts and scores them.
+BUCKET_TEXT = 16 << 20
+
 
 def ingest(
     gold: DataFrame,
@@ -74,8 +77,15 @@ def load_collection(
     return C.ingest_report(articles, embedded, skipped, quarantine)
 
 
+def buckets_for(documents: DataFrame, least: int, text_col: str = "content") -> int:
+    """Buckets of an index whose tasks hold the terms of ``BUCKET_TEXT`` bytes of text each, ``least`` or more."""
+    size = documents.agg(F.coalesce(F.sum(F.octet_length(text_col).cast("bigint")), F.lit(0))).first()[0]
+    return max(least, -(-size // BUCKET_TEXT))
+
+
 def publish_index(
     spark: SparkSession, documents: DataFrame, name: str, path: str, buckets: int = 200
 ) -> None:
-    """Stores the lexical index of a collection under a catalog name."""
+    """Stores the lexical index of a collection under a catalog name, in ``buckets`` or, of large ones, more."""
+    buckets = buckets_for(documents, buckets)
     save_bm25_index(bm25_index(documents, partitions=buckets), name, path, buckets)

@@ -295,6 +295,16 @@ def test_stored_index(spark, corpus, tmp_path):
     assert {(r.query_id, r.id, r.rank) for r in hits.collect()} == set(bm25(TEXTS, ASKED, 4))
 
 
+def test_buckets_of_a_stored_index_follow_the_texts(spark, corpus, tmp_path, monkeypatch):
+    monkeypatch.setattr(retrieval, "BUCKET_TEXT", 20)
+    assert retrieval.buckets_for(corpus[0], 3) > 3
+    retrieval.publish_index(spark, corpus[0], "grown_test", str(tmp_path), buckets=3)
+    made = spark.sql("DESCRIBE EXTENDED grown_test_postings").filter("col_name = 'Num Buckets'").first()["data_type"]
+    assert int(made) == retrieval.buckets_for(corpus[0], 3)
+    hits = R.bm25_topk(R.load_bm25_index(spark, "grown_test"), corpus[1], 4)
+    assert {(r.query_id, r.id, r.rank) for r in hits.collect()} == set(bm25(TEXTS, ASKED, 4))
+
+
 def test_postings_are_not_shuffled(spark, corpus):
     plan = R.bm25_index(corpus[0]).postings._jdf.queryExecution().executedPlan().toString()
     # One exchange spreads the texts (the fixture's own aside); none moves terms.
