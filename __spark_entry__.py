@@ -714,7 +714,10 @@ def q_bm25_upserted(spark, sf):
 
 
 def _collection(spark, sf) -> DataFrame:
-    """Texts with a vector where one has the same id; the metadata names the source."""
+    """Texts with a vector where one has the same id; the metadata names the source.
+
+    Stored once: searches read it several times, and the join moves all texts.
+    """
     vectors = _table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("dense_vector")
     )
@@ -723,7 +726,7 @@ def _collection(spark, sf) -> DataFrame:
         F.col("text").alias("content"),
         F.struct(F.col("source").alias("author"), F.col("lang").alias("lang")).alias("metadata"),
     )
-    return texts.join(vectors, "id", "left")
+    return stage(texts.join(vectors, "id", "left"), "collection")
 
 
 def _vector_questions(spark, sf) -> DataFrame:
@@ -733,8 +736,9 @@ def _vector_questions(spark, sf) -> DataFrame:
     return _questions(spark, sf).join(vectors, "query_id")
 
 
-def _search(spark, sf, mode: str) -> DataFrame:
-    return R.search_mode(mode, _collection(spark, sf), None, _vector_questions(spark, sf), dimension=VECTOR_SIZE)
+def _search(spark, sf, mode: str, collection: DataFrame | None = None) -> DataFrame:
+    documents = _collection(spark, sf) if collection is None else collection
+    return R.search_mode(mode, documents, None, _vector_questions(spark, sf), dimension=VECTOR_SIZE)
 
 
 def q_search_keyword(spark, sf):
@@ -755,7 +759,8 @@ def q_rrf_fuse(spark, sf):
 
 def q_hybrid_search(spark, sf):
     """Five fused hits per query with the documents they name."""
-    found = R.attach_documents(_search(spark, sf, R.HYBRID), _collection(spark, sf))
+    documents = _collection(spark, sf)
+    found = R.attach_documents(_search(spark, sf, R.HYBRID, documents), documents)
     return found.select(
         "query_id",
         "id",
