@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Texts and pages are long; small Arrow batches keep Python workers within memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    # Every layer stores texts again, so files are packed tighter than by default.
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

@@ -189,7 +189,8 @@ def replace_stored_window(
 ) -> None:
     """Deletes the window from a stored table and appends the rows of ``new`` inside it.
 
-    Only the months the window touches are read and rewritten.
+    Only the months the window touches are read and rewritten. Stored rows that stay in them are written
+    first, since a table cannot be read while its files are replaced; ``new`` only if it reads the table too.
     """
     spark = new.sparkSession
     months = months_in(start, end)
@@ -197,14 +198,18 @@ def replace_stored_window(
     if not path_exists(spark, path):
         save_table(inside, path, ts_col)
         return
-    stored = spark.read.schema(inside.schema).parquet(path).filter(_in_months(months))
-    result = stage(replace_window(stored, inside, start, end, ts_col), "window")
-    # One row per month at most: all stamps lie in the months of the window.
+    whole = spark.read.schema(inside.schema).parquet(path)
+    if not set(inside.inputFiles()).isdisjoint(whole.inputFiles()):
+        inside = stage(inside, "window")
+    stored = whole.filter(_in_months(months))
+    kept = stage(replace_window(stored, inside.limit(0), start, end, ts_col), "kept")
+    result = replace_window(kept, inside, start, end, ts_col)
+    # One row per month at most: all stamps lie in the months of the window. No text is read for it.
     filled = {tuple(r) for r in result.select(*MONTH).distinct().collect()}
+    save_table(result, path, ts_col, mode="overwrite")
     for year, month in months:
         if (year, month) not in filled:
             drop_month(spark, path, year, month)
-    save_table(result, path, ts_col, mode="overwrite")
 
 
 def drop_month(spark: SparkSession, path: str, year: int, month: int) -> None:

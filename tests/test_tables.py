@@ -194,3 +194,25 @@ def test_window_loads_read_the_folders_of_their_months(spark):
     pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "year" in pruned and "month" in pruned
     assert S.load_window(spark, path + "-none", schema, start, end).count() == 0
+
+
+def test_only_rows_that_stay_are_written_twice(spark, tmp_path, monkeypatch):
+    """The new rows of a window go straight to the table; a window that gets none is emptied."""
+    path, start, end = str(tmp_path / "t"), datetime(2024, 1, 10), datetime(2024, 2, 29)
+    held = [record("a", datetime(2024, 1, 5)), record("b", datetime(2024, 1, 15)), record("c", datetime(2024, 2, 3))]
+    S.save_table(records(spark, *held), path)
+    staged, plain = [], S.stage
+    monkeypatch.setattr(S, "stage", lambda df, label: staged.append(df.count()) or plain(df, label))
+    S.replace_stored_window(records(spark, record("n", datetime(2024, 1, 20))), path, start, end)
+    assert staged == [1] and urls_in(spark, path) == ["a", "n"]
+    # Rows read from the table itself are written first.
+    S.replace_stored_window(spark.read.parquet(path).withColumn("url", F.concat("url", F.lit("2"))), path, start, end)
+    assert urls_in(spark, path) == ["a", "n2"]
+    S.replace_stored_window(records(spark, record("x", datetime(2025, 1, 1))), path, start, end)
+    assert urls_in(spark, path) == ["a"]
+    S.replace_stored_window(records(spark, record("x", datetime(2025, 1, 1))), path, datetime(2024, 1, 1), end)
+    assert not list((tmp_path / "t").glob("year=*/month=*/*.parquet"))
+
+
+def urls_in(spark, path):
+    return sorted(r["url"] for r in spark.read.parquet(path).select("url").collect())
