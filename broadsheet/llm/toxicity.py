@@ -18,6 +18,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ PENALTY = 10.0
 #: Texts with another identity made of each sampled text that names one.
 SWAPS = 2
 _CACHED = 100_000
+#: Words a task remembers: a large share stands in few texts. Most have nothing to score by, which is one shared value.
+_CACHED_WORDS, _SCORED_WORDS = 200_000, 400_000
 
 #: Terms of one row can stand for each other in a sentence.
 IDENTITIES = (
@@ -63,10 +66,31 @@ _word = re.compile(r"\w+").findall
 _named = re.compile(r"\b(?:" + "|".join(sorted(_ROW_OF, key=len, reverse=True)) + r")\b", re.IGNORECASE)
 
 
+class _Kept(dict):
+    """Values of a function by its argument, a bounded number of them."""
+
+    def __init__(self, value, most: int = _CACHED):
+        super().__init__()
+        self.value, self.most = value, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        found = self[key] = self.value(key)
+        return found
+
+
+def _hashed(part: str) -> int:
+    return xxhash.xxh3_64_intdigest(part.encode()) & _MASK
+
+
+# Many words share a beginning, so a word not met before is hashed once.
+_starts = _Kept(lambda start: _hashed("^" + start))
+
+
 def word_features(word: str) -> tuple[int, ...]:
     """Hashed features of a word: itself, then its beginnings."""
-    parts = ["=" + word, *("^" + word[:n] for n in BEGINNINGS if len(word) >= n)]
-    return tuple(xxhash.xxh3_64_intdigest(p.encode()) & _MASK for p in parts)
+    return (_hashed("=" + word), *[_starts[word[:n]] for n in BEGINNINGS if len(word) >= n])
 
 
 def repeated(beginning: int, times: int) -> list[int]:
@@ -74,25 +98,23 @@ def repeated(beginning: int, times: int) -> list[int]:
     return [(beginning * 0x9E3779B1 + level * 0x85EBCA6B) & _MASK for level in LEVELS if times >= level]
 
 
-class _Features(dict):
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= _CACHED:
-            self.clear()
-        value = self[word] = word_features(word)
-        return value
+_features = _Kept(word_features, _CACHED_WORDS)
+_repeats = _Kept(lambda entry: repeated(*entry))
+_first, _second = itemgetter(0), itemgetter(1)
 
 
-_features = _Features()
+def _distinct_features(text: str | None) -> set[int]:
+    words = list(map(_features.__getitem__, set(_word(text.lower())))) if text else []
+    times = Counter(chain.from_iterable(w[1:] for w in words))
+    found = set(times)
+    found.update(map(_first, words))
+    found.update(chain.from_iterable(_repeats[entry] for entry in times.items() if entry[1] > 1))
+    return found
 
 
 def features(text: str | None) -> np.ndarray:
     """Distinct features of a text, sorted."""
-    words = list(map(_features.__getitem__, set(_word(text.lower())))) if text else []
-    found = {w[0] for w in words}
-    for beginning, times in Counter(chain.from_iterable(w[1:] for w in words)).items():
-        found.add(beginning)
-        if times > 1:
-            found.update(repeated(beginning, times))
+    found = _distinct_features(text)
     return np.sort(np.fromiter(found, np.int64, len(found)))
 
 
@@ -141,10 +163,11 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, 1 << BITS), np.int32)
-        with remembered(_features):
+        with remembered(_features, _starts, _repeats):
             for batch in batches:
                 for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
-                    totals[toxic, features(text)] += 1
+                    found = _distinct_features(text)
+                    totals[toxic, np.fromiter(found, np.int64, len(found))] += 1
         totals = totals.astype(np.int64)
         seen = np.flatnonzero(totals.any(axis=0))
         yield pa.record_batch(
@@ -188,7 +211,7 @@ def _sample_rows(sample: DataFrame, chosen: np.ndarray) -> pa.Table:
         return at[kept.value[at] == found].astype(np.int32).tobytes()
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with remembered(_features):
+        with remembered(_features, _starts, _repeats):
             for batch in batches:
                 texts = batch["text"].to_pylist()
                 forms = [list(map(places, counterparts(t or ""))) for t in texts]
@@ -308,36 +331,32 @@ def train(
     return Model(float(bias), chosen[used], weights[used])
 
 
+_NO_FEATURES: tuple[tuple[int, ...], tuple[int, ...]] = ((), ())
+
+
 class _Scorer:
     def __init__(self, model: Model):
-        self.bias = model.bias
-        self.weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+        weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+        self.bias, self.weight = model.bias, weight
         # Beginnings matter if they or one of their repetitions have a weight.
-        self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        matters = _Kept(lambda b: b in weight or any(r in weight for r in repeated(b, LEVELS[-1])))
+
+        def known(word: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+            own, *beginnings = word_features(word)
+            matter = tuple([b for b in beginnings if matters[b]])
+            return ((own,) if own in weight else (), matter) if matter or own in weight else _NO_FEATURES
 
-    def _known(self, word: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        own, *beginnings = word_features(word)
-        weight = self.weight
-        matter = [b for b in beginnings if b in weight or any(r in weight for r in repeated(b, LEVELS[-1]))]
-        return ((own,) if own in weight else (), tuple(matter))
+        self.known = _Kept(known, _SCORED_WORDS)
+        # Features with a weight of a beginning and of how often it is shared.
+        self.shared = _Kept(lambda e: [f for f in (e[0], *repeated(*e)) if f in weight])
+        self.caches = self.known, self.shared, matters
 
     def score(self, text: str | None) -> float:
-        found, times, known = set(), Counter(), self.known
-        for word in set(_word(text.lower())) if text else ():
-            hit = known.get(word)
-            if hit is None:
-                if len(known) >= _CACHED:
-                    known.clear()
-                hit = known[word] = self._known(word)
-            found.update(hit[0])
-            if hit[1]:
-                times.update(hit[1])
-        weight = self.weight
-        for beginning, count in times.items():
-            found.add(beginning)
-            found.update(repeated(beginning, count))
-        found = [f for f in found if f in weight]
-        linear = self.bias + sum(weight[f] for f in sorted(found))
+        words = list(map(self.known.__getitem__, set(_word(text.lower())))) if text else []
+        found = set(chain.from_iterable(map(_first, words)))
+        times = Counter(chain.from_iterable(map(_second, words)))
+        found.update(chain.from_iterable(map(self.shared.__getitem__, times.items())))
+        linear = self.bias + sum(map(self.weight.__getitem__, sorted(found)))
         return float(1 / (1 + np.exp(-np.clip(linear, -30, 30))))
 
 
@@ -352,7 +371,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
-        with remembered(scorer.known):
+        with remembered(*scorer.caches, _starts):
             for batch in batches:
                 scores = pa.array([scorer.score(t) for t in batch["text"].to_pylist()], pa.float64())
                 yield pa.record_batch([batch["doc_id"], scores], names=["doc_id", "score"])
@@ -366,7 +385,7 @@ def reject(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
-        with remembered(scorer.known):
+        with remembered(*scorer.caches, _starts):
             for batch in batches:
                 keep = [scorer.score(t.as_py()) < threshold for t in batch[text_column]]
                 yield batch.filter(pa.array(keep, pa.bool_()))

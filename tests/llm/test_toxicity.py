@@ -87,3 +87,19 @@ def test_scorer_sees_the_features(text):
     found = T.features(text)
     model = T.Model(0.5, found, np.full(len(found), 0.01))
     assert T._Scorer(model).score(text) == pytest.approx(1 / (1 + np.exp(-(0.5 + 0.01 * len(found)))))
+
+
+def test_words_are_hashed_once_for_many_texts(monkeypatch):
+    """New words with a known beginning hash themselves only; small caches change no feature."""
+    calls = []
+    plain = T._hashed
+    monkeypatch.setattr(T, "_hashed", lambda part: calls.append(part) or plain(part))
+    for cache in (T._features, T._starts, T._repeats):
+        cache.clear()
+    texts = [f"beginning{i} beginningless" for i in range(50)]
+    kept = [T.features(t).tolist() for t in texts]
+    assert len(calls) == 51 + 3
+    monkeypatch.setattr(T._features, "most", 1)
+    monkeypatch.setattr(T._starts, "most", 1)
+    monkeypatch.setattr(T._repeats, "most", 1)
+    assert [T.features(t).tolist() for t in texts] == kept
