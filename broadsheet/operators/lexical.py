@@ -2,8 +2,8 @@
 
 The index lies in segments. An upsert counts the terms of its documents where their rows lie and adds
 one segment: postings by ``term_bucket`` in blocks of one term and some documents of like length, each
-with its largest count and least length; how the document frequencies and the corpus figures change;
-and which ids of older segments are gone. Nothing stored before is touched. :func:`merge` joins the newest segments
+with its largest count and least length, a row for the blocks a term has among the documents a task holds
+at once; how the document frequencies and the corpus figures change; and which ids of older segments are gone. Nothing stored before is touched. :func:`merge` joins the newest segments
 once they outweigh the one before, so there are about as many as the logarithm of the upserts.
 
 A search opens the buckets of its terms only. The rarest terms of a query lead to documents whose whole
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import Best
 from ..functions.text import analyze
-from ..session import broadcast_if_small, scratch_path
+from ..session import broadcast_if_small, fits, scratch_path
 from .search import (
     BLOCK_CELLS,
     BM25_B,
@@ -47,6 +47,8 @@ from .search import (
 TERM_BUCKETS = 32
 #: Documents of a block, as a power of two.
 BLOCK_BITS = 3
+#: Postings a task that makes blocks holds at once, and rows of terms it passes on at once.
+POSTINGS_AT_ONCE, TERMS_AT_ONCE = 2_000_000, 20_000
 #: Share of the least score of a hit that terms read last may reach together.
 FREQUENT = 0.4
 #: Postings of rare terms per hit asked for that lead to the first documents of a query, and how many of
@@ -112,7 +114,8 @@ def open_index(spark: SparkSession, path: str) -> Index:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{path}/{name}").filter(F.col("segment").isin(segments))
 
-    return Index(segments, buckets, *(table(name) for name in Index._fields[2:]))
+    postings, *others = (table(name) for name in Index._fields[2:])
+    return Index(segments, buckets, _postings(postings, others[2].schema["id"].dataType.simpleString()), *others)
 
 
 def _live(rows: DataFrame, gone: DataFrame) -> DataFrame:
@@ -143,8 +146,10 @@ def _write(spark: SparkSession, path: str, segment: int, buckets: int = TERM_BUC
     for name, rows in tables.items():
         if name == "postings":
             # Postings stay where they were made; every task keeps a file per bucket open instead of sorting.
+            # A term stands in a file once or a few times, so there is nothing for a dictionary.
+            rows = rows.write.mode("overwrite").option("parquet.enable.dictionary", "false")
             with _open_files(spark, buckets):
-                rows.write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/{name}/segment={segment}")
+                rows.partitionBy("term_bucket").parquet(f"{path}/{name}/segment={segment}")
         elif "term_bucket" in rows.columns:
             # A bucket with a frequent term is split, small ones share a file.
             rows = rows.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term")
@@ -182,8 +187,21 @@ def _last_run(*numbers: np.ndarray) -> int:
     return int(other[-1]) + 1 if len(other) else 0
 
 
-def _block_rows(docs: pa.Table) -> pa.RecordBatch:
-    """The postings of whole blocks, a row per block and term."""
+def _packed(numbers: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The numbers from each start to the next one as bytes."""
+    offsets = np.r_[starts, len(numbers)] * numbers.itemsize
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(numbers))]
+    return pa.Array.from_buffers(pa.binary(), len(starts), buffers)
+
+
+def _unpacked(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of bytes, and where each row's end."""
+    sizes = np.asarray(pc.binary_length(column)) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), kind), np.cumsum(sizes)
+
+
+def _term_rows(docs: pa.Table) -> pa.RecordBatch:
+    """The postings of whole blocks, a row per term. Numbers lie as bytes, so a row is a few values to Spark."""
     lists, ids = docs["terms"].combine_chunks(), docs["id"].combine_chunks()
     coded = lists.flatten().dictionary_encode()
     row = np.repeat(np.arange(len(ids)), np.asarray(pc.list_value_length(lists)))
@@ -192,65 +210,130 @@ def _block_rows(docs: pa.Table) -> pa.RecordBatch:
     row, codes = row[order], codes[order]
     block, length = np.asarray(docs["block"])[row], np.asarray(docs["doc_length"])[row]
     tf = np.asarray(docs["tfs"].combine_chunks().flatten())[order]
-    new = (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])
-    starts = np.flatnonzero(np.r_[True, new]) if len(codes) else np.empty(0, np.int64)
-    entries = pa.StructArray.from_arrays(
-        [ids.take(pa.array(row)), pa.array(tf), pa.array(length)], names=["id", "tf", "doc_length"]
-    )
-    ends = np.r_[starts, len(codes)].astype(np.int32)
+    starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.empty(0, np.int64)
+    if pa.types.is_string(ids.type):
+        ends = pa.array(np.r_[starts, len(codes)].astype(np.int32))
+        names = pa.ListArray.from_arrays(ends, ids.take(pa.array(row)))
+    else:
+        names = _packed(np.asarray(ids, np.int64)[row], starts)
     return pa.RecordBatch.from_arrays(
         [
             coded.dictionary.take(pa.array(codes[starts])).cast(pa.string()),
-            pa.array(block[starts]),
-            pa.array(np.diff(ends).astype(np.int64)),
+            pa.array(np.diff(np.r_[starts, len(codes)]).astype(np.int64)),
             pa.array(np.maximum.reduceat(tf, starts) if len(starts) else tf),
             pa.array(np.minimum.reduceat(length, starts) if len(starts) else length),
-            pa.ListArray.from_arrays(pa.array(ends), entries),
+            names,
+            _packed(block, starts),
+            _packed(tf.astype(np.int32), starts),
+            _packed(length.astype(np.int32), starts),
         ],
-        names=["term", "block", "n", "top_tf", "least_length", "entries"],
+        names=["term", "df", "top_tf", "least_length", "ids", "blocks", "tfs", "lengths"],
     )
 
 
+def _rows_type(kind: str) -> str:
+    ids = "array<string>" if kind == "string" else "binary"
+    return (
+        f"term string, df bigint, top_tf bigint, least_length bigint, ids {ids}, blocks binary, tfs binary, lengths binary"
+    )
+
+
+def _listed(kind: str):
+    """A function of (ids, blocks, tfs, lengths) that lists the blocks of a term's row."""
+    entry = f"struct<id:{kind},tf:bigint,doc_length:bigint>"
+
+    @F.arrow_udf(f"array<struct<block:bigint,n:bigint,top_tf:bigint,least_length:bigint,entries:array<{entry}>>>")
+    def listed(ids: pa.Array, blocks: pa.Array, tfs: pa.Array, lengths: pa.Array) -> pa.Array:
+        (block, ends), tf, length = _unpacked(blocks, "<i8"), _unpacked(tfs, "<i4")[0], _unpacked(lengths, "<i4")[0]
+        tf, length = tf.astype(np.int64), length.astype(np.int64)
+        if kind == "string":
+            names = ids.flatten()
+        else:
+            names = pa.array(_unpacked(ids, "<i8")[0]).cast(pa.int32() if kind == "int" else pa.int64())
+        new = np.zeros(len(block) + 1, bool)
+        new[0] = new[ends] = True  # a row per term has one posting at least
+        new[1:-1] |= block[1:] != block[:-1]
+        starts = np.flatnonzero(new[:-1])
+        bounds = np.r_[starts, len(block)].astype(np.int32)
+        entries = pa.StructArray.from_arrays(
+            [names, pa.array(tf), pa.array(length)], names=["id", "tf", "doc_length"]
+        )
+        made = pa.StructArray.from_arrays(
+            [
+                pa.array(block[starts]),
+                pa.array(np.diff(bounds).astype(np.int64)),
+                pa.array(np.maximum.reduceat(tf, starts) if len(starts) else tf),
+                pa.array(np.minimum.reduceat(length, starts) if len(starts) else length),
+                pa.ListArray.from_arrays(pa.array(bounds), entries),
+            ],
+            names=["block", "n", "top_tf", "least_length", "entries"],
+        )
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.searchsorted(starts, ends)].astype(np.int32)), made)
+
+    return listed
+
+
+def _postings(rows: DataFrame, kind: str) -> DataFrame:
+    """Stored rows of terms as a row per block."""
+    return rows.select("segment", "term_bucket", "term", F.inline(_listed(kind)("ids", "blocks", "tfs", "lengths")))
+
+
 def _blocks(forward: DataFrame, buckets: int) -> DataFrame:
-    """Postings in blocks of one term and some documents of like length.
+    """Postings in blocks of one term and some documents of like length, a row for the blocks a term has among
+    the documents a task holds at once.
 
     The documents of a block follow each other in one file, so blocks are made where they lie. One that a
-    reader's split cuts becomes two rows with its number; a search takes them as one block.
+    reader's split cuts becomes two with its number; a search takes them as one block.
     """
-    kind = forward.schema["id"].dataType.simpleString()
 
     def cut(batches):
-        held = None
+        def rows(table):
+            made = _term_rows(table)
+            for first in range(0, made.num_rows, TERMS_AT_ONCE):
+                yield made.slice(first, TERMS_AT_ONCE)
+
+        held, waiting = [], 0
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            whole = _last_run(np.asarray(held["block"]))
-            if whole:
-                yield _block_rows(held.slice(0, whole))
-                held = held.slice(whole)
-        if held is not None and held.num_rows:
-            yield _block_rows(held)
+            held.append(batch)
+            waiting += len(batch.column("terms").flatten())
+            if waiting >= POSTINGS_AT_ONCE:
+                table = pa.Table.from_batches(held)
+                whole = _last_run(np.asarray(table["block"]))
+                if whole:
+                    yield from rows(table.slice(0, whole))
+                held = table.slice(whole).to_batches()
+                waiting = sum(len(b.column("terms").flatten()) for b in held)
+        if held:
+            yield from rows(pa.Table.from_batches(held))
 
     rows = forward.select("id", "doc_length", "terms", "tfs", "block").mapInArrow(
-        cut,
-        "term string, block bigint, n bigint, top_tf bigint, least_length bigint, "
-        f"entries array<struct<id:{kind},tf:bigint,doc_length:bigint>>",
+        cut, _rows_type(forward.schema["id"].dataType.simpleString())
     )
     return rows.withColumn("term_bucket", _bucket(F.col("term"), buckets))
 
 
-def _term_changes(new: DataFrame, dead: DataFrame | None, buckets: int) -> DataFrame:
-    counted = postings_of(new).select("term", F.lit(1).alias("d"), "tf", F.col("doc_length").alias("length"))
-    if dead is not None:
-        none = F.lit(None).cast("bigint")
-        counted = counted.union(postings_of(dead).select("term", F.lit(-1), none, none))
+def _write_postings(spark: SparkSession, path: str, segment: int, forward: DataFrame, buckets: int) -> DataFrame:
+    """Writes the postings of a segment; returns them as they lie, a row for the blocks a term has at one place."""
+    _write(spark, path, segment, buckets, postings=_blocks(forward, buckets))
+    kind = _rows_type(forward.schema["id"].dataType.simpleString())
+    return spark.read.schema(f"{kind}, term_bucket int").parquet(f"{path}/postings/segment={segment}")
+
+
+def _term_changes(changes: DataFrame, buckets: int) -> DataFrame:
+    """Changes of df and the bounds of terms, of (term, df, top_tf, least_length)."""
     return (
-        counted.groupBy("term")
-        .agg(F.sum("d").alias("df"), F.max("tf").alias("top_tf"), F.min("length").alias("least_length"))
+        changes.groupBy("term")
+        .agg(F.sum("df").alias("df"), F.max("top_tf").alias("top_tf"), F.min("least_length").alias("least_length"))
         .withColumn("term_bucket", _bucket(F.col("term"), buckets))
     )
 
 
+def _unbounded(terms: DataFrame, df: Column) -> DataFrame:
+    """(term, df, top_tf, least_length) that change no bound."""
+    none = F.lit(None).cast("bigint")
+    return terms.select("term", df.cast("bigint").alias("df"), none.alias("top_tf"), none.alias("least_length"))
+
+
 def _corpus_changes(new: DataFrame, dead: DataFrame | None) -> DataFrame:
     rows = new.select(F.lit(1).alias("d"), "doc_length")
     if dead is not None:
@@ -293,13 +376,15 @@ def upsert(
     else:
         dead = None
         _write(spark, path, segment, gone=ids.limit(0))
+    changes = _write_postings(spark, path, segment, forward, buckets).select("term", "df", "top_tf", "least_length")
+    if dead is not None:
+        changes = changes.union(_unbounded(dead.select(F.explode("terms").alias("term")), F.lit(-1)))
     _write(
         spark,
         path,
         segment,
         buckets,
-        postings=_blocks(forward, buckets),
-        terms=_term_changes(forward, dead, buckets),
+        terms=_term_changes(changes, buckets),
         corpus=_corpus_changes(forward, dead),
     )
     _publish(spark, path, [*segments, segment], buckets)
@@ -327,16 +412,16 @@ def merge(spark: SparkSession, path: str, ratio: float = 1.0) -> list[int]:
     of = lambda df: df.filter(F.col("segment").isin(joined))
     _write(spark, path, number, forward=_by_length(_live(of(index.forward), of(index.gone)).drop("segment", "block")))
     forward = spark.read.parquet(f"{path}/forward/segment={number}")
-    changes = of(index.terms).groupBy("term_bucket", "term").agg(F.sum("df").alias("df"))
-    bounds = _term_changes(forward, None, index.buckets).drop("df", "term_bucket")
+    postings = _write_postings(spark, path, number, forward, index.buckets)
+    bounds = postings.select("term", F.lit(0).cast("bigint").alias("df"), "top_tf", "least_length")
+    changes = _unbounded(of(index.terms), F.col("df")).union(bounds)
     zero = F.lit(0).cast("bigint")
     _write(
         spark,
         path,
         number,
         index.buckets,
-        postings=_blocks(forward, index.buckets),
-        terms=changes.join(bounds, "term", "left").select("term", "df", "top_tf", "least_length", "term_bucket"),
+        terms=_term_changes(changes, index.buckets),
         corpus=of(index.corpus).agg(
             F.coalesce(F.sum("n_docs"), zero).alias("n_docs"), F.coalesce(F.sum("total_length"), zero).alias("total_length")
         ),
@@ -384,6 +469,11 @@ def _asked_of(table: pa.Table) -> tuple[pa.Array, pa.Array, list[_Asked]]:
     return terms.dictionary, queries.dictionary, asked
 
 
+def _of_few_terms(blocks: DataFrame, terms: DataFrame) -> DataFrame:
+    """The blocks of terms that every task can hold. Rows of other terms go before their blocks are listed."""
+    return blocks.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
+
+
 def _best_of_blocks(
     blocks: DataFrame,
     dead: DataFrame | None,
@@ -406,7 +496,8 @@ def _best_of_blocks(
     numbers = pa.table({"term": words.cast(pa.string()), "number": pa.array(np.arange(n_words), pa.int32())})
     names = pa.table({"query": pa.array(np.arange(len(queries)), pa.int32()), "query_id": queries})
     spark = blocks.sparkSession
-    rows = blocks.join(F.broadcast(spark.createDataFrame(numbers)), "term").select(
+    numbered = F.broadcast(spark.createDataFrame(numbers))
+    rows = _of_few_terms(blocks, numbered).join(numbered, "term").select(
         "segment",
         "block",
         "number",
@@ -573,6 +664,8 @@ def pruned_topk(
         .withColumn("below", F.sum("ceiling").over(least.rowsBetween(W.unboundedPreceding, 0)))
     )
     blocks = index.postings.filter(inside)
+    # Terms that every task can hold: the others' rows go before their blocks are listed.
+    chosen = (lambda terms: _of_few_terms(blocks, terms)) if fits(weighted, MAX_QUERY_TERMS) else (lambda terms: blocks)
     gone = stored(index.gone.select("segment", "id"))
     live = (lambda rows: rows) if gone.isEmpty() else (lambda rows: _live(rows, gone))
 
@@ -584,7 +677,7 @@ def pruned_topk(
 
     def of_terms(terms: DataFrame) -> DataFrame:
         """The blocks of the terms, each once for every query that has it."""
-        return blocks.join(terms.drop("term_bucket"), "term")
+        return chosen(terms).join(terms.drop("term_bucket"), "term")
 
     def kth(scores: DataFrame) -> DataFrame:
         """(query_id, floor): what the k-th hit has at least, of queries with so many scores."""
@@ -599,7 +692,7 @@ def pruned_topk(
         places = found.select("query_id", "segment", "block").distinct()
         wanted = stored(rows.select("query_id", "term", "weight").join(places, "query_id"))
         wanted = broadcast_if_small(wanted, MAX_WANTED)  # else all blocks move
-        read = blocks.join(wanted, ["term", "segment", "block"])
+        read = chosen(rows).join(wanted, ["term", "segment", "block"])
         few = found.select("query_id", "id")
         parts = scored(read).join(few, ["query_id", "id"], "left_semi").select("query_id", "id", "part")
         return read, found.select("query_id", "id", F.col("score").alias("part")).union(parts)

@@ -148,6 +148,56 @@ def test_a_cut_block_is_one(spark, asked, tmp_path):
     assert found(got.hits) == found(R.bm25_scan(documents, asked, 4))
 
 
+def test_a_row_of_postings_is_a_few_values(spark, tmp_path, monkeypatch):
+    """A segment stores a row per term and place, not one per block; what a search reads of it are blocks."""
+    path, held = str(tmp_path), dict(enumerate(texts(3, 200)))
+    documents = spark.createDataFrame(list(held.items()), SCHEMA).coalesce(1)
+    G.upsert(documents, path)
+    stored = spark.read.parquet(f"{path}/postings/segment=1")
+    words = {w for t in held.values() for w in t.split()}
+    assert stored.count() == len(words) == stored.select("term").distinct().count()
+    assert not [f for f in stored.schema.fields if f.dataType.typeName() in ("array", "struct")]
+    index = G.open_index(spark, path)
+    block = {r.id: r.block for r in index.forward.select("id", "block").collect()}
+    want = sorted((w, block[i], i, t.split().count(w), len(t.split())) for i, t in held.items() for w in set(t.split()))
+    rows = index.postings.collect()
+    assert sorted((r.term, r.block, *e) for r in rows for e in r.entries) == want
+    assert len(rows) == len({(r.term, r.block) for r in rows}) == len({w[:2] for w in want})
+    assert all(
+        (r.n, r.top_tf, r.least_length) == (len(r.entries), max(e.tf for e in r.entries), min(e.doc_length for e in r.entries))
+        for r in rows
+    )
+    monkeypatch.setattr(G, "POSTINGS_AT_ONCE", 100)
+    monkeypatch.setattr(G, "TERMS_AT_ONCE", 7)
+    G.upsert(documents, f"{path}/parts")
+    again = G.open_index(spark, f"{path}/parts")
+    assert spark.read.parquet(f"{path}/parts/postings/segment=1").count() > len(words)
+    assert sorted((r.term, r.block, *e) for r in again.postings.collect() for e in r.entries) == want
+    assert sorted(map(tuple, again.terms.collect())) == sorted(map(tuple, index.terms.collect()))
+
+
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_ids_of_other_kinds(spark, asked, tmp_path, kind):
+    path, held = str(tmp_path), dict(enumerate(texts(10, 80)))
+    id_ = F.col("id").cast(kind).alias("id")
+    documents = spark.createDataFrame(list(held.items()), SCHEMA).select(id_, "content")
+    G.upsert(documents, path)
+    G.upsert(documents.filter("id < 20").withColumn("content", F.lit("a r1")), path, documents.filter("id > 70").select("id"))
+    G.merge(spark, path, ratio=100.0)
+    now = documents.filter("id <= 70").withColumn("content", F.when(F.col("id") < 20, F.lit("a r1")).otherwise(F.col("content")))
+    index = G.open_index(spark, path)
+    assert dict(index.postings.select(F.col("entries")[0]["id"].alias("id")).dtypes) == {"id": kind}
+    assert found(G.pruned_topk(index, asked, 4).hits) == found(R.bm25_scan(now, asked, 4))
+
+
+def test_rows_of_other_terms_go_before_their_blocks_are_listed(spark, tmp_path):
+    path = str(tmp_path)
+    G.upsert(spark.createDataFrame(list(enumerate(texts(11, 60))), SCHEMA), path)
+    asked = spark.createDataFrame([("a",), ("r1",)], "term string")
+    plan = G._of_few_terms(G.open_index(spark, path).postings, asked)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("ArrowEvalPython") < plan.index("LeftSemi")
+
+
 @pytest.mark.skipif(not TESTDATA.exists(), reason="test data not present")
 def test_reads_part_of_the_blocks(spark, tmp_path):
     sf, path = str(TESTDATA.parent / "sf0.01"), str(tmp_path)
