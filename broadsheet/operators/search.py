@@ -390,15 +390,15 @@ def bm25_index(
 
     Rows with one id are one document; one without text counts, with length 0.
 
-    Terms are counted where the rows of their texts lie. With ``partitions`` the counts, not the
-    texts, are dealt out by id.
+    Terms are counted where the rows of their texts lie. The counts of the postings, not the
+    texts, are dealt out by id, to ``partitions`` if given.
     """
     counted = term_counts(one_row_per_id(documents, id_col, text_col), analyzer(F.col("_text")))
     if partitions is not None:
         counted = counted.repartition(partitions, "id")
-    postings = postings_of(counted)
+    postings = postings_of(counted.repartition("id") if partitions is None else counted)
     lengths = counted.select("doc_length")
-    term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    term_stats = postings_of(counted).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     corpus = lengths.agg(
         F.count(F.lit(1)).alias("n_docs"), F.avg("doc_length").alias("avg_length")
     )
